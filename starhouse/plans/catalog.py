@@ -21,6 +21,7 @@ from starhouse.plans.warehouse import Gates, Warehouse
 from starhouse.schemas import FARE_CLASSES
 from starhouse.session import scratch_path
 from starhouse.sources import tpch_feeds as bound
+from starhouse.sources.store import Store
 from starhouse.streaming import change_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,7 +196,7 @@ def asof_passenger_lookup(spark, folder):
 
 def load_row_counts(spark, folder):
     w = loaded(spark, folder)
-    tables = {name: w[name] for name in sorted(w.names())}
+    tables = {name: w[name] for name in w.names()}
     feeds = bound.feeds(spark, folder, landed_bookings(spark, folder)).by_table()
     feeds["stg_passenger_updates"] = bound.passenger_updates(spark, folder)
     return checks.row_counts({**tables, **feeds})
@@ -325,8 +326,7 @@ def scd2_streamed(spark, folder):
         change_feed.land(bound.passenger_updates(spark, folder), landing, bound.LOAD_DATE)
         before = loaded(spark, folder)
         root = scratch_path(spark, "streamed")
-        store = warehouse.Store(spark, root)
-        store.publish({"dim_passenger": before.paths("dim_passenger")})
+        Store(spark, root).publish({"dim_passenger": before.paths("dim_passenger")})
         change_feed.run(spark, landing, root, scratch_path(spark, "feed-progress"))
         return Warehouse(spark, root)
 

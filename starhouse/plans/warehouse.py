@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,15 +34,13 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, version: int | None = None):
         self.store = Store(spark, root)
-        self.version = self.store.latest() if version is None else version
-        self._paths = self.store.paths(self.version)
+        self.version, self._paths = self.store.version(version)
+        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
-        if table == "airport_geo":
-            return geography.airport_geo(
-                self["dim_airport"], self["dim_city"], self["dim_country"]
-            )
-        return self.store.read_paths(self._paths[table])
+        if table not in self._frames:
+            self._frames[table] = self.store.read_paths(self._paths[table])
+        return self._frames[table]
 
     def paths(self, table: str) -> list[str]:
         return list(self._paths[table])
@@ -52,22 +51,29 @@ class Warehouse:
         return self.store.read_paths([p for p in paths if p.endswith(CURRENT)])
 
     def names(self) -> list[str]:
-        return [*self._paths, "airport_geo"]
+        return sorted(self._paths)
 
     def register(self, database: str = "dw") -> None:
-        """Make the version queryable by SQL under the tables' SQL names."""
+        """Make the version queryable by SQL under the tables' SQL names.
+
+        A table in one folder becomes an external table, one in several folders
+        a view over them.
+        """
         spark = self.store.spark
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
         for table in self.names():
-            spec = TABLES[table]
-            if table != "airport_geo" and len(self._paths[table]) == 1:
-                name = f"{database}.{spec.sql_name}"
-                spark.sql(f"DROP TABLE IF EXISTS {name}")
-                spark.catalog.createTable(name, path=self._paths[table][0], source="parquet")
+            spec, paths = TABLES[table], self.paths(table)
+            name = f"{database}.{spec.sql_name}"
+            if spark.catalog.tableExists(name):
+                kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+                spark.sql(f"DROP {kind} {name}")
+            if len(paths) == 1:
+                spark.catalog.createTable(name, path=paths[0], source="parquet")
                 if spec.partitioned_by:
                     spark.catalog.recoverPartitions(name)
             else:
-                self[table].createOrReplaceTempView(spec.sql_name)
+                parts = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in paths)
+                spark.sql(f"CREATE VIEW {name} AS {parts}")
 
 
 def load(
@@ -90,26 +96,37 @@ def load(
         require_geography(feeds.airports)
 
     paths: dict[str, list[str]] = {}
+    built: dict[str, DataFrame] = {}
 
     def keep(table: str, df: DataFrame) -> DataFrame:
         paths[table] = [store.write(df, table, TABLES[table].partitioned_by)]
-        return store.read_paths(paths[table])
-
-    dates = [feeds.bookings.select("booking_date"), feeds.bookings.select("travel_date")]
-    built = {"dim_date": keep("dim_date", calendar_covering(*dates).coalesce(1))}
-    flat = dimensions.airport_dimension(feeds.airports)
-    countries = keep("dim_country", geography.country_dimension(feeds.airports))
-    cities = keep("dim_city", geography.city_dimension(feeds.airports, countries))
-    built["dim_country"], built["dim_city"] = countries, cities
-    built["dim_airport"] = keep("dim_airport", geography.link_airports(flat, cities, countries))
-    built["dim_aircraft"] = keep(
-        "dim_aircraft", dimensions.aircraft_dimension(feeds.aircraft)
-    )
-    built["dim_flight"] = keep("dim_flight", dimensions.flight_dimension(feeds.flights))
-    paths["dim_passenger"] = write_passengers(
-        store, dimensions.passenger_dimension(feeds.passengers)
-    )
-    built["dim_passenger"] = store.read_paths(paths["dim_passenger"])
+        built[table] = store.read_paths(paths[table], df.schema)
+        return built[table]
+
+    def load_dates() -> None:
+        days = [feeds.bookings.select(c) for c in ("booking_date", "travel_date")]
+        keep("dim_date", calendar_covering(*days))
+
+    def load_geography() -> None:
+        countries = keep("dim_country", geography.country_dimension(feeds.airports))
+        cities = keep("dim_city", geography.city_dimension(feeds.airports, countries))
+        flat = dimensions.airport_dimension(feeds.airports)
+        airports = keep("dim_airport", geography.link_airports(flat, cities, countries))
+        # Stored rather than left as joins: reports then see its true, short size.
+        keep("airport_geo", geography.airport_geo(airports, cities, countries))
+
+    def load_passengers() -> None:
+        versions = dimensions.passenger_dimension(feeds.passengers)
+        paths["dim_passenger"] = write_passengers(store, versions)
+        built["dim_passenger"] = store.read_paths(paths["dim_passenger"], versions.schema)
+
+    # Independent short loads share the cluster instead of queueing behind each other.
+    steps = [
+        load_dates, load_geography, load_passengers,
+        lambda: keep("dim_aircraft", dimensions.aircraft_dimension(feeds.aircraft)),
+        lambda: keep("dim_flight", dimensions.flight_dimension(feeds.flights)),
+    ]
+    _together(steps)
 
     sales = fact.ticket_sales(
         feeds.bookings,
@@ -118,9 +135,7 @@ def load(
         built["dim_passenger"],
         built["dim_date"],
     )
-    built["fact_ticket_sales"] = keep(
-        "fact_ticket_sales", fact.key_ticket_sales(sales, feeds.bookings, slice_rows)
-    )
+    keep("fact_ticket_sales", fact.key_ticket_sales(sales, feeds.bookings, slice_rows))
     if gates.load:
         require_sound(feeds.bookings, built)
     store.publish(paths)
@@ -133,6 +148,7 @@ def apply_changes(
     staged: DataFrame,
     load_date: str,
     null_safe: bool = False,
+    note: str = "",
 ) -> Warehouse:
     """Apply one change feed to DimPassenger and publish the result.
 
@@ -153,7 +169,7 @@ def apply_changes(
     checks.require_empty(
         broken.filter("violations > 0 AND rule != 'gap'"), "history is not sound"
     )
-    store.publish({"dim_passenger": paths})
+    store.publish({"dim_passenger": paths}, note)
     return Warehouse(spark, root)
 
 
@@ -206,7 +222,16 @@ def require_sound(bookings: DataFrame, tables: Mapping[str, DataFrame]) -> None:
     sales = tables["fact_ticket_sales"]
     checks.require_same_count(bookings, sales)
     checks.require_resolved(sales, tables)
-    for name, df in tables.items():
-        # The resolution gate has already followed the fact's references.
-        follow = None if name == "fact_ticket_sales" else tables
-        checks.require_table_rules(TABLES[name], df, follow)
+    # The resolution gate has already followed the fact's references.
+    _together([
+        partial(checks.require_table_rules, TABLES[name], df,
+                None if name == "fact_ticket_sales" else tables)
+        for name, df in tables.items()
+    ])
+
+
+def _together(steps: Sequence[Callable[[], object]]) -> None:
+    """Run independent steps at once; the first failure is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for step in [pool.submit(s) for s in steps]:
+            step.result()

@@ -6,6 +6,7 @@ kept here as data and ``operators.checks`` / ``operators.contract`` apply them.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -25,6 +26,14 @@ TRACKED = ("frequent_flyer_tier", "home_airport_code")
 REVENUE_STATUS = "Confirmed"
 
 
+# The column types in use; reading them here keeps the declarations free of a session.
+_TYPES = {
+    "INT": T.IntegerType(), "BIGINT": T.LongType(), "STRING": T.StringType(),
+    "DATE": T.DateType(), "BOOLEAN": T.BooleanType(), "DECIMAL(12,2)": T.DecimalType(12, 2),
+}
+_COLUMN = re.compile(r"(\w+) (\w+(?:\(\d+,\d+\))?)( NOT NULL)?")
+
+
 @dataclass(frozen=True)
 class Reference:
     """``column`` must exist as ``key`` in ``table``."""
@@ -51,7 +60,10 @@ class Table:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.ddl)
+        return T.StructType([
+            T.StructField(name, _TYPES[kind], nullable=not required)
+            for name, kind, required in _COLUMN.findall(self.ddl)
+        ])
 
     @property
     def required(self) -> list[str]:

@@ -15,10 +15,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starhouse.schemas import TABLES
 
-_MANIFEST = "table_name string, path string, version int"
+_MANIFEST = "table_name string, path string, note string, version int"
 
 
 class Store:
@@ -36,10 +38,14 @@ class Store:
         writer.parquet(path)
         return path
 
-    def read_paths(self, paths: Sequence[str]) -> DataFrame:
-        return self.spark.read.parquet(*paths)
+    def read_paths(
+        self, paths: Sequence[str], schema: T.StructType | None = None
+    ) -> DataFrame:
+        """The folders as one table; a known schema saves reading a file footer."""
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(*paths)
 
-    def versions(self) -> DataFrame | None:
+    def _manifest(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest")
         except AnalysisException as error:
@@ -47,36 +53,38 @@ class Store:
                 return None
             raise
 
-    def latest(self) -> int:
-        """The latest published version, 0 before the first."""
-        versions = self.versions()
-        if versions is None:
-            return 0
-        return versions.agg({"version": "max"}).first()[0] or 0
-
-    def paths(self, version: int | None = None) -> dict[str, list[str]]:
-        """Folders per table of a version (the latest by default)."""
-        version = self.latest() if version is None else version
+    def version(self, number: int | None = None) -> tuple[int, dict[str, list[str]]]:
+        """A version (the latest by default) and its folders per table; 0 before the first."""
+        manifest = self._manifest()
+        if manifest is None:
+            return 0, {}
+        if number is None:
+            wanted = manifest.select(F.max("version")).scalar()
+        else:
+            wanted = F.lit(number)
+        rows = manifest.filter(F.col("version") == wanted).collect()
         found: dict[str, list[str]] = {}
-        if version:
-            for row in self.versions().filter(f"version = {version}").sort("path").collect():
-                found.setdefault(row["table_name"], []).append(row["path"])
-        return found
+        for row in sorted(rows):
+            found.setdefault(row["table_name"], []).append(row["path"])
+        return (rows[0]["version"] if rows else 0), found
+
+    def noted(self, note: str) -> bool:
+        """Whether some version was published with this note."""
+        manifest = self._manifest()
+        return manifest is not None and not manifest.filter(F.col("note") == note).isEmpty()
 
-    def publish(self, tables: Mapping[str, Sequence[str]]) -> int:
+    def publish(self, tables: Mapping[str, Sequence[str]], note: str = "") -> int:
         """Make the folders the next version; tables not named carry over."""
-        current = self.latest()
-        merged = {**self.paths(current), **{t: list(p) for t, p in tables.items()}}
-        rows = [(t, p) for t, paths in merged.items() for p in paths]
+        current, before = self.version()
+        merged = {**before, **{t: list(p) for t, p in tables.items()}}
+        entries = [
+            F.struct(F.lit(t).alias("table_name"), F.lit(p).alias("path"),
+                     F.lit(note).alias("note"))
+            for t, paths in merged.items() for p in paths
+        ]
         version = current + 1
         (
-            self.spark.createDataFrame(rows, "table_name string, path string")
-            .coalesce(1)
-            .write.mode("error")
-            .json(f"{self.root}/manifest/version={version}")
+            self.spark.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
+            .write.mode("error").json(f"{self.root}/manifest/version={version}")
         )
         return version
-
-    def tables(self, version: int | None = None) -> dict[str, DataFrame]:
-        """Every table of a version as a DataFrame."""
-        return {t: self.read_paths(p) for t, p in self.paths(version).items()}

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse.plans import warehouse
+from starhouse.sources.store import Store
 
 
 def land(staged: DataFrame, landing: str, load_date: str) -> None:
@@ -20,15 +21,11 @@ def land(staged: DataFrame, landing: str, load_date: str) -> None:
 
 
 def run(spark: SparkSession, landing: str, root: str, progress: str) -> None:
-    """Apply every feed not yet applied, then stop.
-
-    A batch that is replayed after a failure changes nothing: applying the same
-    feed on the same load date twice leaves the dimension as it is.
-    """
+    """Apply every feed not yet applied, then stop."""
     schema = spark.read.parquet(landing).drop("load_date").schema.add("load_date", "date")
-    feed = spark.readStream.schema(schema).parquet(landing)
     query = (
-        feed.writeStream.foreachBatch(lambda batch, _: apply_batch(batch, root))
+        spark.readStream.schema(schema).parquet(landing)
+        .writeStream.foreachBatch(lambda batch, number: apply_batch(batch, number, root))
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
@@ -36,10 +33,16 @@ def run(spark: SparkSession, landing: str, root: str, progress: str) -> None:
     query.awaitTermination()
 
 
-def apply_batch(batch: DataFrame, root: str) -> None:
-    """Apply the feeds of a micro-batch in load-date order (one row per date is collected)."""
+def apply_batch(batch: DataFrame, number: int, root: str) -> None:
+    """Apply the feeds of a micro-batch in load-date order (one row per date is collected).
+
+    Each published version names its batch and date, so a batch replayed after
+    a failure skips the dates it had already published.
+    """
     spark = batch.sparkSession
-    days = batch.select("load_date").distinct().orderBy("load_date").collect()
-    for (day,) in days:
-        staged = batch.filter(F.col("load_date") == F.lit(day)).drop("load_date")
-        warehouse.apply_changes(spark, root, staged, day.isoformat())
+    store = Store(spark, root)
+    for (day,) in batch.select("load_date").distinct().orderBy("load_date").collect():
+        note = f"feed {day} in batch {number}"
+        if not store.noted(note):
+            staged = batch.filter(F.col("load_date") == F.lit(day)).drop("load_date")
+            warehouse.apply_changes(spark, root, staged, day.isoformat(), note=note)
