@@ -7,7 +7,10 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
+import airline  # noqa: E402
+from starhouse.plans import warehouse  # noqa: E402
 from starhouse.session import local_session  # noqa: E402
+from starhouse.sources.store import Store  # noqa: E402
 
 DATA = "/root/testdata"
 
@@ -30,6 +33,19 @@ def root(tmp_path):
     return str(tmp_path / "warehouse")
 
 
+@pytest.fixture(scope="session")
+def small(spark, tmp_path_factory):
+    """The small airline, loaded once under all gates; for reading only."""
+    return warehouse.load(spark, airline.feeds(spark), str(tmp_path_factory.mktemp("small")))
+
+
+@pytest.fixture()
+def small_root(small, spark, root):
+    """A root of its own that starts from the small airline's tables."""
+    Store(spark, root).publish({t: small.paths(t) for t in small.names()})
+    return root
+
+
 @pytest.fixture()
 def fixed_partitions(spark):
     """Keep small shuffle partitions apart, so that their contents can be inspected."""

@@ -19,8 +19,7 @@ COLUMNS = BOOKINGS.schema.names
 def _violations(spark, row):
     feeds = airline.feeds(spark)
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in BOOKINGS.schema])
-    bad = spark.createDataFrame([row], nullable)
-    both = feeds.bookings.unionByName(bad)
+    both = feeds.bookings.unionByName(spark.createDataFrame([row], nullable))
     found = contract.violations(both, feeds.flights, feeds.passengers)
     return {r["rule"]: r["violations"] for r in found.collect() if r["violations"]}
 

@@ -69,33 +69,30 @@ def test_fully_expired_passenger_returns(spark, versions):
     assert [r[5] for r in got if r[0] == 2] == [False, True]
 
 
-def test_same_feed_twice_changes_nothing(spark, root):
-    warehouse.load(spark, airline.feeds(spark), root)
+def test_same_feed_twice_changes_nothing(spark, small_root):
     staged = airline.updates(spark, [(1, "Ana", "DEL", "Platinum"), (9, "Dev", "LHR", "Blue")])
-    once = warehouse.apply_changes(spark, root, staged, DAY)
-    twice = warehouse.apply_changes(spark, root, staged, DAY)
+    once = warehouse.apply_changes(spark, small_root, staged, DAY)
+    twice = warehouse.apply_changes(spark, small_root, staged, DAY)
     assert twice.version == once.version + 1
     assert rows(once["dim_passenger"]) == rows(twice["dim_passenger"])
 
 
-def test_bad_feeds_are_refused_before_writing(spark, root):
-    warehouse.load(spark, airline.feeds(spark), root)
+def test_bad_feeds_are_refused_before_writing(spark, small_root):
     double = airline.updates(spark, [(1, "Ana", "BOM", "Blue"), (1, "Ana", "BOM", "Red")])
     with pytest.raises(LoadError, match="staged_twice"):
-        warehouse.apply_changes(spark, root, double, DAY)
-    warehouse.apply_changes(spark, root, airline.updates(spark, [(1, "Ana", "BOM", "Blue")]), DAY)
+        warehouse.apply_changes(spark, small_root, double, DAY)
+    warehouse.apply_changes(spark, small_root, airline.updates(spark, [(1, "Ana", "BOM", "Blue")]), DAY)
     other = airline.updates(spark, [(1, "Ana", "BOM", "Red")])
     with pytest.raises(LoadError, match="already_loaded"):
-        warehouse.apply_changes(spark, root, other, DAY)
-    assert warehouse.Warehouse(spark, root).version == 2
+        warehouse.apply_changes(spark, small_root, other, DAY)
+    assert warehouse.Warehouse(spark, small_root).version == 2
 
 
-def test_history_folders_are_kept(spark, root):
-    warehouse.load(spark, airline.feeds(spark), root)
+def test_history_folders_are_kept(spark, small_root):
     paths = []
     for day, tier in (("2025-03-01", "A"), ("2025-04-01", "B"), ("2025-05-01", "C")):
         staged = airline.updates(spark, [(1, "Ana", "BOM", tier)])
-        w = warehouse.apply_changes(spark, root, staged, day)
+        w = warehouse.apply_changes(spark, small_root, staged, day)
         history_paths = [p for p in w.paths("dim_passenger") if p.endswith(warehouse.HISTORY)]
         assert set(paths) <= set(history_paths)
         paths = history_paths
@@ -118,27 +115,25 @@ def test_violations_are_found(spark, versions):
     assert (found["ends_before_start"], found["flag_and_end_disagree"]) == (1, 1)
 
 
-def test_stream_applies_dates_in_order_and_once(spark, root, tmp_path):
-    warehouse.load(spark, airline.feeds(spark), root)
+def test_stream_applies_dates_in_order_and_once(spark, small_root, tmp_path):
     landing, progress = str(tmp_path / "landing"), str(tmp_path / "progress")
     change_feed.land(airline.updates(spark, [(1, "Ana", "BOM", "B")]), landing, "2025-04-01")
     change_feed.land(airline.updates(spark, [(1, "Ana", "BOM", "A")]), landing, "2025-03-01")
-    change_feed.run(spark, landing, root, progress)
-    w = warehouse.Warehouse(spark, root)
+    change_feed.run(spark, landing, small_root, progress)
+    w = warehouse.Warehouse(spark, small_root)
     assert w.version == 3
     assert rows(w["dim_passenger"].filter("passenger_id = 1"), "frequent_flyer_tier", "effective_to") == [
         ("A", date(2025, 3, 31)), ("B", OPEN), ("Gold", date(2025, 2, 28))]
-    change_feed.run(spark, landing, root, progress)
-    assert warehouse.Warehouse(spark, root).version == 3
+    change_feed.run(spark, landing, small_root, progress)
+    assert warehouse.Warehouse(spark, small_root).version == 3
     # A batch replayed in full after its versions were published is skipped.
     batch = spark.read.parquet(landing)
-    change_feed.apply_batch(batch, 0, root)
-    assert warehouse.Warehouse(spark, root).version == 3
+    change_feed.apply_batch(batch, 0, small_root)
+    assert warehouse.Warehouse(spark, small_root).version == 3
 
 
-def test_reports_keep_history(spark, root):
-    warehouse.load(spark, airline.feeds(spark), root)
-    w = warehouse.apply_changes(spark, root, airline.updates(spark, [(1, "Ana", "BOM", "Blue")]), DAY)
+def test_reports_keep_history(spark, small_root):
+    w = warehouse.apply_changes(spark, small_root, airline.updates(spark, [(1, "Ana", "BOM", "Blue")]), DAY)
     report = marts.revenue_as_was_as_is(w["fact_ticket_sales"], w["dim_passenger"])
     assert [r[:2] + (float(r[2]),) for r in rows(report)] == [
         ("Gold", "Blue", 100.0), ("Silver", "Silver", 900.0)]

@@ -7,13 +7,14 @@ import airline
 from airline import rows
 from starhouse.operators import checks, fact, layout
 from starhouse.operators.checks import LoadError
-from starhouse.plans import warehouse
+from conftest import DATA
+from starhouse.plans import catalog, warehouse
 from starhouse.plans.warehouse import Gates, Warehouse
 from starhouse.schemas import TABLES
 
 
-def test_load_publishes_every_table(spark, root):
-    w = warehouse.load(spark, airline.feeds(spark), root)
+def test_load_publishes_every_table(small):
+    w = small
     assert w.version == 1
     assert {n: w[n].count() for n in w.names()} == {
         "dim_date": 730, "dim_airport": 4, "dim_city": 4, "dim_country": 3, "dim_aircraft": 2,
@@ -23,19 +24,18 @@ def test_load_publishes_every_table(spark, root):
         assert sorted(w[name].dtypes) == sorted((f.name, f.dataType.simpleString()) for f in declared)
 
 
-def test_keys_restart_on_full_refresh(spark, root):
-    first = warehouse.load(spark, airline.feeds(spark), root)
-    again = warehouse.load(spark, airline.feeds(spark), root)
+def test_keys_restart_on_full_refresh(spark, small, small_root):
+    again = warehouse.load(spark, airline.feeds(spark), small_root)
     assert again.version == 2
-    for name in first.names():
-        assert rows(first[name]) == rows(again[name]), name
+    for name in small.names():
+        assert rows(small[name]) == rows(again[name]), name
     assert rows(again["fact_ticket_sales"], "ticket_sales_key") == [(1,), (2,), (3,), (4,)]
-    old = Warehouse(spark, root, version=1)
+    old = Warehouse(spark, small_root, version=1)
     assert old["dim_date"].count() == 730
 
 
-def test_same_city_name_in_two_countries(spark, root):
-    w = warehouse.load(spark, airline.feeds(spark), root)
+def test_same_city_name_in_two_countries(small):
+    w = small
     london = w["airport_geo"].filter("city_name = 'London'")
     assert rows(london, "airport_code", "country_name", "region") == [
         ("LHR", "United Kingdom", "Europe"), ("YXU", "Canada", "Americas")]
@@ -94,9 +94,8 @@ def test_repeated_flight_fans_out(spark, root):
         warehouse.load(spark, feeds, root, Gates(contract=False))
 
 
-def test_resolution_gate_and_rule_gates(spark, root):
-    w = warehouse.load(spark, airline.feeds(spark), root)
-    tables = {n: w[n] for n in w.names()}
+def test_resolution_gate_and_rule_gates(small):
+    tables = {n: small[n] for n in small.names()}
     checks.require_resolved(tables["fact_ticket_sales"], tables)
     tables["dim_aircraft"] = tables["dim_aircraft"].filter("aircraft_code <> 'A320'")
     with pytest.raises(LoadError) as refused:
@@ -133,34 +132,29 @@ def test_hot_month_is_sliced_and_keys_stay_dense(spark, root, fixed_partitions):
     assert january.select(F.input_file_name()).distinct().count() > 1
 
 
-def test_files_are_clustered_by_date_then_key(spark, root):
-    from starhouse.sources import tpch_feeds
-    from starhouse.plans import catalog
-
-    w = catalog.loaded(spark, "/root/testdata/sf0.001")
+def test_files_are_clustered_by_date_then_key(spark):
+    w = catalog.loaded(spark, f"{DATA}/sf0.001")
     files = w["fact_ticket_sales"].inputFiles()
-    assert tpch_feeds.LOAD_DATE and len(files) >= 80
+    assert len(files) >= 80
     for path in files[:6]:
         got = [tuple(r) for r in spark.read.parquet(path)
                .select("travel_date_key", "ticket_sales_key").collect()]
         assert got == sorted(got)
 
 
-def test_sql_names(spark, root):
-    warehouse.load(spark, airline.feeds(spark), root).register("dw")
+def test_sql_names(spark, small, small_root):
+    small.register("dw")
     month = spark.sql("""SELECT count(*) n, sum(fare_amount) fare FROM dw.FactTicketSales
                          WHERE travel_month = 202501""").first()
     assert (month["n"], float(month["fare"])) == (2, 400.5)
     staged = airline.updates(spark, [(1, "Ana", "BOM", "Platinum")])
-    warehouse.apply_changes(spark, root, staged, "2025-03-01").register("dw")
+    warehouse.apply_changes(spark, small_root, staged, "2025-03-01").register("dw")
     assert spark.sql("SELECT * FROM dw.DimPassenger WHERE passenger_id = 1").count() == 2
     assert spark.sql("SELECT region FROM dw.vDimAirportGeo WHERE airport_code = 'LHR'").first()[0] == "Europe"
 
 
 def test_filters_prune_month_folders(spark):
-    from starhouse.plans import catalog
-
-    w = catalog.loaded(spark, "/root/testdata/sf0.001")
+    w = catalog.loaded(spark, f"{DATA}/sf0.001")
     sales = w["fact_ticket_sales"]
     months = sales.select("travel_month").distinct().count()
 
