@@ -14,21 +14,13 @@ def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
                                        F.lit(last).cast("date").alias("last")))
 
 
-def calendar_covering(*dates: DataFrame) -> DataFrame:
-    """Whole years that cover every date in the given one-column frames.
-
-    Each frame is reduced to its own extremes first, so only one row per frame
-    leaves the scans.
-    """
-    spans = [
-        d.select(F.col(d.columns[0]).cast("date").alias("day"))
-        .agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-        for d in dates
-    ]
-    both = spans[0]
-    for span in spans[1:]:
-        both = both.unionByName(span)
-    span = both.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+def calendar_covering(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole years that cover every date in the given columns, found in one pass."""
+    days = [F.col(c).cast("date") for c in columns]
+    span = df.agg(
+        F.min(F.array_min(F.array(*days))).alias("lo"),
+        F.max(F.array_max(F.array(*days))).alias("hi"),
+    )
     return _days(
         span.select(
             F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("first"),

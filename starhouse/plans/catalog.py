@@ -56,7 +56,7 @@ def loaded(spark: SparkSession, folder: str) -> Warehouse:
     def build() -> Warehouse:
         feeds = bound.feeds(spark, folder, landed_bookings(spark, folder))
         return warehouse.load(spark, feeds, scratch_path(spark, "warehouse"),
-                              Gates(contract=False, load=False))
+                              Gates(contract=False, load=False), land=False)
 
     return _once("loaded", spark, folder, build)
 
@@ -113,7 +113,7 @@ def booking_flight_join(spark, folder):
 
 def dim_date(spark, folder):
     bookings = bound.unnumbered_bookings(spark, folder)
-    return calendar_covering(bookings.select("booking_date"), bookings.select("travel_date"))
+    return calendar_covering(bookings, "booking_date", "travel_date")
 
 
 def dim_airport(spark, folder):

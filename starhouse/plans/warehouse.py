@@ -82,19 +82,16 @@ def load(
     root: str,
     gates: Gates = Gates(),
     slice_rows: int = fact.SLICE_ROWS,
+    land: bool = True,
 ) -> Warehouse:
     """Rebuild every table from bronze and publish them together.
 
+    ``land`` first copies the feeds unchanged into bronze parquet, so that text
+    files are parsed once although checks and loads read them several times.
     Dimensions are written before the fact reads them back, so the fact joins
-    short parquet tables whose sizes Spark knows and broadcasts by itself.
+    tables whose sizes Spark knows, and short ones are broadcast without a hint.
     """
     store = Store(spark, root)
-    if gates.contract:
-        broken = contract.violations(feeds.bookings, feeds.flights, feeds.passengers)
-        checks.require_empty(broken.filter("violations > 0"), "bookings break the contract")
-    if gates.load:
-        require_geography(feeds.airports)
-
     paths: dict[str, list[str]] = {}
     built: dict[str, DataFrame] = {}
 
@@ -103,9 +100,15 @@ def load(
         built[table] = store.read_paths(paths[table], df.schema)
         return built[table]
 
-    def load_dates() -> None:
-        days = [feeds.bookings.select(c) for c in ("booking_date", "travel_date")]
-        keep("dim_date", calendar_covering(*days))
+    if land:
+        raw = feeds.by_table()
+        _together([partial(keep, name, df) for name, df in raw.items()])
+        feeds = Feeds.of_tables({name: built.pop(name) for name in raw})
+    if gates.contract:
+        broken = contract.violations(feeds.bookings, feeds.flights, feeds.passengers)
+        checks.require_empty(broken.filter("violations > 0"), "bookings break the contract")
+    if gates.load:
+        require_geography(feeds.airports)
 
     def load_geography() -> None:
         countries = keep("dim_country", geography.country_dimension(feeds.airports))
@@ -121,27 +124,56 @@ def load(
         built["dim_passenger"] = store.read_paths(paths["dim_passenger"], versions.schema)
 
     # Independent short loads share the cluster instead of queueing behind each other.
-    steps = [
-        load_dates, load_geography, load_passengers,
+    _together([
+        lambda: keep("dim_date", calendar_covering(feeds.bookings, "booking_date", "travel_date")),
+        load_geography,
+        load_passengers,
         lambda: keep("dim_aircraft", dimensions.aircraft_dimension(feeds.aircraft)),
         lambda: keep("dim_flight", dimensions.flight_dimension(feeds.flights)),
-    ]
-    _together(steps)
-
-    sales = fact.ticket_sales(
-        feeds.bookings,
-        fact.flight_keys(feeds.flights, built["dim_flight"], built["dim_airport"],
-                         built["dim_aircraft"]),
-        built["dim_passenger"],
-        built["dim_date"],
-    )
-    keep("fact_ticket_sales", fact.key_ticket_sales(sales, feeds.bookings, slice_rows))
+    ])
+    keep("fact_ticket_sales", _keyed_sales(feeds.bookings, feeds.flights, built, slice_rows))
     if gates.load:
         require_sound(feeds.bookings, built)
     store.publish(paths)
     return Warehouse(spark, root)
 
 
+def reload_fact(
+    spark: SparkSession,
+    root: str,
+    bookings: DataFrame,
+    flights: DataFrame,
+    slice_rows: int = fact.SLICE_ROWS,
+) -> Warehouse:
+    """Rebuild only the fact, on the published dimensions and their history.
+
+    Each booking takes the passenger version valid when it was made: looking up
+    the current version here would rewrite past reports.
+    """
+    now = Warehouse(spark, root)
+    tables = {name: now[name] for name in now.names() if TABLES[name].layer != "bronze"}
+    sales = _keyed_sales(bookings, flights, tables, slice_rows, as_of=True)
+    spec = TABLES["fact_ticket_sales"]
+    path = now.store.write(sales, spec.name, spec.partitioned_by)
+    tables[spec.name] = now.store.read_paths([path], sales.schema)
+    require_sound(bookings, tables)
+    now.store.publish({spec.name: [path]})
+    return Warehouse(spark, root)
+
+
+def _keyed_sales(
+    bookings: DataFrame,
+    flights: DataFrame,
+    dims: Mapping[str, DataFrame],
+    slice_rows: int,
+    as_of: bool = False,
+) -> DataFrame:
+    lookup = fact.flight_keys(flights, dims["dim_flight"], dims["dim_airport"],
+                              dims["dim_aircraft"])
+    sales = fact.ticket_sales(bookings, lookup, dims["dim_passenger"], dims["dim_date"], as_of)
+    return fact.key_ticket_sales(sales, bookings, slice_rows)
+
+
 def apply_changes(
     spark: SparkSession,
     root: str,
@@ -152,11 +184,13 @@ def apply_changes(
 ) -> Warehouse:
     """Apply one change feed to DimPassenger and publish the result.
 
-    The feed is checked before anything is written. Only current versions are
-    rewritten; versions that expire are added to the history folders.
+    The feed is landed and checked first. Only current versions are rewritten;
+    versions that expire are added to the history folders.
     """
     before = Warehouse(spark, root)
     versions, store = before["dim_passenger"], before.store
+    landed = store.write(staged, "stg_passenger_updates")
+    staged = store.read_paths([landed], staged.schema)
     current = before.current_passengers()
     problems = history.feed_problems(current, staged, load_date, null_safe)
     checks.require_empty(problems.filter("passengers > 0"), "change feed refused")
@@ -165,11 +199,15 @@ def apply_changes(
     updated = history.expire(current, staged, load_date, null_safe).unionByName(fresh)
     old = [p for p in before.paths("dim_passenger") if p.endswith(HISTORY)]
     paths = old + write_passengers(store, updated)
-    broken = history.history_violations(store.read_paths(paths))
+    # Only passengers in the feed can have become unsound.
+    touched = store.read_paths(paths, versions.schema).join(
+        staged.select("passenger_id"), "passenger_id", "left_semi"
+    )
+    broken = history.history_violations(touched)
     checks.require_empty(
         broken.filter("violations > 0 AND rule != 'gap'"), "history is not sound"
     )
-    store.publish({"dim_passenger": paths}, note)
+    store.publish({"dim_passenger": paths, "stg_passenger_updates": [landed]}, note)
     return Warehouse(spark, root)
 
 

@@ -24,6 +24,10 @@ class Feeds:
     def by_table(self) -> dict[str, DataFrame]:
         return {f"bronze_{name}": df for name, df in vars(self).items()}
 
+    @classmethod
+    def of_tables(cls, tables: dict[str, DataFrame]) -> Feeds:
+        return cls(**{name.removeprefix("bronze_"): df for name, df in tables.items()})
+
 
 def read_csv_feed(spark: SparkSession, path: str, feed: Table) -> DataFrame:
     """A feed file in its declared types; a value that does not parse stops the read."""

@@ -59,16 +59,14 @@ def _booking_rows(lines: DataFrame, orders: DataFrame, *extra: str) -> DataFrame
 def numbered_bookings(spark: SparkSession, folder: str) -> DataFrame:
     """Bookings with ``booking_id``: the rank of the line over all its columns.
 
-    lineitem has no key and holds identical rows; the place of a row in its
-    file breaks those ties, so even a huge group of copies is spread over
-    many range partitions.
+    lineitem has no key and holds identical rows; the row's place in its file
+    comes last in the order, so even a huge group of copies is spread over many
+    range partitions. Which copy gets which id does not matter.
     """
     lines = _table(spark, folder, "lineitem").select(
-        *_LINE_ORDER,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
+        *_LINE_ORDER, F.col("_metadata.row_index").alias("_row")
     )
-    order = [*_LINE_ORDER, "_file", "_row"]
+    order = [*_LINE_ORDER, "_row"]
     rows = _booking_rows(lines, _table(spark, folder, "orders"), *order)
     kept = [c for c in rows.columns if c not in order]
     return number_rows(rows, order, "booking_id", columns=kept)

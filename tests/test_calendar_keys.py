@@ -26,8 +26,9 @@ def test_week_starts_on_monday(spark):
 
 
 def test_calendar_covers_whole_years(spark):
-    dates = spark.sql("SELECT DATE'2024-06-01' d UNION ALL SELECT DATE'2025-02-03'")
-    span = calendar_covering(dates, spark.sql("SELECT DATE'2023-12-31' d"))
+    dates = spark.sql("""SELECT DATE'2024-06-01' a, DATE'2025-02-03' b
+                         UNION ALL SELECT DATE'2023-12-31', NULL""")
+    span = calendar_covering(dates, "a", "b")
     assert span.agg(F.min("date_key"), F.max("date_key"), F.count("*")).first()[:] == (
         20230101, 20251231, 365 + 366 + 365)
 

@@ -143,6 +143,17 @@ def test_reports_keep_history(spark, small_root):
         ("India", "India", 202501, "Gold"), ("India", "United Kingdom", 202502, "Silver")]
 
 
+def test_fact_reload_takes_the_version_valid_at_booking(spark, small_root):
+    feeds = airline.feeds(spark)
+    before = warehouse.apply_changes(
+        spark, small_root, airline.updates(spark, [(1, "Ana", "BOM", "Blue")]), "2025-01-03")
+    after = warehouse.reload_fact(spark, small_root, feeds.bookings, feeds.flights)
+    keys = dict(rows(after["fact_ticket_sales"], "booking_id", "passenger_key"))
+    assert keys == {100: 1, 101: 4, 102: 2, 103: 3}  # 101 was booked on the load date
+    assert rows(after["dim_passenger"]) == rows(before["dim_passenger"])
+    assert after.version == before.version + 1
+
+
 @settings(max_examples=6, deadline=None)
 @given(st.data())
 def test_as_of_paths_agree(spark, data):

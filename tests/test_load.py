@@ -18,7 +18,9 @@ def test_load_publishes_every_table(small):
     assert w.version == 1
     assert {n: w[n].count() for n in w.names()} == {
         "dim_date": 730, "dim_airport": 4, "dim_city": 4, "dim_country": 3, "dim_aircraft": 2,
-        "dim_flight": 3, "dim_passenger": 3, "fact_ticket_sales": 4, "airport_geo": 4}
+        "dim_flight": 3, "dim_passenger": 3, "fact_ticket_sales": 4, "airport_geo": 4,
+        "bronze_bookings": 4, "bronze_flights": 3, "bronze_passengers": 3, "bronze_airports": 4,
+        "bronze_aircraft": 2}
     for name in w.names():
         declared = TABLES[name].schema
         assert sorted(w[name].dtypes) == sorted((f.name, f.dataType.simpleString()) for f in declared)
