@@ -429,6 +429,7 @@ GROUP BY ALL HAVING count(*) > 1""",
     "bookings_before_signup": """
 SELECT count(*) AS bookings, count_if(booking_date < signup_date)::BIGINT AS before_signup
 FROM bookings JOIN passengers USING (passenger_id)""",
+    "scd2_adopted": f"SELECT {_VERSION_COLUMNS} FROM first_versions",
     "scd2_passenger": "SELECT * FROM versions",
     "scd2_streamed": "SELECT * FROM versions",
     "scd2_expire_step": "SELECT * FROM after_expiry",
@@ -482,6 +483,11 @@ SELECT 'flag_and_end_disagree',
 SELECT (travel_month // 100 * 12 + travel_month % 100 - 1995 * 12)::INTEGER AS partition_number,
        count(*) AS row_count
 FROM sales GROUP BY ALL""",
+    "partition_row_counts_with_empty": """
+SELECT number::INTEGER AS partition_number, count(booking_id) AS row_count
+FROM range(1, 85) AS r(number)
+LEFT JOIN sales ON travel_month // 100 * 12 + travel_month % 100 - 1995 * 12 = number
+GROUP BY number""",
     "partition_key_filter": """
 SELECT count(*) AS bookings, sum(fare_amount)::DECIMAL(38,2) AS fare
 FROM sales WHERE travel_month = 199703""",

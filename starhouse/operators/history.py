@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starhouse.operators.keys import assign_keys
-from starhouse.schemas import OPEN_ENDED, TRACKED
+from starhouse.schemas import FIRST_EFFECTIVE, OPEN_ENDED, TRACKED
 
 
 def _differs(old: str, new: str, null_safe: bool) -> Column:
@@ -30,6 +30,17 @@ def _staged_values(staged: DataFrame) -> DataFrame:
     return staged.select("passenger_id", *[F.col(c).alias(f"new_{c}") for c in TRACKED])
 
 
+def adopt(versions: DataFrame, first_effective: str = FIRST_EFFECTIVE) -> DataFrame:
+    """Prepare a dimension loaded under the older column names for change feeds.
+
+    ``effective_date`` and ``expiry_date`` become ``effective_from`` and
+    ``effective_to``, and every version present starts at ``first_effective``.
+    """
+    return versions.withColumnsRenamed(
+        {"effective_date": "effective_from", "expiry_date": "effective_to"}
+    ).withColumn("effective_from", F.lit(first_effective).cast("date"))
+
+
 def expire(
     versions: DataFrame, staged: DataFrame, load_date: str, null_safe: bool = False
 ) -> DataFrame:

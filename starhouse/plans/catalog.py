@@ -278,6 +278,14 @@ def scd2_passenger(spark, folder):
     return changed(spark, folder)["dim_passenger"]
 
 
+def scd2_adopted(spark, folder):
+    """A dimension started at signup, under its first column names, made ready for feeds."""
+    older = dim_passenger_from_signup(spark, folder).withColumnsRenamed(
+        {"effective_from": "effective_date", "effective_to": "expiry_date"}
+    )
+    return history.adopt(older)
+
+
 def scd2_expire_step(spark, folder):
     return history.expire(loaded(spark, folder)["dim_passenger"],
                           bound.passenger_updates(spark, folder), bound.LOAD_DATE)
@@ -340,6 +348,11 @@ def partition_row_counts(spark, folder):
     return layout.rows_per_partition(loaded(spark, folder)["fact_ticket_sales"], BOUNDARIES)
 
 
+def partition_row_counts_with_empty(spark, folder):
+    return layout.rows_per_partition(loaded(spark, folder)["fact_ticket_sales"], BOUNDARIES,
+                                     include_empty=True)
+
+
 def partition_key_filter(spark, folder):
     sales = loaded(spark, folder)["fact_ticket_sales"]
     return layout.booking_totals(sales.filter(layout.travel_between(19970301, 19970331)))
@@ -409,10 +422,11 @@ QUERIES: dict[str, Query] = {
         load_row_counts, fact_resolution, unloaded_bookings, measure_reconciliation,
         key_duplicates, table_rule_violations, orphan_flights, orphan_passengers, fd_violations,
         booking_flight_fan_out, repeat_passenger_flight, bookings_before_signup,
-        scd2_passenger, scd2_expire_step, scd2_insert_step, scd2_totals, scd2_changed_versions,
+        scd2_passenger, scd2_adopted, scd2_expire_step, scd2_insert_step, scd2_totals, scd2_changed_versions,
         scd2_new_members, scd2_change_breakdown, scd2_feed_problems, scd2_invariants,
         scd2_streamed,
-        partition_row_counts, partition_key_filter, nonpartition_filter, quarter_by_calendar,
+        partition_row_counts, partition_row_counts_with_empty, partition_key_filter,
+        nonpartition_filter, quarter_by_calendar,
         contract_violations, amounts_finer_than_cents, unexpected_values, late_deliveries,
         delivery_summary, missed_delivery_days,
     )

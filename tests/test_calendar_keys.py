@@ -7,6 +7,7 @@ from airline import rows
 from starhouse.functions.ranges import month_starts, range_right
 from starhouse.operators import keys
 from starhouse.operators.calendar import calendar, calendar_covering
+from starhouse.session import scratch_path
 
 # The monthly boundaries of 2025 and 2026.
 BOUNDARIES = month_starts(202502, 202612)
@@ -70,3 +71,9 @@ def test_keys_follow_the_business_key(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
     numbered = keys.number_rows(df, ["v"], "k")
     assert [r["v"] for r in numbered.orderBy("k").collect()] == sorted(values)
+
+
+def test_scratch_folder_comes_from_the_session(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    paths = {scratch_path(spark, "x") for _ in range(3)}
+    assert len(paths) == 3 and all(p.startswith(shared) for p in paths)
