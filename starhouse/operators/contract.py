@@ -21,7 +21,7 @@ def more_than_two_decimals(amount: Column) -> Column:
     return exact != F.round(exact, 2)
 
 
-def field_rules() -> dict[str, Column]:
+def field_rules(schema: T.StructType) -> dict[str, Column]:
     """Violation predicates that need one booking row only."""
     rules = {f"null_{c}": F.col(c).isNull() for c in BOOKINGS.schema.names}
     rules |= {
@@ -30,10 +30,14 @@ def field_rules() -> dict[str, Column]:
         "fare_not_positive": F.col("fare_amount") <= 0,
         "tax_negative": F.col("tax_amount") < 0,
         "miles_negative": F.col("miles_earned") < 0,
-        "fare_finer_than_cents": more_than_two_decimals(F.col("fare_amount")),
-        "tax_finer_than_cents": more_than_two_decimals(F.col("tax_amount")),
         "booked_after_travel": F.col("booking_date") > F.col("travel_date"),
     }
+    for name in ("fare", "tax"):
+        kind = schema[f"{name}_amount"].dataType
+        in_cents = isinstance(kind, T.DecimalType) and kind.scale <= 2  # holds by type
+        rules[f"{name}_finer_than_cents"] = (
+            F.lit(False) if in_cents else more_than_two_decimals(F.col(f"{name}_amount"))
+        )
     return rules
 
 
@@ -44,7 +48,7 @@ def violations(bookings: DataFrame, flights: DataFrame, passengers: DataFrame) -
     counted per (flight, travel date) and per passenger, so hot flights or
     passengers travel as single rows.
     """
-    rules = field_rules()
+    rules = field_rules(bookings.schema)
     fields = bookings.agg(*[F.count_if(p).alias(name) for name, p in rules.items()])
 
     flown = (

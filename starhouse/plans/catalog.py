@@ -1,9 +1,9 @@
 """The registered queries: every operator bound to the TPC-H-like tables.
 
-Three derived states are built on first use and shared by the queries of a
-session, as tables in the cluster's shared folder: the landed bookings feed,
-the warehouse after the full load, and the same warehouse after the change
-feed. Everything else is computed from the given tables on each call.
+Derived tables are built on first use in the cluster's shared folder and used by
+all queries of a session: the landed bookings feed, the warehouse after the full
+load, and the same warehouse after the change feed. Everything else is computed
+on each call.
 """
 
 from __future__ import annotations
@@ -72,6 +72,14 @@ def changed(spark: SparkSession, folder: str) -> Warehouse:
     return _once("changed", spark, folder, build)
 
 
+def flight_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    def build() -> DataFrame:
+        w = loaded(spark, folder)
+        return warehouse.flight_lookup(bound.flights(spark, folder), {n: w[n] for n in w.names()})
+
+    return _once("flight keys", spark, folder, build)
+
+
 # Marts ------------------------------------------------------------------------------------
 
 
@@ -112,7 +120,7 @@ def booking_flight_join(spark, folder):
 
 
 def dim_date(spark, folder):
-    bookings = bound.unnumbered_bookings(spark, folder)
+    bookings = landed_bookings(spark, folder)
     return calendar_covering(bookings, "booking_date", "travel_date")
 
 
@@ -176,10 +184,8 @@ def fact_key_range(spark, folder):
 def fact_loaded_as_of(spark, folder):
     """Reload of the fact with the passenger version valid at booking."""
     w = changed(spark, folder)
-    lookup = fact.flight_keys(bound.flights(spark, folder), w["dim_flight"], w["dim_airport"],
-                              w["dim_aircraft"])
-    return fact.ticket_sales(landed_bookings(spark, folder), lookup, w["dim_passenger"],
-                             w["dim_date"], as_of=True)
+    return fact.ticket_sales(landed_bookings(spark, folder), flight_lookup(spark, folder),
+                             w["dim_passenger"], w["dim_date"], as_of=True)
 
 
 def asof_passenger_lookup(spark, folder):
@@ -211,10 +217,8 @@ def unloaded_bookings(spark, folder):
     """Planted defect: the calendar ends early, so later travel cannot load."""
     w = loaded(spark, folder)
     bookings = landed_bookings(spark, folder)
-    lookup = fact.flight_keys(bound.flights(spark, folder), w["dim_flight"], w["dim_airport"],
-                              w["dim_aircraft"])
     short = w["dim_date"].filter(F.col("full_date") <= F.lit(SHORT_CALENDAR_END).cast("date"))
-    sales = fact.ticket_sales(bookings, lookup, w["dim_passenger"], short)
+    sales = fact.ticket_sales(bookings, flight_lookup(spark, folder), w["dim_passenger"], short)
     return checks.not_loaded(bookings, sales)
 
 
@@ -238,13 +242,13 @@ def table_rule_violations(spark, folder):
 def orphan_flights(spark, folder):
     """Planted defect: the flight feed lacks every 50th flight."""
     known = bound.flights(spark, folder).filter(F.col("flight_id") % DROPPED_PARENTS != 0)
-    return checks.orphans(bound.unnumbered_bookings(spark, folder), "flight_id", known,
+    return checks.orphans(landed_bookings(spark, folder), "flight_id", known,
                           "flight_id")
 
 
 def orphan_passengers(spark, folder):
     known = bound.passengers(spark, folder).filter(F.col("passenger_id") % DROPPED_PARENTS != 0)
-    return checks.orphans(bound.unnumbered_bookings(spark, folder), "passenger_id", known,
+    return checks.orphans(landed_bookings(spark, folder), "passenger_id", known,
                           "passenger_id")
 
 
@@ -259,15 +263,15 @@ def fd_violations(spark, folder):
 
 
 def booking_flight_fan_out(spark, folder):
-    return checks.fan_out(bound.unnumbered_bookings(spark, folder), bound.flights(spark, folder))
+    return checks.fan_out(landed_bookings(spark, folder), bound.flights(spark, folder))
 
 
 def repeat_passenger_flight(spark, folder):
-    return checks.repeated_pairs(bound.unnumbered_bookings(spark, folder))
+    return checks.repeated_pairs(landed_bookings(spark, folder))
 
 
 def bookings_before_signup(spark, folder):
-    return checks.booked_before_signup(bound.unnumbered_bookings(spark, folder),
+    return checks.booked_before_signup(landed_bookings(spark, folder),
                                        bound.passengers(spark, folder))
 
 
@@ -389,7 +393,7 @@ def amounts_finer_than_cents(spark, folder):
 
 def unexpected_values(spark, folder):
     """Planted change: the allowed set does not know First."""
-    return contract.unexpected_values(bound.unnumbered_bookings(spark, folder), "fare_class",
+    return contract.unexpected_values(landed_bookings(spark, folder), "fare_class",
                                       [c for c in FARE_CLASSES if c != "First"])
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from starhouse.operators import checks, contract, dimensions, fact, geography, history
 from starhouse.operators.calendar import calendar_covering
 from starhouse.schemas import TABLES
+from starhouse.session import stored
 from starhouse.sources.feeds import Feeds
 from starhouse.sources.store import Store
 
@@ -131,7 +132,9 @@ def load(
         lambda: keep("dim_aircraft", dimensions.aircraft_dimension(feeds.aircraft)),
         lambda: keep("dim_flight", dimensions.flight_dimension(feeds.flights)),
     ])
-    keep("fact_ticket_sales", _keyed_sales(feeds.bookings, feeds.flights, built, slice_rows))
+    lookup = flight_lookup(feeds.flights, built)
+    sales = fact.ticket_sales(feeds.bookings, lookup, built["dim_passenger"], built["dim_date"])
+    keep("fact_ticket_sales", fact.key_ticket_sales(sales, feeds.bookings, slice_rows))
     if gates.load:
         require_sound(feeds.bookings, built)
     store.publish(paths)
@@ -152,7 +155,9 @@ def reload_fact(
     """
     now = Warehouse(spark, root)
     tables = {name: now[name] for name in now.names() if TABLES[name].layer != "bronze"}
-    sales = _keyed_sales(bookings, flights, tables, slice_rows, as_of=True)
+    sales = fact.ticket_sales(bookings, flight_lookup(flights, tables), tables["dim_passenger"],
+                              tables["dim_date"], as_of=True)
+    sales = fact.key_ticket_sales(sales, bookings, slice_rows)
     spec = TABLES["fact_ticket_sales"]
     path = now.store.write(sales, spec.name, spec.partitioned_by)
     tables[spec.name] = now.store.read_paths([path], sales.schema)
@@ -161,17 +166,15 @@ def reload_fact(
     return Warehouse(spark, root)
 
 
-def _keyed_sales(
-    bookings: DataFrame,
-    flights: DataFrame,
-    dims: Mapping[str, DataFrame],
-    slice_rows: int,
-    as_of: bool = False,
-) -> DataFrame:
-    lookup = fact.flight_keys(flights, dims["dim_flight"], dims["dim_airport"],
-                              dims["dim_aircraft"])
-    sales = fact.ticket_sales(bookings, lookup, dims["dim_passenger"], dims["dim_date"], as_of)
-    return fact.key_ticket_sales(sales, bookings, slice_rows)
+def flight_lookup(flights: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Flight keys, stored so that the fact join is planned on their real size.
+
+    Estimated through its own joins, even a short lookup looks too large to
+    broadcast, and the bookings would be shuffled for it.
+    """
+    keys = fact.flight_keys(flights, dims["dim_flight"], dims["dim_airport"],
+                            dims["dim_aircraft"])
+    return stored(keys, "flight-keys")
 
 
 def apply_changes(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", name: str = "starhouse", **conf: str) -> SparkSession:
@@ -39,3 +39,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
         root = tempfile.gettempdir()
     app = spark.sparkContext.applicationId
     return f"{root.rstrip('/')}/starhouse/{app}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    Used where a later plan should know the real size of a derived frame, or
+    read it several times without recomputing it.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,11 +29,6 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def unnumbered_bookings(spark: SparkSession, folder: str) -> DataFrame:
-    """Bookings without their id, straight from the two scans."""
-    return _booking_rows(_table(spark, folder, "lineitem"), _table(spark, folder, "orders"))
-
-
 def _booking_rows(lines: DataFrame, orders: DataFrame, *extra: str) -> DataFrame:
     fare = F.col("l_extendedprice").cast("decimal(12,2)")
     line, status = F.col("l_linenumber"), F.col("o_orderstatus")
