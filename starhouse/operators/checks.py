@@ -148,7 +148,7 @@ def booked_before_signup(bookings: DataFrame, passengers: DataFrame) -> DataFram
 
 def require_same_count(bookings: DataFrame, fact: DataFrame) -> None:
     if bookings.count() != fact.count():
-        raise LoadError("fact row count does not match the bookings feed", COUNT_MISMATCH)
+        raise LoadError("fact and bookings feed differ in row count", COUNT_MISMATCH)
 
 
 def require_resolved(fact: DataFrame, dims: Mapping[str, DataFrame]) -> None:

@@ -70,6 +70,8 @@ class Table:
         return [f.name for f in self.schema if not f.nullable]
 
 
+# The column names and types below are the interface of feeds and tables.
+
 BOOKINGS = Table(
     "bronze_bookings", "bronze_bookings", "bronze", "booking feed as received",
     """booking_id INT NOT NULL, passenger_id INT NOT NULL, flight_id INT NOT NULL,
