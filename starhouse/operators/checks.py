@@ -8,21 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.schemas import TABLES, Table
+from starhouse.schemas import TABLES, LoadError, Table
 
 # The error codes of the two load gates.
 COUNT_MISMATCH = 50001
 UNRESOLVED_ROWS = 50002
 
 
-class LoadError(Exception):
-    """A gate refused the load."""
-
-    def __init__(self, message: str, code: int | None = None):
-        super().__init__(message if code is None else f"[{code}] {message}")
-        self.code = code
-
-
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, layer, row_count) of every table given."""
     counts = [

@@ -8,6 +8,7 @@ on each call.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +34,15 @@ SHORT_CALENDAR_END = "2001-06-30"
 DROPPED_PARENTS = 50
 
 _built: dict[tuple[str, str, str], object] = {}
+_building = threading.RLock()
 
 
 def _once(kind: str, spark: SparkSession, folder: str, build: Callable[[], object]):
     key = (spark.sparkContext.applicationId, kind, folder)
-    if key not in _built:
-        _built[key] = build()
-    return _built[key]
+    with _building:
+        if key not in _built:
+            _built[key] = build()
+        return _built[key]
 
 
 def landed_bookings(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,6 +26,14 @@ TRACKED = ("frequent_flyer_tier", "home_airport_code")
 REVENUE_STATUS = "Confirmed"
 
 
+class LoadError(Exception):
+    """A gate refused the load."""
+
+    def __init__(self, message: str, code: int | None = None):
+        super().__init__(message if code is None else f"[{code}] {message}")
+        self.code = code
+
+
 # The column types in use; reading them here keeps the declarations free of a session.
 _TYPES = {
     "INT": T.IntegerType(), "BIGINT": T.LongType(), "STRING": T.StringType(),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starhouse.schemas import FEEDS, Table
+from starhouse.schemas import FEEDS, LoadError, Table
 
 
 @dataclass(frozen=True)
@@ -29,24 +29,60 @@ class Feeds:
         return cls(**{name.removeprefix("bronze_"): df for name, df in tables.items()})
 
 
+_CSV = {"header": True, "mode": "FAILFAST", "enforceSchema": False, "dateFormat": "yyyy-MM-dd",
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+_EXACT = T.DecimalType(38, 18)
+
+
+def delivered_schema(spark: SparkSession, path: str, feed: Table) -> T.StructType:
+    """The columns a feed file names, declared ones in their declared type, others as text.
+
+    ``operators.contract.schema_drift`` compares it with the declared schema.
+    """
+    declared = {f.name: f for f in feed.schema}
+    header = spark.read.options(header=True).csv(path).columns
+    return T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in header])
+
+
 def read_csv_feed(spark: SparkSession, path: str, feed: Table) -> DataFrame:
-    """A feed file in its declared types; a value that does not parse stops the read."""
+    """A feed file in its declared types.
+
+    Columns are found by name and extra ones ignored; a missing column, a value
+    that does not parse or an amount with too many decimals stops the read.
+    """
+    schema = delivered_schema(spark, path, feed)
+    missing = [c for c in feed.schema.names if c not in schema.names]
+    if missing:
+        raise LoadError(f"{feed.name}: no column {', '.join(missing)} in {path}")
+    # The CSV reader would round amounts to the declared scale without a word.
+    wide = T.StructType([
+        T.StructField(f.name, _EXACT if isinstance(f.dataType, T.DecimalType) else f.dataType)
+        for f in schema
+    ])
+    rows = spark.read.schema(wide).options(**_CSV).csv(path)
+    return rows.select(*[
+        _unrounded(f) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+        for f in feed.schema
+    ])
+
+
+def _unrounded(field: T.StructField) -> Column:
+    value, scale = F.col(field.name), field.dataType.scale
+    finer = F.concat(F.lit(f"{field.name} has more than {scale} decimals: "), value.cast("string"))
     return (
-        spark.read.schema(feed.schema)
-        .options(header=True, mode="FAILFAST", enforceSchema=False, dateFormat="yyyy-MM-dd")
-        .csv(path)
+        F.when(value != F.round(value, scale), F.raise_error(finer))
+        .otherwise(value.cast(field.dataType))
+        .alias(field.name)
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """A feed file as text, unchanged, for the contract checks to judge."""
-    text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        spark.read.schema(text)
-        .options(header=True, mode="FAILFAST", enforceSchema=False,
-                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        .csv(path)
-    )
+    header = spark.read.options(header=True).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    return spark.read.schema(text).options(**_CSV).csv(path)
 
 
 def read_parquet_feed(spark: SparkSession, path: str, feed: Table) -> DataFrame:

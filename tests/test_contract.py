@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 import airline
 from airline import rows
 from starhouse.operators import checks, contract
-from starhouse.schemas import BOOKING_STATUSES, BOOKINGS, FARE_CLASSES, TABLES
+from starhouse.schemas import BOOKING_STATUSES, BOOKINGS, FARE_CLASSES, TABLES, LoadError
 from starhouse.sources import feeds as sources
 
 COLUMNS = BOOKINGS.schema.names
@@ -117,17 +117,43 @@ def test_csv_feeds(spark, tmp_path):
     read = sources.read_feeds(spark, str(tmp_path))
     for name, df in read.by_table().items():
         assert rows(df) == rows(feeds.by_table()[name])
-    raw = sources.read_raw_csv(spark, str(tmp_path / "bronze_bookings.csv"), COLUMNS)
+    raw = sources.read_raw_csv(spark, str(tmp_path / "bronze_bookings.csv"))
     assert rows(contract.type_violations(raw, BOOKINGS.schema).filter("bad_rows > 0")) == []
     assert rows(sources.conform(raw, BOOKINGS)) == rows(feeds.bookings)
 
 
+def test_added_column_is_ignored_and_a_missing_one_refused(spark, tmp_path):
+    wide, narrow = str(tmp_path / "wide.csv"), str(tmp_path / "narrow.csv")
+    booked = airline.bookings(spark)
+    booked.withColumn("booking_channel", F.lit("web")).write.option("header", True).csv(wide)
+    booked.withColumnRenamed("fare_amount", "base_fare").write.option("header", True).csv(narrow)
+    assert rows(sources.read_csv_feed(spark, wide, BOOKINGS)) == rows(booked)
+    drift = contract.schema_drift(BOOKINGS.schema, sources.delivered_schema(spark, wide, BOOKINGS))
+    assert drift == [("booking_channel", "added", False)]
+    with pytest.raises(LoadError, match="fare_amount"):
+        sources.read_csv_feed(spark, narrow, BOOKINGS)
+    drift = contract.schema_drift(BOOKINGS.schema, sources.delivered_schema(spark, narrow, BOOKINGS))
+    assert ("fare_amount", "missing", True) in drift
+
+
+def test_parquet_feed_is_conformed(spark, tmp_path):
+    path = str(tmp_path / "b.parquet")
+    booked = airline.bookings(spark)
+    booked.withColumn("miles_earned", F.col("miles_earned").cast("bigint")).write.parquet(path)
+    read = sources.read_parquet_feed(spark, path, BOOKINGS)
+    assert read.dtypes == booked.dtypes and rows(read) == rows(booked)
+
+
 def test_bad_csv_value_stops_the_typed_read(spark, tmp_path):
     path = str(tmp_path / "b.csv")
     airline.bookings(spark).withColumn("travel_date", F.lit("soon")).write.option("header", True).csv(path)
+    finer = str(tmp_path / "finer.csv")
+    airline.bookings(spark).withColumn("tax_amount", F.lit("10.005")).write.option("header", True).csv(finer)
+    with pytest.raises((PySparkException, Py4JJavaError), match="more than 2 decimals"):
+        sources.read_csv_feed(spark, finer, BOOKINGS).collect()
     with pytest.raises((PySparkException, Py4JJavaError), match="MALFORMED|soon"):
         sources.read_csv_feed(spark, path, BOOKINGS).collect()
-    raw = sources.read_raw_csv(spark, path, COLUMNS)
+    raw = sources.read_raw_csv(spark, path)
     assert rows(contract.type_violations(raw, BOOKINGS.schema).filter("bad_rows > 0")) == [
         ("travel_date", 4)]
 

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 import airline
 from airline import rows
 from starhouse.operators import fact, history
-from starhouse.operators.checks import LoadError
 from starhouse.operators.dimensions import passenger_dimension
 from starhouse.plans import marts, warehouse
+from starhouse.schemas import LoadError
 from starhouse.streaming import change_feed
 
 DAY = "2025-03-01"

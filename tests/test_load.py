@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 import airline
 from airline import rows
 from starhouse.operators import checks, fact, layout
-from starhouse.operators.checks import LoadError
 from conftest import DATA
 from starhouse.plans import catalog, warehouse
 from starhouse.plans.warehouse import Gates, Warehouse
-from starhouse.schemas import TABLES
+from starhouse.schemas import TABLES, LoadError
 
 
 def test_load_publishes_every_table(small):
