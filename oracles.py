@@ -266,6 +266,20 @@ _TABLE_RULES = [
           ("dim_passenger", "first_versions", "passenger_id IS NULL OR passenger_name IS NULL"),
           ("fact_ticket_sales", "sales", "fare_amount IS NULL OR tax_amount IS NULL"),
           ("airport_geo", "geo", "city_name IS NULL OR country_name IS NULL"))],
+    *[_table_rule(t, "length", "SELECT " + " + ".join(
+        f"count_if(length({c}) > {n})" for c, n in limits.items()) + f" FROM {source}")
+      for t, source, limits in (
+          ("dim_date", "dates", {"month_name": 12, "day_name": 12}),
+          ("dim_country", "countries", {"country_name": 60, "region": 40}),
+          ("dim_city", "cities", {"city_name": 60}),
+          ("dim_airport", "geo", {"airport_name": 100}),
+          ("dim_aircraft", "keyed_aircraft",
+           {"aircraft_code": 10, "model": 50, "manufacturer": 50}),
+          ("dim_flight", "keyed_flights", {"flight_number": 10}),
+          ("dim_passenger", "first_versions", {"passenger_name": 100, "frequent_flyer_tier": 20}),
+          ("fact_ticket_sales", "sales", {"fare_class": 20, "booking_status": 20}),
+          ("airport_geo", "geo",
+           {"airport_name": 100, "city_name": 60, "country_name": 60, "region": 40}))],
     _table_rule("fact_ticket_sales", "allowed values", """
         SELECT count_if(fare_class NOT IN ('Economy', 'Premium Economy', 'Business', 'First'))
              + count_if(booking_status NOT IN ('Confirmed', 'Cancelled', 'NoShow'))

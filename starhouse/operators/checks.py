@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.schemas import TABLES, LoadError, Table
+from starhouse.schemas import LENGTHS, TABLES, LoadError, Table
 
 # The error codes of the two load gates.
 COUNT_MISMATCH = 50001
@@ -87,10 +87,27 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.unpivot([], list(columns), "column_name", "null_rows")
 
 
-def outside_allowed(df: DataFrame, allowed: Mapping[str, Sequence]) -> DataFrame:
-    """(column_name, bad_rows) of non-null values outside the allowed sets, one pass."""
-    counts = df.agg(*[F.count_if(~F.col(c).isin(list(v))).alias(c) for c, v in allowed.items()])
-    return counts.unpivot([], list(allowed), "column_name", "bad_rows")
+def column_violations(table: Table, df: DataFrame) -> DataFrame:
+    """(rule, column_name, violations) of the table's column rules, all in one pass.
+
+    Rules are ``not null``, ``allowed values`` and ``length``; the last applies to
+    text columns only.
+    """
+    text = {name for name, kind in df.dtypes if kind == "string"}
+    rules = [("not null", c, F.col(c).isNull()) for c in table.required]
+    rules += [
+        ("allowed values", c, ~F.col(c).isin(list(values))) for c, values in table.allowed.items()
+    ]
+    rules += [
+        ("length", c, ~F.length(c).between(*LENGTHS[c]))
+        for c in table.schema.names if c in LENGTHS and c in text
+    ]
+    counts = df.agg(*[F.count_if(broken).alias(str(i)) for i, (_, _, broken) in enumerate(rules)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column_name"),
+                 F.col(str(i)).alias("violations"))
+        for i, (rule, column, _) in enumerate(rules)
+    ])))
 
 
 def fan_out(bookings: DataFrame, flights: DataFrame) -> DataFrame:
@@ -162,12 +179,9 @@ def require_empty(df: DataFrame, message: str) -> None:
 def require_table_rules(
     table: Table, df: DataFrame, tables: Mapping[str, DataFrame] | None = None
 ) -> None:
-    """Not-null, allowed values, keys and references as declared for the table."""
-    nulls = null_counts(df, table.required)
-    require_empty(nulls.filter("null_rows > 0"), f"{table.name}: NULL in a required column")
-    if table.allowed:
-        bad = outside_allowed(df, table.allowed)
-        require_empty(bad.filter("bad_rows > 0"), f"{table.name}: value not allowed")
+    """Column rules, keys and references as declared for the table."""
+    broken = column_violations(table, df).filter("violations > 0")
+    require_empty(broken, f"{table.name}: broken column rule")
     for key in filter(None, (table.key, *table.unique)):
         require_empty(duplicate_keys(df, key), f"{table.name}: {', '.join(key)} repeats")
     for ref in table.references if tables else ():

@@ -215,27 +215,24 @@ def apply_changes(
 
 
 def rule_report(tables: Warehouse) -> DataFrame:
-    """(table_name, rule, violations) of all declared keys, references and checks."""
+    """(table_name, rule, violations) of all declared column rules, keys and references."""
     parts = []
     for name in tables.names():
         spec, df = TABLES[name], tables[name]
 
-        def counted(found: DataFrame, rule: str, total: Column) -> DataFrame:
-            return found.agg(F.coalesce(total, F.lit(0)).cast("bigint").alias("violations")).select(
-                F.lit(spec.name).alias("table_name"), F.lit(rule).alias("rule"), "violations"
-            )
+        def named(counts: DataFrame, rule: Column) -> DataFrame:
+            return counts.select(F.lit(spec.name).alias("table_name"), rule.alias("rule"),
+                                 F.coalesce("violations", F.lit(0)).alias("violations"))
 
-        nulls = checks.null_counts(df, spec.required)
-        parts.append(counted(nulls, "not null", F.sum("null_rows")))
-        if spec.allowed:
-            bad = checks.outside_allowed(df, spec.allowed)
-            parts.append(counted(bad, "allowed values", F.sum("bad_rows")))
+        columns = checks.column_violations(spec, df).groupBy("rule")
+        parts.append(named(columns.agg(F.sum("violations").alias("violations")), F.col("rule")))
+        rows = F.sum("row_count").alias("violations")
         for key in filter(None, (spec.key, *spec.unique)):
-            twice = checks.duplicate_keys(df, key)
-            parts.append(counted(twice, f"unique {', '.join(key)}", F.sum("row_count")))
+            twice = checks.duplicate_keys(df, key).agg(rows)
+            parts.append(named(twice, F.lit(f"unique {', '.join(key)}")))
         for ref in spec.references:
-            lost = checks.orphans(df, ref.column, tables[ref.table], ref.key)
-            parts.append(counted(lost, f"{ref.column} in {ref.table}", F.sum("row_count")))
+            lost = checks.orphans(df, ref.column, tables[ref.table], ref.key).agg(rows)
+            parts.append(named(lost, F.lit(f"{ref.column} in {ref.table}")))
     return reduce(DataFrame.unionByName, parts)
 
 

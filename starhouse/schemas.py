@@ -42,6 +42,19 @@ _TYPES = {
 _COLUMN = re.compile(r"(\w+) (\w+(?:\(\d+,\d+\))?)( NOT NULL)?")
 
 
+# Shortest and longest text a column may hold, wherever it occurs.
+LENGTHS = {
+    "airport_code": (3, 3), "home_airport_code": (3, 3),
+    "origin_airport_code": (3, 3), "dest_airport_code": (3, 3),
+    "passenger_name": (0, 100), "airport_name": (0, 100),
+    "city": (0, 60), "country": (0, 60), "city_name": (0, 60), "country_name": (0, 60),
+    "model": (0, 50), "manufacturer": (0, 50), "region": (0, 40),
+    "frequent_flyer_tier": (0, 20), "fare_class": (0, 20), "booking_status": (0, 20),
+    "month_name": (0, 12), "day_name": (0, 12), "aircraft_code": (0, 10),
+    "flight_number": (0, 10),
+}
+
+
 @dataclass(frozen=True)
 class Reference:
     """``column`` must exist as ``key`` in ``table``."""

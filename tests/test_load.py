@@ -108,11 +108,15 @@ def test_resolution_gate_and_rule_gates(small):
     with pytest.raises(LoadError, match="city_key repeats"):
         checks.require_table_rules(TABLES["dim_city"], bad)
     bad = tables["fact_ticket_sales"].withColumn("booking_count", F.lit(2))
-    with pytest.raises(LoadError, match="not allowed"):
+    with pytest.raises(LoadError, match="allowed values"):
         checks.require_table_rules(TABLES["fact_ticket_sales"], bad)
     bad = tables["dim_airport"].withColumn("city_key", F.lit(None).cast("int"))
-    with pytest.raises(LoadError, match="NULL"):
+    with pytest.raises(LoadError, match="not null"):
         checks.require_table_rules(TABLES["dim_airport"], bad)
+    for code in ("LO", "LOND"):
+        bad = tables["dim_airport"].withColumn("airport_code", F.lit(code))
+        with pytest.raises(LoadError, match="length"):
+            checks.require_table_rules(TABLES["dim_airport"], bad)
 
 
 def test_hot_month_is_sliced_and_keys_stay_dense(spark, root, fixed_partitions):
