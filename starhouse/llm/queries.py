@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse.llm import (
-    bpe, decontaminate, language, line_dedup, ngram_join, quality, token_counts, url_filter, warc,
+    bpe, decontaminate, language, line_dedup, ngram_join, quality, suffix_dedup, token_counts,
+    url_filter, warc,
 )
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -64,6 +65,12 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, folder, "documents"), digest=True)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                        F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, folder, "documents"), RANKS, PATTERN,
                                      fields=("source", "lang", "text"))
@@ -78,7 +85,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (op1_ngram_jaccard_join, op2_language_id, op3_url_filters, op4_warc, op5_byte_bpe,
-              op6_decontamination, op7_line_dedup, op9_token_counts, op10_quality_rules)
+              op6_decontamination, op7_line_dedup, op8_suffix_array_dedup, op9_token_counts, op10_quality_rules)
 }
 
 _FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
