@@ -37,10 +37,10 @@ SELECT booking_id, o_custkey AS passenger_id, l_partkey AS flight_id,
 FROM numbered_lines""")
 
 _part("flights", """
-SELECT p_partkey AS flight_id, p_name AS flight_number,
+SELECT p_partkey AS flight_id, 'F' || (p_partkey % 100000000) AS flight_number,
        DATE '1995-01-01' + p_size AS flight_date,
-       (p_partkey % 25)::INTEGER AS origin_airport_code,
-       ((p_partkey + p_size) % 25)::INTEGER AS dest_airport_code,
+       'A' || lpad((p_partkey % 25)::VARCHAR, 2, '0') AS origin_airport_code,
+       'A' || lpad(((p_partkey + p_size) % 25)::VARCHAR, 2, '0') AS dest_airport_code,
        p_brand AS aircraft_code
 FROM part""")
 
@@ -50,20 +50,22 @@ SELECT p_brand AS aircraft_code, p_brand AS model, min(p_type) AS manufacturer,
 FROM part GROUP BY p_brand""")
 
 _part("passengers", """
-SELECT c_custkey AS passenger_id, c_name AS passenger_name, c_nationkey AS home_airport_code,
+SELECT c_custkey AS passenger_id, c_name AS passenger_name,
+       'A' || lpad((c_nationkey % 25)::VARCHAR, 2, '0') AS home_airport_code,
        c_mktsegment AS frequent_flyer_tier,
        DATE '1995-01-01' + (c_custkey % 1000)::INTEGER AS signup_date
 FROM customer""")
 
 _part("airports", """
-SELECT n_nationkey AS airport_code, n_name AS airport_name,
+SELECT 'A' || lpad((n_nationkey % 25)::VARCHAR, 2, '0') AS airport_code, n_name AS airport_name,
        'CITY_' || r_regionkey || '_' || (n_nationkey % 10) AS city, r_name AS country,
        CASE WHEN r_regionkey < 2 THEN 'WEST' ELSE 'EAST' END AS region
 FROM nation JOIN region ON r_regionkey = n_regionkey""")
 
 _part("staged", """
 SELECT passenger_id, passenger_name,
-       CASE WHEN passenger_id % 11 = 0 THEN (home_airport_code + 1) % 25
+       CASE WHEN passenger_id % 11 = 0 
+            THEN 'A' || lpad(((home_airport_code[2:]::INTEGER + 1) % 25)::VARCHAR, 2, '0')
             ELSE home_airport_code END AS home_airport_code,
        CASE WHEN passenger_id % 7 = 0 THEN frequent_flyer_tier || '_PLUS'
             ELSE frequent_flyer_tier END AS frequent_flyer_tier
@@ -75,15 +77,9 @@ FROM passengers WHERE passenger_id % 30 = 0""")
 
 # Dimensions ------------------------------------------------------------------------------
 
-_part("date_span", """
-SELECT min(least(booking_date, travel_date)) AS lo, max(greatest(booking_date, travel_date)) AS hi
-FROM bookings""")
-
 _part("days", """
-SELECT unnest(generate_series(make_date(year(lo)::INTEGER, 1, 1)::TIMESTAMP,
-                              make_date(year(hi)::INTEGER, 12, 31)::TIMESTAMP,
-                              INTERVAL 1 DAY))::DATE AS d
-FROM date_span""")
+SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31',
+                              INTERVAL 1 DAY))::DATE AS d""")
 
 _part("dates", """
 SELECT strftime(d, '%Y%m%d')::INTEGER AS date_key, d AS full_date, year(d)::INTEGER AS year,
@@ -366,7 +362,66 @@ FROM first_versions""",
     "dim_airport_snowflaked": "SELECT airport_key, airport_code, airport_name, city_key FROM geo",
     "airport_geo_view": """
 SELECT airport_key, airport_code, airport_name, city_name, country_name, region FROM geo""",
-    "fact_ticket_sales": "SELECT * FROM sales",
+    "fact_ticket_sales": """
+SELECT row_number() OVER (ORDER BY travel_date_key, booking_id) AS ticket_sales_key, * FROM sales""",
+    "asof_many_versions": """
+WITH placed AS (
+    SELECT o_orderkey AS booking_id, c_nationkey AS passenger_id, o_orderdate::DATE AS day
+    FROM orders JOIN customer ON c_custkey = o_custkey),
+starts AS (SELECT DISTINCT passenger_id, day AS opened FROM placed)
+SELECT booking_id, p.passenger_id, p.day + 2 AS booking_date,
+       p.passenger_id * 100000 + max(opened - DATE '1990-01-01') AS passenger_key
+FROM placed p JOIN starts o ON o.passenger_id = p.passenger_id AND opened <= p.day + 2
+GROUP BY booking_id, p.passenger_id, p.day""",
+    "load_gates": f"""
+SELECT gate, given AS input, code::INTEGER AS code,
+       CASE WHEN refused THEN 'refused' ELSE 'passed' END AS outcome
+FROM (
+  SELECT 'row_counts' AS gate, 'sound' AS given, NULL AS code, FALSE AS refused
+  UNION ALL SELECT 'row_counts', 'planted', 50001, count_if(booking_id % 50 = 0) > 0 FROM bookings
+  UNION ALL SELECT 'resolution', 'sound', NULL, count(*) <> (SELECT count(*) FROM bookings) FROM sales
+  UNION ALL SELECT 'resolution', 'planted', 50002,
+                   count_if(greatest(booking_date, travel_date) > DATE '2001-06-30') > 0 FROM bookings
+  UNION ALL SELECT 'contract', 'planted', NULL, count_if(booking_date > travel_date) > 0 FROM bookings
+  UNION ALL SELECT 'feed_rules', 'sound', NULL, count_if(passenger_name IS NULL) > 0 FROM staged
+  UNION ALL SELECT 'feed_rules', 'planted', NULL, count(*) > 0 FROM staged)""",
+    "scd2_feed_rules": """
+SELECT 'not null' AS rule, 'passenger_id' AS column_name,
+       count_if(passenger_id % 5 = 0)::BIGINT AS violations FROM staged
+UNION ALL SELECT 'not null', 'passenger_name', count_if(passenger_id % 3 = 0)::BIGINT FROM staged
+UNION ALL SELECT 'length', 'passenger_name', 0::BIGINT
+UNION ALL SELECT 'length', 'home_airport_code', count_if(passenger_id % 4 = 0)::BIGINT FROM staged
+UNION ALL SELECT 'length', 'frequent_flyer_tier',
+       count_if(passenger_id % 2 = 0 AND length(frequent_flyer_tier) * 9 > 20)::BIGINT FROM staged""",
+    "months_read": """
+SELECT 'partition_key_filter' AS query, count(DISTINCT travel_month) AS months
+FROM sales WHERE travel_month = 199703
+UNION ALL SELECT 'nonpartition_filter', count(DISTINCT travel_month) FROM sales
+UNION ALL SELECT 'quarter_by_calendar', count(DISTINCT travel_month) FROM sales
+WHERE travel_month BETWEEN 199701 AND 199703""",
+    "month_totals_by_sql": """
+SELECT year(travel_date)::INTEGER AS year, month(travel_date)::INTEGER AS month,
+       count(*) AS bookings, sum(fare_amount)::DECIMAL(38,2) AS fare
+FROM bookings GROUP BY ALL""",
+    "planted_values": """
+WITH planted AS (
+    SELECT CASE booking_id % 100 WHEN 1 THEN ' ' || booking_status
+                WHEN 2 THEN upper(booking_status) WHEN 3 THEN 'Waitlisted'
+                ELSE booking_status END AS value,
+           CASE booking_id % 100 WHEN 1 THEN 'padded' WHEN 2 THEN 'case' WHEN 3 THEN 'new' END AS kind
+    FROM bookings)
+SELECT 'booking_status' AS column_name, value, kind, count(*) AS row_count
+FROM planted WHERE kind IS NOT NULL GROUP BY value, kind""",
+    "csv_feed_report": """
+SELECT 'missing' AS finding, 'tax_amount' AS column_name, 1::BIGINT AS n
+UNION ALL SELECT 'added', 'source_system', 1::BIGINT
+UNION ALL SELECT 'not parsed', 'miles_earned', count_if(booking_id % 40 = 0)::BIGINT FROM bookings
+UNION ALL SELECT 'finer than a cent', 'fare_amount', count_if(booking_id % 50 = 0)::BIGINT
+FROM bookings""",
+    "csv_feed_read": """
+SELECT booking_id::BIGINT AS booking_id, passenger_id::INTEGER AS passenger_id,
+       flight_id::INTEGER AS flight_id, booking_date, travel_date, fare_class, fare_amount,
+       tax_amount, booking_status, miles_earned FROM bookings""",
     "fact_key_range": """
 SELECT count(*) AS row_count, least(1, count(*)) AS first_key, count(*) AS last_key,
        count(DISTINCT booking_id) AS distinct_keys
@@ -477,6 +532,35 @@ FROM staged JOIN versions USING (passenger_id)
 WHERE is_current AND effective_from >= DATE '1998-07-01'
   AND (staged.frequent_flyer_tier || '_2' <> versions.frequent_flyer_tier
        OR staged.home_airport_code <> versions.home_airport_code)""",
+    "scd2_planted_invariants": """
+WITH moved AS (
+    SELECT passenger_id,
+           CASE WHEN NOT is_current THEN effective_from
+                WHEN passenger_id % 17 = 0 THEN effective_from + 5
+                WHEN passenger_id % 19 = 0 THEN effective_from - 5
+                ELSE effective_from END AS effective_from,
+           CASE WHEN passenger_id % 23 = 0 THEN DATE '1850-01-01' ELSE effective_to END
+               AS effective_to,
+           is_current OR passenger_id % 29 = 0 AS is_current
+    FROM versions),
+broken AS (SELECT * FROM moved UNION ALL SELECT * FROM moved WHERE passenger_id % 31 = 0),
+starts AS (SELECT passenger_id, effective_from, max(effective_to) AS effective_to
+           FROM broken GROUP BY passenger_id, effective_from),
+spans AS (
+    SELECT *, lead(effective_from) OVER (PARTITION BY passenger_id
+                                         ORDER BY effective_from) AS following
+    FROM starts),
+owners AS (SELECT passenger_id, count_if(is_current) AS n FROM broken GROUP BY passenger_id)
+SELECT 'same_start' AS rule, (count(*) - count(DISTINCT (passenger_id, effective_from)))::BIGINT
+           AS violations FROM broken
+UNION ALL
+SELECT 'ends_before_start', count_if(effective_to < effective_from)::BIGINT FROM broken
+UNION ALL SELECT 'overlap', count_if(following <= effective_to)::BIGINT FROM spans
+UNION ALL SELECT 'gap', count_if(following - effective_to > 1)::BIGINT FROM spans
+UNION ALL SELECT 'not_one_current', count_if(n <> 1)::BIGINT FROM owners
+UNION ALL
+SELECT 'flag_and_end_disagree',
+       count_if(is_current <> (effective_to = DATE '9999-12-31'))::BIGINT FROM broken""",
     "scd2_invariants": """
 WITH spans AS (
     SELECT *, lead(effective_from) OVER (PARTITION BY passenger_id

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starhouse.functions.numbers import finer_than
 from starhouse.schemas import BOOKING_STATUSES, BOOKINGS, FARE_CLASSES
 
 # A delivery is due by 06:00 UTC and late after 08:00 UTC.
@@ -16,9 +17,8 @@ DUE_HOUR, LATE_HOUR = 6, 8
 
 
 def more_than_two_decimals(amount: Column) -> Column:
-    """True where an amount is finer than a cent; works on text and doubles too."""
-    exact = amount.try_cast("decimal(38,10)")
-    return exact != F.round(exact, 2)
+    """True where an amount is finer than a cent; judges text and doubles by their digits."""
+    return finer_than(amount, 2)
 
 
 def field_rules(schema: T.StructType) -> dict[str, Column]:

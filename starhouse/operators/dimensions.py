@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starhouse.operators.keys import assign_keys
-from starhouse.schemas import FIRST_EFFECTIVE, OPEN_ENDED
+from starhouse.schemas import FIRST_EFFECTIVE, MOST_AIRPORTS, OPEN_ENDED
 
 
 def airport_dimension(airports: DataFrame) -> DataFrame:
     """Flat airports with their city, country and region."""
     flat = airports.select("airport_code", "airport_name", "city", "country", "region")
-    return assign_keys(flat, ["airport_code"], "airport_key")
+    return assign_keys(flat, ["airport_code"], "airport_key", at_most=MOST_AIRPORTS)
 
 
 def aircraft_dimension(aircraft: DataFrame) -> DataFrame:

@@ -5,12 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starhouse.functions.dates import month_key
-
-# Versions per passenger up to which a booking is compared with each of them.
-DIRECT_VERSIONS = 64
-# Fact rows per output slice: months with more bookings are written by several tasks.
-SLICE_ROWS = 4_000_000
+from starhouse.operators.keys import number_rows
+from starhouse.session import stored
 
 
 def booking_flights(bookings: DataFrame, flights: DataFrame) -> DataFrame:
@@ -54,28 +50,17 @@ def current_versions(bookings: DataFrame, dim_passenger: DataFrame) -> DataFrame
     return bookings.join(current, "passenger_id")
 
 
-def versions_as_of(
-    bookings: DataFrame, dim_passenger: DataFrame, direct_versions: int = DIRECT_VERSIONS
-) -> DataFrame:
+def versions_as_of(bookings: DataFrame, dim_passenger: DataFrame) -> DataFrame:
     """Bookings with the key of the version valid on the booking date.
 
-    With few versions per passenger an equi join plus the interval test is
-    cheapest. If some passenger has more than ``direct_versions``, that join
-    would compare every booking of the passenger with every version, so the
-    versions are laid on a timeline of distinct (passenger, day) marks instead:
-    a passenger then has at most one booking mark and one version mark per
-    calendar day, however many bookings there are.
+    Versions and bookings are laid on one timeline of distinct (passenger, day)
+    marks: a passenger has at most one booking mark and one version mark per
+    calendar day, however many bookings or versions there are. Needs a sound
+    history (``history.require_sound_history``): versions of a passenger do not
+    overlap; a booking in a gap between versions finds none.
     """
     versions = dim_passenger.select("passenger_id", "passenger_key", "effective_from",
                                     "effective_to")
-    widest = versions.groupBy("passenger_id").count().agg(F.max("count")).first()[0] or 0
-    if widest <= direct_versions:
-        within = F.col("booking_date").between(F.col("effective_from"), F.col("effective_to"))
-        return (
-            bookings.join(versions, "passenger_id")
-            .filter(within)
-            .drop("effective_from", "effective_to")
-        )
     marks = (
         bookings.select("passenger_id", F.col("booking_date").alias("day"))
         .distinct()
@@ -141,39 +126,14 @@ def ticket_sales(
     )
 
 
-def key_ticket_sales(
-    sales: DataFrame, bookings: DataFrame, slice_rows: int = SLICE_ROWS
-) -> DataFrame:
-    """Add dense ``ticket_sales_key`` values and lay rows out for the month sink.
-
-    A month is cut into as many hash slices as its bookings need, so a month
-    that holds a third of the data is sorted and written by many tasks. Slice
-    sizes are counted first on two columns of the bookings; their running sum
-    is each slice's first key. The one shuffle by (month, slice) serves the
-    ranking, the clustered order inside the files and the partitioned write.
-    ``booking_id`` is unique, which keeps the slices even.
-    """
-    narrow = bookings.select(
-        month_key(F.col("travel_date").cast("date")).alias("travel_month"), "booking_id"
-    )
-    months = narrow.groupBy("travel_month").agg(
-        F.ceil(F.count("*") / slice_rows).cast("int").alias("slices")
-    )
+def key_ticket_sales(sales: DataFrame) -> DataFrame:
+    """Add dense ``ticket_sales_key`` values in the order of travel date and booking.
 
-    def sliced(df: DataFrame) -> DataFrame:
-        # One row per calendar month: its size is bounded by the date type itself.
-        slice_no = F.pmod(F.xxhash64(F.col("booking_id").cast("bigint")), F.col("slices"))
-        return df.join(F.broadcast(months), "travel_month").withColumn("slice", slice_no)
-
-    counts = sliced(narrow).groupBy("travel_month", "slice").agg(F.count("*").alias("n"))
-    before = Window.orderBy("travel_month", "slice").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice, at most rows / slice_rows + months of them.
-    offsets = counts.select("travel_month", "slice",
-                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    in_slice = Window.partitionBy("travel_month", "slice").orderBy("travel_date_key", "booking_id")
-    return (
-        sliced(sales)
-        .withColumn("rank", F.row_number().over(in_slice))
-        .join(F.broadcast(offsets), ["travel_month", "slice"])
-        .select((F.col("offset") + F.col("rank")).alias("ticket_sales_key"), *sales.columns)
-    )
+    The keys depend on the rows only. Rows are range-partitioned on the whole
+    order, so a month or day that holds a third of the data is keyed, and then
+    written, by many tasks. The joined rows are stored first: the range bounds
+    are sampled from them, and the joins are not run twice.
+    """
+    rows = stored(sales, "ticket-sales")
+    keyed = number_rows(rows, ["travel_date_key", "booking_id"], "ticket_sales_key")
+    return keyed.sortWithinPartitions("travel_month", "ticket_sales_key")

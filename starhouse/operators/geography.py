@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starhouse.operators.keys import assign_keys
+from starhouse.schemas import MOST_AIRPORTS
 
 
 def country_dimension(airports: DataFrame) -> DataFrame:
     rows = airports.select(F.col("country").alias("country_name"), "region").distinct()
-    return assign_keys(rows, ["country_name"], "country_key")
+    return assign_keys(rows, ["country_name"], "country_key", at_most=MOST_AIRPORTS)
 
 
 def city_dimension(airports: DataFrame, countries: DataFrame) -> DataFrame:
@@ -21,7 +22,7 @@ def city_dimension(airports: DataFrame, countries: DataFrame) -> DataFrame:
         .join(countries.select("country_name", "country_key"), "country_name")
         .select("city_name", "country_key")
     )
-    return assign_keys(rows, ["country_key", "city_name"], "city_key")
+    return assign_keys(rows, ["country_key", "city_name"], "city_key", at_most=MOST_AIRPORTS)
 
 
 def link_airports(

@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starhouse.operators.checks import column_violations, require_empty
 from starhouse.operators.keys import assign_keys
-from starhouse.schemas import FIRST_EFFECTIVE, OPEN_ENDED, TRACKED
+from starhouse.schemas import FIRST_EFFECTIVE, OPEN_ENDED, PASSENGER_UPDATES, TRACKED
 
 
 def _differs(old: str, new: str, null_safe: bool) -> Column:
@@ -35,7 +36,11 @@ def adopt(versions: DataFrame, first_effective: str = FIRST_EFFECTIVE) -> DataFr
 
     ``effective_date`` and ``expiry_date`` become ``effective_from`` and
     ``effective_to``, and every version present starts at ``first_effective``.
+    A dimension that holds history already is refused: its versions would all
+    start on one day.
     """
+    twice = versions.groupBy("passenger_id").count().filter("count > 1")
+    require_empty(twice, "adopted dimension holds history")
     return versions.withColumnsRenamed(
         {"effective_date": "effective_from", "expiry_date": "effective_to"}
     ).withColumn("effective_from", F.lit(first_effective).cast("date"))
@@ -133,6 +138,17 @@ def feed_problems(
     )
 
 
+def feed_rules(staged: DataFrame) -> DataFrame:
+    """(rule, column_name, violations) of the feed's own columns: NULLs and text lengths."""
+    return column_violations(PASSENGER_UPDATES, staged)
+
+
+def require_sound_history(versions: DataFrame) -> None:
+    """Refuse versions that overlap, repeat or end before they start; gaps are allowed."""
+    broken = history_violations(versions).filter("violations > 0 AND rule <> 'gap'")
+    require_empty(broken, "history is not sound")
+
+
 def version_totals(versions: DataFrame) -> DataFrame:
     return versions.agg(
         F.count("*").alias("total_rows"),

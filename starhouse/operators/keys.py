@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starhouse.session import scratch_path
 
-# A single-task sort is used only for inputs counted to be at most this long.
+# A caller's bound up to which one sort is cheaper than a distributed one; the keys are the same.
 SINGLE_TASK_ROWS = 100_000
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low bits
@@ -25,12 +25,11 @@ def assign_keys(
 ) -> DataFrame:
     """Prepend ``key``: first, first + 1, ... in the order of a unique business key.
 
-    ``at_most`` is a known upper bound on the row count; without it the rows are
-    counted. Short inputs are ranked by one window, longer ones by
-    :func:`number_rows`, which never brings the rows together.
+    Rows are numbered by :func:`number_rows`, which never brings them together,
+    unless the caller knows an upper bound on their number (``at_most``) that is
+    small enough for one window.
     """
-    bound = df.count() if at_most is None else at_most
-    if bound > SINGLE_TASK_ROWS:
+    if at_most is None or at_most > SINGLE_TASK_ROWS:
         return number_rows(df, order_by, key, first, key_type)
     rank = F.row_number().over(Window.orderBy(*order_by))
     return df.select((rank + (first - 1)).cast(key_type).alias(key), *df.columns)

@@ -10,18 +10,21 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starhouse.functions.ranges import month_starts
 from starhouse.operators import checks, contract, dimensions, fact, geography, history, layout
-from starhouse.operators.calendar import calendar_covering
+from starhouse.operators.calendar import calendar
 from starhouse.plans import marts, warehouse
 from starhouse.plans.warehouse import Gates, Warehouse
-from starhouse.schemas import FARE_CLASSES
+from starhouse.schemas import BOOKING_STATUSES, BOOKINGS, FARE_CLASSES, OPEN_ENDED
 from starhouse.session import scratch_path
 from starhouse.sources import tpch_feeds as bound
+from starhouse.sources.feeds import delivered_schema, read_csv_feed, read_raw_csv
 from starhouse.sources.store import Store
 from starhouse.streaming import change_feed
 
@@ -29,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Monthly boundaries of the range partition function on the bound data's years.
 BOUNDARIES = month_starts(199502, 200112)
+# The declared calendar of the bound data.
+CALENDAR = ("1995-01-01", "2001-12-31")
 # Last calendar day and dropped parents used to plant defects the checks must find.
 SHORT_CALENDAR_END = "2001-06-30"
 DROPPED_PARENTS = 50
@@ -52,14 +57,15 @@ def landed_bookings(spark: SparkSession, folder: str) -> DataFrame:
 def loaded(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse after the full load, before any change feed.
 
-    The bound data breaks the airline contract by design (see the contract
-    queries), and its checks are registered queries, so the load is not gated.
+    The feeds are landed and all load gates are on. Only the contract gate is
+    off: the bound dates break the booking rules by design (see the contract
+    queries and ``load_gates``).
     """
 
     def build() -> Warehouse:
         feeds = bound.feeds(spark, folder, landed_bookings(spark, folder))
         return warehouse.load(spark, feeds, scratch_path(spark, "warehouse"),
-                              Gates(contract=False, load=False), land=False)
+                              CALENDAR, Gates(contract=False))
 
     return _once("loaded", spark, folder, build)
 
@@ -123,8 +129,7 @@ def booking_flight_join(spark, folder):
 
 
 def dim_date(spark, folder):
-    bookings = landed_bookings(spark, folder)
-    return calendar_covering(bookings, "booking_date", "travel_date")
+    return calendar(spark, *CALENDAR)
 
 
 def dim_airport(spark, folder):
@@ -173,7 +178,7 @@ def airport_geo_view(spark, folder):
 
 
 def fact_ticket_sales(spark, folder):
-    return loaded(spark, folder)["fact_ticket_sales"].drop("ticket_sales_key")
+    return loaded(spark, folder)["fact_ticket_sales"]
 
 
 def fact_key_range(spark, folder):
@@ -200,6 +205,24 @@ def asof_passenger_lookup(spark, folder):
     return hits.select("booking_id", "passenger_id", "booking_date", "passenger_key")
 
 
+def asof_many_versions(spark, folder):
+    """Nations in the role of passengers: every day with an order opens a version."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    customers = spark.read.parquet(f"{folder}/customer.parquet")
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("booking_id"), F.col("c_nationkey").alias("passenger_id"),
+        F.col("o_orderdate").cast("date").alias("day"))
+    following = F.lead("day").over(Window.partitionBy("passenger_id").orderBy("day"))
+    number = F.datediff("day", F.lit("1990-01-01").cast("date"))
+    versions = placed.select("passenger_id", "day").distinct().select(
+        "passenger_id", (F.col("passenger_id") * 100_000 + number).alias("passenger_key"),
+        F.col("day").alias("effective_from"),
+        F.coalesce(F.date_sub(following, 1), F.lit(OPEN_ENDED).cast("date")).alias("effective_to"))
+    booked = placed.select("booking_id", "passenger_id", F.date_add("day", 2).alias("booking_date"))
+    return fact.versions_as_of(booked, versions).select(
+        "booking_id", "passenger_id", "booking_date", "passenger_key")
+
+
 # Load validation --------------------------------------------------------------------------
 
 
@@ -211,6 +234,34 @@ def load_row_counts(spark, folder):
     return checks.row_counts({**tables, **feeds})
 
 
+def load_gates(spark, folder):
+    """(gate, input, code, outcome): every gate on the sound load and on a planted defect."""
+    w, bookings = loaded(spark, folder), landed_bookings(spark, folder)
+    sales, dims = w["fact_ticket_sales"], {n: w[n] for n in w.names()}
+    fewer = sales.filter(F.col("booking_id") % DROPPED_PARENTS != 0)
+    early = dims["dim_date"].filter(F.col("full_date") <= F.lit(SHORT_CALENDAR_END).cast("date"))
+    broken = contract.violations(bookings, bound.flights(spark, folder),
+                                 bound.passengers(spark, folder)).filter("violations > 0")
+    staged = bound.passenger_updates(spark, folder)
+    nameless = staged.withColumn("passenger_name", F.lit(None).cast("string"))
+    steps = [
+        ("row_counts", "sound", partial(checks.require_same_count, bookings, sales)),
+        ("row_counts", "planted", partial(checks.require_same_count, bookings, fewer)),
+        ("resolution", "sound", partial(checks.require_resolved, sales, dims)),
+        ("resolution", "planted",
+         partial(checks.require_resolved, sales, {**dims, "dim_date": early})),
+        ("contract", "planted", partial(checks.require_empty, broken, "bookings")),
+        ("feed_rules", "sound", partial(_require_feed_rules, staged)),
+        ("feed_rules", "planted", partial(_require_feed_rules, nameless)),
+    ]
+    rows = [(gate, given, *checks.outcome(step)) for gate, given, step in steps]
+    return spark.createDataFrame(rows, "gate string, input string, code int, outcome string")
+
+
+def _require_feed_rules(staged):
+    checks.require_empty(history.feed_rules(staged).filter("violations > 0"), "feed")
+
+
 def fact_resolution(spark, folder):
     w = loaded(spark, folder)
     return checks.resolved_rows(w["fact_ticket_sales"], {n: w[n] for n in w.names()})
@@ -329,6 +380,31 @@ def scd2_feed_problems(spark, folder):
                                  bound.LOAD_DATE)
 
 
+def scd2_feed_rules(spark, folder):
+    """Planted defects: feed rows without id or name, with long tiers and four-letter homes."""
+    pid = F.col("passenger_id")
+    broken = bound.passenger_updates(spark, folder).select(
+        F.when(pid % 5 != 0, pid).alias("passenger_id"),
+        F.when(pid % 3 != 0, F.col("passenger_name")).alias("passenger_name"),
+        F.when(pid % 4 == 0, "ABCD").otherwise(F.col("home_airport_code")).alias("home_airport_code"),
+        F.when(pid % 2 == 0, F.repeat("frequent_flyer_tier", 9))
+        .otherwise(F.col("frequent_flyer_tier")).alias("frequent_flyer_tier"))
+    return history.feed_rules(broken)
+
+
+def scd2_planted_invariants(spark, folder):
+    """Planted defects: repeated, reversed, overlapping, unclosed and late versions."""
+    versions, pid = changed(spark, folder)["dim_passenger"], F.col("passenger_id")
+    days = F.col("effective_from")
+    moved = (F.when(pid % 17 == 0, F.date_add(days, 5)).when(pid % 19 == 0, F.date_sub(days, 5))
+             .otherwise(days))
+    ended = F.when(pid % 23 == 0, F.lit("1850-01-01").cast("date")).otherwise(F.col("effective_to"))
+    broken = versions.withColumns({
+        "effective_from": F.when(F.col("is_current"), moved).otherwise(days),
+        "effective_to": ended, "is_current": F.col("is_current") | (pid % 29 == 0)})
+    return history.history_violations(broken.unionByName(broken.filter(pid % 31 == 0)))
+
+
 def scd2_invariants(spark, folder):
     return history.history_violations(changed(spark, folder)["dim_passenger"])
 
@@ -376,6 +452,23 @@ def quarter_by_calendar(spark, folder):
     return layout.booking_totals(layout.travelled_on(w["fact_ticket_sales"], days))
 
 
+def months_read(spark, folder):
+    """Pruning evidence: month folders that each query's scan of the fact has read."""
+    runs = {f.__name__: f for f in (partition_key_filter, nonpartition_filter, quarter_by_calendar)}
+    rows = [(name, max(s["partitions"] for s in layout.scan_metrics(query(spark, folder))))
+            for name, query in runs.items()]
+    return spark.createDataFrame(rows, "query string, months long")
+
+
+def month_totals_by_sql(spark, folder):
+    """SQL over the registered tables of schema dw."""
+    loaded(spark, folder).register("dw")
+    return spark.sql("""
+        SELECT d.year, d.month, count(*) AS bookings, sum(s.fare_amount) AS fare
+        FROM dw.FactTicketSales s JOIN dw.DimDate d ON d.date_key = s.travel_date_key
+        GROUP BY d.year, d.month""").withColumn("fare", F.col("fare").cast("decimal(38,2)"))
+
+
 # Contract ---------------------------------------------------------------------------------
 
 
@@ -400,6 +493,55 @@ def unexpected_values(spark, folder):
                                       [c for c in FARE_CLASSES if c != "First"])
 
 
+def planted_values(spark, folder):
+    """Planted values: padded, in another case, and new ones."""
+    line = F.col("booking_id") % 100
+    status = F.col("booking_status")
+    planted = landed_bookings(spark, folder).withColumn(
+        "booking_status", F.when(line == 1, F.concat(F.lit(" "), status))
+        .when(line == 2, F.upper(status)).when(line == 3, "Waitlisted").otherwise(status))
+    return contract.unexpected_values(planted, "booking_status", BOOKING_STATUSES)
+
+
+def csv_feed_report(spark, folder):
+    """(finding, column_name, n) of a bookings feed delivered as CSV with planted defects.
+
+    The file lacks the tax, has a column more, and holds amounts finer than a cent and miles
+    that are no numbers.
+    """
+    bid = F.col("booking_id")
+    fare, miles = F.col("fare_amount").cast("string"), F.col("miles_earned").cast("string")
+    delivered = landed_bookings(spark, folder).drop("tax_amount").withColumns({
+        "fare_amount": F.when(bid % 50 == 0, F.concat(fare, F.lit("000000000001"))).otherwise(fare),
+        "miles_earned": F.when(bid % 40 == 0, "many").otherwise(miles),
+        "source_system": F.lit("web"),
+    })
+    path = scratch_path(spark, "csv-feed")
+    delivered.write.option("header", True).csv(path)
+    raw = read_raw_csv(spark, path)
+    drift = contract.schema_drift(BOOKINGS.schema, delivered_schema(spark, path, BOOKINGS))
+    changes = [(change, column, int(breaking)) for column, change, breaking in drift
+               if change != "moved"]
+    present = T.StructType([f for f in BOOKINGS.schema if f.name in raw.columns])
+    bad = contract.type_violations(raw, present).filter("bad_rows > 0")
+    finer = raw.agg(F.count_if(contract.more_than_two_decimals(F.col("fare_amount"))).alias("n"))
+    return (
+        spark.createDataFrame(changes, "finding string, column_name string, n long")
+        .unionByName(bad.select(F.lit("not parsed").alias("finding"), "column_name",
+                                F.col("bad_rows").alias("n")))
+        .unionByName(finer.select(F.lit("finer than a cent").alias("finding"),
+                                  F.lit("fare_amount").alias("column_name"), "n"))
+    )
+
+
+def csv_feed_read(spark, folder):
+    """The bookings feed written as CSV and read back in its declared types."""
+    path = scratch_path(spark, "csv-feed")
+    landed_bookings(spark, folder).withColumn("source_system", F.lit("web")).write.option(
+        "header", True).csv(path)
+    return read_csv_feed(spark, path, BOOKINGS)
+
+
 def _arrivals(spark, folder):
     return spark.read.parquet(f"{folder}/events.parquet")
 
@@ -424,7 +566,9 @@ QUERIES: dict[str, Query] = {
         average_fare_by_class, revenue_as_was_as_is,
         bronze_bookings, booking_flight_join, dim_date, dim_airport, dim_aircraft, dim_flight,
         dim_passenger_initial, dim_passenger_from_signup, dim_country, dim_city,
-        dim_airport_snowflaked, airport_geo_view,
+        dim_airport_snowflaked, airport_geo_view, asof_many_versions, load_gates,
+        scd2_feed_rules, scd2_planted_invariants, months_read, month_totals_by_sql,
+        planted_values, csv_feed_report, csv_feed_read,
         fact_ticket_sales, fact_key_range, fact_loaded_as_of, asof_passenger_lookup,
         load_row_counts, fact_resolution, unloaded_bookings, measure_reconciliation,
         key_duplicates, table_rule_violations, orphan_flights, orphan_passengers, fd_violations,

@@ -22,6 +22,9 @@ BOOKING_STATUSES = ("Confirmed", "Cancelled", "NoShow")
 # The two passenger attributes whose change opens a new version.
 TRACKED = ("frequent_flyer_tier", "home_airport_code")
 
+# Distinct codes that three letters or digits can make (see LENGTHS).
+MOST_AIRPORTS = 36**3
+
 # Revenue counts these bookings only, unless a report says otherwise.
 REVENUE_STATUS = "Confirmed"
 
@@ -95,7 +98,7 @@ class Table:
 
 BOOKINGS = Table(
     "bronze_bookings", "bronze_bookings", "bronze", "booking feed as received",
-    """booking_id INT NOT NULL, passenger_id INT NOT NULL, flight_id INT NOT NULL,
+    """booking_id BIGINT NOT NULL, passenger_id INT NOT NULL, flight_id INT NOT NULL,
        booking_date DATE NOT NULL, travel_date DATE NOT NULL, fare_class STRING NOT NULL,
        fare_amount DECIMAL(12,2) NOT NULL, tax_amount DECIMAL(12,2) NOT NULL,
        booking_status STRING NOT NULL, miles_earned INT NOT NULL""",
@@ -188,7 +191,7 @@ FACT_TICKET_SALES = Table(
     """ticket_sales_key BIGINT NOT NULL, booking_date_key INT NOT NULL,
        travel_date_key INT NOT NULL, passenger_key INT NOT NULL, flight_key INT NOT NULL,
        origin_airport_key INT NOT NULL, dest_airport_key INT NOT NULL,
-       aircraft_key INT NOT NULL, booking_id INT NOT NULL, fare_class STRING NOT NULL,
+       aircraft_key INT NOT NULL, booking_id BIGINT NOT NULL, fare_class STRING NOT NULL,
        booking_status STRING NOT NULL, fare_amount DECIMAL(12,2) NOT NULL,
        tax_amount DECIMAL(12,2) NOT NULL, miles_earned INT NOT NULL,
        booking_count INT NOT NULL, travel_month INT NOT NULL""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster is a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.gettempdir()
     app = spark.sparkContext.applicationId

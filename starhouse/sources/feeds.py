@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starhouse.functions.numbers import finer_than
 from starhouse.schemas import FEEDS, LoadError, Table
 
 
@@ -33,9 +34,6 @@ _CSV = {"header": True, "mode": "FAILFAST", "enforceSchema": False, "dateFormat"
         "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-_EXACT = T.DecimalType(38, 18)
-
-
 def delivered_schema(spark: SparkSession, path: str, feed: Table) -> T.StructType:
     """The columns a feed file names, declared ones in their declared type, others as text.
 
@@ -56,26 +54,32 @@ def read_csv_feed(spark: SparkSession, path: str, feed: Table) -> DataFrame:
     missing = [c for c in feed.schema.names if c not in schema.names]
     if missing:
         raise LoadError(f"{feed.name}: no column {', '.join(missing)} in {path}")
-    # The CSV reader would round amounts to the declared scale without a word.
+    # The CSV reader would round amounts to the declared scale without a word: read them as text.
     wide = T.StructType([
-        T.StructField(f.name, _EXACT if isinstance(f.dataType, T.DecimalType) else f.dataType)
-        for f in schema
-    ])
-    rows = spark.read.schema(wide).options(**_CSV).csv(path)
-    return rows.select(*[
-        _unrounded(f) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-        for f in feed.schema
+        T.StructField(f.name, T.StringType() if _is_amount(f) else f.dataType) for f in schema
     ])
+    return conform(spark.read.schema(wide).options(**_CSV).csv(path), feed)
 
 
-def _unrounded(field: T.StructField) -> Column:
-    value, scale = F.col(field.name), field.dataType.scale
-    finer = F.concat(F.lit(f"{field.name} has more than {scale} decimals: "), value.cast("string"))
-    return (
-        F.when(value != F.round(value, scale), F.raise_error(finer))
-        .otherwise(value.cast(field.dataType))
-        .alias(field.name)
-    )
+def _is_amount(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.DecimalType)
+
+
+def _exact(field: T.StructField, given: T.DataType) -> Column:
+    """The value in the declared type; raises where the cast would change it."""
+    value, kind = F.col(field.name), field.dataType
+    cast = value.cast(kind)
+    if given == kind or not isinstance(given, (T.NumericType, T.StringType)):
+        return cast.alias(field.name)
+    if isinstance(kind, T.DecimalType):
+        lossy = finer_than(value, kind.scale)
+    elif isinstance(kind, T.IntegralType) and not isinstance(given, T.IntegralType):
+        lossy = finer_than(value, 0)
+    else:
+        return cast.alias(field.name)
+    scale = getattr(kind, "scale", 0)
+    told = F.concat(F.lit(f"{field.name} has more than {scale} decimals: "), value.cast("string"))
+    return F.when(lossy, F.raise_error(told)).otherwise(cast).alias(field.name)
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -92,9 +96,10 @@ def read_parquet_feed(spark: SparkSession, path: str, feed: Table) -> DataFrame:
 def conform(df: DataFrame, feed: Table) -> DataFrame:
     """The declared columns in their declared types; extra columns are ignored.
 
-    Casts are strict: under ANSI mode a bad value raises.
+    Casts are strict: a value that does not parse or fit raises under ANSI mode,
+    and so does one that the declared type would round.
     """
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in feed.schema])
+    return df.select(*[_exact(f, df.schema[f.name].dataType) for f in feed.schema])
 
 
 def read_feeds(spark: SparkSession, folder: str) -> Feeds:

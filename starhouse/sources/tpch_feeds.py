@@ -7,10 +7,11 @@ the benchmark and the registered queries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse.operators.keys import number_rows
+from starhouse.session import stored
 from starhouse.sources.feeds import Feeds
 
 # Day the change feed takes effect, and the id offset of brand-new passengers (beyond any
@@ -25,6 +26,11 @@ _LINE_ORDER = [
 ]
 
 
+def _airport(number: Column) -> Column:
+    """A code of three characters for each of the 25 nations."""
+    return F.concat(F.lit("A"), F.lpad((number % 25).cast("string"), 2, "0"))
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -56,25 +62,26 @@ def numbered_bookings(spark: SparkSession, folder: str) -> DataFrame:
 
     lineitem has no key and holds identical rows; the row's place in its file
     comes last in the order, so even a huge group of copies is spread over many
-    range partitions. Which copy gets which id does not matter.
+    range partitions. Which copy gets which id does not matter. Lines are numbered
+    before their orders are joined, so that the largest join runs once.
     """
     lines = _table(spark, folder, "lineitem").select(
         *_LINE_ORDER, F.col("_metadata.row_index").alias("_row")
     )
-    order = [*_LINE_ORDER, "_row"]
-    rows = _booking_rows(lines, _table(spark, folder, "orders"), *order)
-    kept = [c for c in rows.columns if c not in order]
-    return number_rows(rows, order, "booking_id", columns=kept)
+    numbered = number_rows(lines, [*_LINE_ORDER, "_row"], "booking_id", columns=_LINE_ORDER)
+    rows = _booking_rows(numbered, _table(spark, folder, "orders"), "booking_id")
+    return stored(rows.select("booking_id", *(c for c in rows.columns if c != "booking_id")),
+                  "bookings")
 
 
 def flights(spark: SparkSession, folder: str) -> DataFrame:
     part = _table(spark, folder, "part")
     return part.select(
         F.col("p_partkey").alias("flight_id"),
-        F.col("p_name").alias("flight_number"),
+        F.concat(F.lit("F"), F.col("p_partkey") % 100_000_000).alias("flight_number"),
         F.date_add(F.lit(_EPOCH).cast("date"), F.col("p_size")).alias("flight_date"),
-        (F.col("p_partkey") % 25).cast("int").alias("origin_airport_code"),
-        ((F.col("p_partkey") + F.col("p_size")) % 25).cast("int").alias("dest_airport_code"),
+        _airport(F.col("p_partkey")).alias("origin_airport_code"),
+        _airport(F.col("p_partkey") + F.col("p_size")).alias("dest_airport_code"),
         F.col("p_brand").alias("aircraft_code"),
     )
 
@@ -92,7 +99,7 @@ def passengers(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "customer").select(
         F.col("c_custkey").alias("passenger_id"),
         F.col("c_name").alias("passenger_name"),
-        F.col("c_nationkey").alias("home_airport_code"),
+        _airport(F.col("c_nationkey")).alias("home_airport_code"),
         F.col("c_mktsegment").alias("frequent_flyer_tier"),
         F.date_add(F.lit(_EPOCH).cast("date"), (F.col("c_custkey") % 1000).cast("int"))
         .alias("signup_date"),
@@ -102,7 +109,7 @@ def passengers(spark: SparkSession, folder: str) -> DataFrame:
 def airports(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = _table(spark, folder, "nation"), _table(spark, folder, "region")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("airport_code"),
+        _airport(F.col("n_nationkey")).alias("airport_code"),
         F.col("n_name").alias("airport_name"),
         F.concat(F.lit("CITY_"), F.col("r_regionkey"), F.lit("_"), F.col("n_nationkey") % 10)
         .alias("city"),
@@ -117,7 +124,7 @@ def passenger_updates(spark: SparkSession, folder: str) -> DataFrame:
     pid = F.col("passenger_id")
     changed = known.filter((pid % 7 == 0) | (pid % 11 == 0) | (pid % 13 == 0)).select(
         "passenger_id", "passenger_name",
-        F.when(pid % 11 == 0, (F.col("home_airport_code") + 1) % 25)
+        F.when(pid % 11 == 0, _airport(F.substring("home_airport_code", 2, 2).cast("int") + 1))
         .otherwise(F.col("home_airport_code")).alias("home_airport_code"),
         F.when(pid % 7 == 0, F.concat("frequent_flyer_tier", F.lit("_PLUS")))
         .otherwise(F.col("frequent_flyer_tier")).alias("frequent_flyer_tier"),

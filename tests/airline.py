@@ -10,6 +10,7 @@ from decimal import Decimal
 from starhouse.schemas import FEEDS
 from starhouse.sources.feeds import Feeds
 
+CALENDAR = ("2025-01-01", "2026-12-31")
 AIRPORTS = [
     ("BOM", "Bombay", "Mumbai", "India", "Asia"),
     ("DEL", "Delhi Intl", "Delhi", "India", "Asia"),

@@ -36,7 +36,8 @@ def root(tmp_path):
 @pytest.fixture(scope="session")
 def small(spark, tmp_path_factory):
     """The small airline, loaded once under all gates; for reading only."""
-    return warehouse.load(spark, airline.feeds(spark), str(tmp_path_factory.mktemp("small")))
+    return warehouse.load(spark, airline.feeds(spark), str(tmp_path_factory.mktemp("small")),
+                          airline.CALENDAR)
 
 
 @pytest.fixture()

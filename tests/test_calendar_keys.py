@@ -45,7 +45,7 @@ def test_boundaries_belong_to_the_right(spark):
 def test_short_and_long_keys_agree(spark, first):
     df = spark.range(0, 5000, numPartitions=7).select(
         (F.col("id") * 7919 % 5000).cast("string").alias("code"), F.col("id").alias("payload"))
-    short = keys.assign_keys(df, ["code"], "k", first=first)
+    short = keys.assign_keys(df, ["code"], "k", first=first, at_most=5000)
     long = keys.number_rows(df, ["code"], "k", first=first, key_type="int")
     assert short.schema["k"].dataType == long.schema["k"].dataType
     assert rows(short) == rows(long)

@@ -69,6 +69,26 @@ def test_repeated_id(spark):
 def test_amounts_finer_than_cents(spark):
     raw = spark.createDataFrame([("10.005",), ("10.10",), ("10",), ("10.100",)], "v string")
     assert raw.filter(contract.more_than_two_decimals(F.col("v"))).count() == 1
+    texts = {"1.00000000001": True, "1." + "0" * 60: False, "0.001": True, ".5": False, "1e-3": True,
+             "-1.2e1": False, "1.2345e2": False, "1.23456e2": True, "12e-3": True, "x": None, "": None}
+    raw = spark.createDataFrame(list(texts.items()), "v string, finer boolean")
+    found = {r["v"]: r["f"] for r in raw.select("v", contract.more_than_two_decimals(F.col("v")).alias("f")).collect()}
+    assert found == {v: bool(f) for v, f in texts.items()}
+    exact = spark.range(1).select(F.lit("1.00000000001").cast("decimal(38,20)").alias("v"))
+    assert exact.filter(contract.more_than_two_decimals(F.col("v"))).count() == 1
+
+
+@pytest.mark.parametrize("column, kind, value, stops", [
+    ("fare_amount", "decimal(12,3)", 10.005, True), ("fare_amount", "double", 1.999, True),
+    ("fare_amount", "double", 1.5, False), ("miles_earned", "double", 5.9, True),
+    ("miles_earned", "double", 6.0, False), ("fare_amount", "string", "7.10", False)])
+def test_conform_never_rounds(spark, column, kind, value, stops):
+    given = airline.bookings(spark).withColumn(column, F.lit(value).cast(kind))
+    if stops:
+        with pytest.raises((PySparkException, Py4JJavaError), match="decimals"):
+            sources.conform(given, BOOKINGS).collect()
+    else:
+        assert {float(r[column]) for r in sources.conform(given, BOOKINGS).collect()} == {float(value)}
 
 
 def test_unexpected_values_say_how_they_differ(spark):

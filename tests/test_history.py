@@ -156,8 +156,8 @@ def test_fact_reload_takes_the_version_valid_at_booking(spark, small_root):
 
 @settings(max_examples=6, deadline=None)
 @given(st.data())
-def test_as_of_paths_agree(spark, data):
-    """The direct join and the timeline give the same version, checked by brute force."""
+def test_as_of_equals_brute_force(spark, data):
+    """The timeline gives the version whose span holds the day, gaps included."""
     starts = {
         pid: sorted(data.draw(st.sets(st.integers(0, 40), min_size=1, max_size=6)))
         for pid in (1, 2, 3)
@@ -167,6 +167,7 @@ def test_as_of_paths_agree(spark, data):
         for i, d in enumerate(days):
             key += 1
             end = days[i + 1] - 1 if i + 1 < len(days) else 99
+            end = max(d, end - data.draw(st.integers(0, 3)))
             versions.append((pid, key, d, end))
     booked = data.draw(st.lists(st.tuples(st.integers(1, 4), st.integers(0, 45)), max_size=25))
     day = lambda c: F.date_add(F.lit("2025-01-01").cast("date"), F.col(c))
@@ -178,6 +179,44 @@ def test_as_of_paths_agree(spark, data):
     expected = sorted(
         (i, k) for i, (p, d) in enumerate(booked) for q, k, a, b in versions
         if p == q and a <= d <= b)
-    for limit in (64, 0):
-        got = fact.versions_as_of(bookings, dim, direct_versions=limit)
-        assert sorted(tuple(r) for r in got.select("booking_id", "passenger_key").collect()) == expected
+    got = fact.versions_as_of(bookings, dim)
+    assert sorted(tuple(r) for r in got.select("booking_id", "passenger_key").collect()) == expected
+
+
+def test_unsound_history_is_refused_before_a_reload(spark, small_root):
+    feeds, w = airline.feeds(spark), warehouse.Warehouse(spark, small_root)
+    twice = w["dim_passenger"].unionByName(
+        w["dim_passenger"].withColumns({"passenger_key": F.col("passenger_key") + 10,
+                                        "effective_from": F.lit("2025-01-01").cast("date")}))
+    w.store.publish({"dim_passenger": warehouse.write_passengers(w.store, twice)})
+    with pytest.raises(LoadError, match="not sound"):
+        warehouse.reload_fact(spark, small_root, feeds.bookings, feeds.flights)
+
+
+@pytest.mark.parametrize("row", [
+    (None, "Ana", "BOM", "Blue"), (1, None, "BOM", "Blue"), (1, "Ana", "BOMX", "Blue"),
+    (1, "Ana", "BOM", "x" * 48)])
+def test_feeds_that_break_a_column_rule_are_refused(spark, small_root, row):
+    kind = "passenger_id int, passenger_name string, home_airport_code string, frequent_flyer_tier string"
+    before = warehouse.Warehouse(spark, small_root).version
+    with pytest.raises(LoadError, match="column rule"):
+        warehouse.apply_changes(spark, small_root, spark.createDataFrame([row], kind), DAY)
+    assert warehouse.Warehouse(spark, small_root).version == before
+
+
+def test_two_streams_lose_no_feed(spark, small_root, tmp_path):
+    for number, row in enumerate([(1, "Ana", "BOM", "Blue"), (2, "Ben", "DEL", "Blue")]):
+        landing = str(tmp_path / f"landing{number}")
+        change_feed.land(airline.updates(spark, [row]), landing, DAY)
+        change_feed.run(spark, landing, small_root, str(tmp_path / f"progress{number}"))
+        change_feed.run(spark, landing, small_root, str(tmp_path / f"lost{number}"))  # again
+    current = warehouse.Warehouse(spark, small_root).current_passengers()
+    assert rows(current, "passenger_id", "frequent_flyer_tier") == [
+        (1, "Blue"), (2, "Blue"), (3, None)]
+
+
+def test_adopting_a_history_is_refused(spark, small_root):
+    after = warehouse.apply_changes(
+        spark, small_root, airline.updates(spark, [(1, "Ana", "BOM", "Blue")]), DAY)
+    with pytest.raises(LoadError, match="holds history"):
+        history.adopt(after["dim_passenger"])
