@@ -429,6 +429,12 @@ FROM sales""",
     "fact_loaded_as_of": """
 SELECT sales.* REPLACE (v.passenger_key AS passenger_key)
 FROM sales JOIN bookings USING (booking_id)
+JOIN versions AS v ON v.passenger_id = bookings.passenger_id
+                  AND booking_date BETWEEN effective_from AND effective_to""",
+    "fact_reloaded": """
+SELECT row_number() OVER (ORDER BY travel_date_key, booking_id) AS ticket_sales_key,
+       sales.* REPLACE (v.passenger_key AS passenger_key)
+FROM sales JOIN bookings USING (booking_id)
 JOIN versions AS v ON v.passenger_id = bookings.passenger_id
                   AND booking_date BETWEEN effective_from AND effective_to""",
     "asof_passenger_lookup": """

@@ -81,6 +81,19 @@ def changed(spark: SparkSession, folder: str) -> Warehouse:
     return _once("changed", spark, folder, build)
 
 
+def reloaded(spark: SparkSession, folder: str) -> Warehouse:
+    """The warehouse after the change feed, its fact reloaded with the versions valid at booking."""
+
+    def build() -> Warehouse:
+        before = changed(spark, folder)
+        root = scratch_path(spark, "reloaded")
+        Store(spark, root).publish({n: before.paths(n) for n in before.names()})
+        return warehouse.reload_fact(spark, root, landed_bookings(spark, folder),
+                                     bound.flights(spark, folder))
+
+    return _once("reloaded", spark, folder, build)
+
+
 def flight_lookup(spark: SparkSession, folder: str) -> DataFrame:
     def build() -> DataFrame:
         w = loaded(spark, folder)
@@ -196,6 +209,11 @@ def fact_loaded_as_of(spark, folder):
                              w["dim_passenger"], w["dim_date"], as_of=True)
 
 
+def fact_reloaded(spark, folder):
+    """The whole reload of the fact: history checked, keyed, gated and published."""
+    return reloaded(spark, folder)["fact_ticket_sales"]
+
+
 def asof_passenger_lookup(spark, folder):
     w = changed(spark, folder)
     hits = fact.versions_as_of(
@@ -215,7 +233,7 @@ def asof_many_versions(spark, folder):
     following = F.lead("day").over(Window.partitionBy("passenger_id").orderBy("day"))
     number = F.datediff("day", F.lit("1990-01-01").cast("date"))
     versions = placed.select("passenger_id", "day").distinct().select(
-        "passenger_id", (F.col("passenger_id") * 100_000 + number).alias("passenger_key"),
+        "passenger_id", (F.col("passenger_id") * 100_000 + number).cast("bigint").alias("passenger_key"),
         F.col("day").alias("effective_from"),
         F.coalesce(F.date_sub(following, 1), F.lit(OPEN_ENDED).cast("date")).alias("effective_to"))
     booked = placed.select("booking_id", "passenger_id", F.date_add("day", 2).alias("booking_date"))
@@ -566,7 +584,7 @@ QUERIES: dict[str, Query] = {
         average_fare_by_class, revenue_as_was_as_is,
         bronze_bookings, booking_flight_join, dim_date, dim_airport, dim_aircraft, dim_flight,
         dim_passenger_initial, dim_passenger_from_signup, dim_country, dim_city,
-        dim_airport_snowflaked, airport_geo_view, asof_many_versions, load_gates,
+        dim_airport_snowflaked, airport_geo_view, asof_many_versions, fact_reloaded, load_gates,
         scd2_feed_rules, scd2_planted_invariants, months_read, month_totals_by_sql,
         planted_values, csv_feed_report, csv_feed_read,
         fact_ticket_sales, fact_key_range, fact_loaded_as_of, asof_passenger_lookup,
