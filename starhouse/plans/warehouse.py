@@ -20,6 +20,8 @@ from starhouse.sources.store import Store
 # DimPassenger is stored in two slices: expired versions are only ever added
 # to, the current ones are replaced by each feed.
 CURRENT, HISTORY = "slice=current", "slice=history"
+# Folders of expired versions before they are merged into one.
+HISTORY_FOLDERS = 16
 
 
 @dataclass(frozen=True)
@@ -206,6 +208,8 @@ def apply_changes(
     fresh = history.new_versions(versions, staged, load_date, null_safe)
     updated = history.expire(current, staged, load_date, null_safe).unionByName(fresh)
     old = [p for p in before.paths("dim_passenger") if p.endswith(HISTORY)]
+    if len(old) >= HISTORY_FOLDERS:  # every feed adds one: merge them now and then
+        old = write_passengers(store, store.read_paths(old, versions.schema))
     paths = old + write_passengers(store, updated)
     # Only passengers in the feed can have become unsound.
     touched = store.read_paths(paths, versions.schema).join(
@@ -238,8 +242,8 @@ def write_passengers(store: Store, versions: DataFrame) -> list[str]:
     """Write versions split into current and history folders; return those that exist."""
     part = F.when(F.col("is_current"), "current").otherwise("history")
     path = store.write(versions.withColumn("slice", part), "dim_passenger", ["slice"])
-    files = store.read_paths([path]).inputFiles()
-    return [f"{path}/{s}" for s in (HISTORY, CURRENT) if any(f"/{s}/" in f for f in files)]
+    slices = {r["slice"] for r in store.read_paths([path]).select("slice").distinct().collect()}
+    return [f"{path}/{s}" for s in (HISTORY, CURRENT) if s.partition("=")[2] in slices]
 
 
 def require_geography(airports: DataFrame) -> None:

@@ -215,6 +215,16 @@ def test_two_streams_lose_no_feed(spark, small_root, tmp_path):
         (1, "Blue"), (2, "Blue"), (3, None)]
 
 
+def test_history_folders_are_merged(spark, small_root, monkeypatch):
+    monkeypatch.setattr(warehouse, "HISTORY_FOLDERS", 2)
+    for number in range(5):
+        staged = airline.updates(spark, [(1, "Ana", "BOM", f"tier {number}")])
+        w = warehouse.apply_changes(spark, small_root, staged, f"2025-03-0{number + 1}")
+        assert sum(p.endswith(warehouse.HISTORY) for p in w.paths("dim_passenger")) <= 3
+    assert w["dim_passenger"].count() == 8
+    assert rows(history.history_violations(w["dim_passenger"]).filter("violations > 0")) == []
+
+
 def test_adopting_a_history_is_refused(spark, small_root):
     after = warehouse.apply_changes(
         spark, small_root, airline.updates(spark, [(1, "Ana", "BOM", "Blue")]), DAY)
