@@ -48,9 +48,9 @@ WIDTH = 5
 SIMILARITY_PCT = 75
 MOST_MATCHES = 8  # the largest l that is considered
 SHORT_LIST = 32
-LEADER_ROUNDS = 6
-FEW_LEFT = 2  # unconnected pairs per posting that are compared one by one
-FEW_PAIRS = 50_000  # so many are, however few postings there are
+LEADER_ROUNDS = 4
+FEW_LEFT = 0.25  # unconnected pairs per posting that are compared one by one
+FEW_PAIRS = 200_000  # so many are, however few postings there are
 PAIRS_PER_SALT = 256
 
 _STEPS = 8  # frequency classes per doubling; a shingle of one document is in class 0
@@ -180,11 +180,12 @@ def components(edges: DataFrame) -> DataFrame:
     labels = stored(both.groupBy(F.col("a").alias("doc")).agg(
         F.least("a", F.min("b")).alias("label")), "labels")
     while True:
-        near = (both.join(labels, both.b == labels.doc)
-                .groupBy(both.a.alias("doc")).agg(F.min("label").alias("other")))
+        near = (both.join(labels.withColumnRenamed("doc", "b"), "b")
+                .groupBy(F.col("a").alias("doc")).agg(F.min("label").alias("other")))
         hooked = labels.join(near, "doc").select(
             "doc", F.col("label").alias("old"), F.least("label", "other").alias("label"))
-        ahead = labels.select(F.col("doc").alias("label"), F.col("label").alias("next"))
+        # the label's own new label: paths shorten to a half in each pass
+        ahead = hooked.select(F.col("doc").alias("label"), F.col("label").alias("next"))
         new = stored(hooked.join(ahead, "label").select(
             "doc", "old", F.least("label", "next").alias("label")), "labels")
         changed = not new.filter("old <> label").isEmpty()
