@@ -11,8 +11,8 @@ but are never sent.
 Documents with the same set are one class. Inside a list of up to ``SHORT_LIST`` documents all pairs
 of classes are candidates, so candidates grow in proportion to postings. In longer lists, rounds of
 leaders come first: each list compares its members with one of them, and members found connected
-need no pair of their own. When few unconnected members are left, or leaders connect nothing more,
-what remains between components is compared pair by pair, so no link between components is lost.
+need no pair of their own. After them, whoever is not in its list's largest component is compared
+with all of that component and with the other strays, so no link between components is lost.
 
 Words are runs of non-blanks with A-Z in lower case. Two documents link when
 ``100 * shared >= similarity_pct * united``; ``component_id`` is the smallest id reachable by links.
@@ -48,9 +48,7 @@ WIDTH = 5
 SIMILARITY_PCT = 75
 MOST_MATCHES = 8  # the largest l that is considered
 SHORT_LIST = 32
-LEADER_ROUNDS = 4
-FEW_LEFT = 0.25  # unconnected pairs per posting that are compared one by one
-FEW_PAIRS = 200_000  # so many are, however few postings there are
+LEADER_ROUNDS = 2
 PAIRS_PER_SALT = 256
 
 _STEPS = 8  # frequency classes per doubling; a shingle of one document is in class 0
@@ -252,46 +250,58 @@ def links(classes: DataFrame, similarity_pct: int = SIMILARITY_PCT) -> DataFrame
     entries = stored(postings.filter(F.col("class") > _SHORT_CLASS)
                      .select("shingle", "doc", "n"), "long-lists")
     tested: DataFrame | None = None
-    idle = False  # the last leaders connected nothing new
     for number in range(LEADER_ROUNDS + 1):
         known = _labelled(entries, labels)
-        lists = (known.groupBy("shingle", "label").agg(F.count("*").alias("c"))
-                 .groupBy("shingle").agg(F.sum("c").alias("size"), F.count("*").alias("labels"),
-                                         F.sum(F.col("c") * F.col("c")).alias("squares"))
-                 .filter("labels > 1"))
-        open_ = stored(lists, "open-lists")
-        left, size = open_.agg(F.sum((F.col("size") * F.col("size") - F.col("squares")) / 2),
-                               F.sum("size")).first()
-        if not left:
+        open_ = stored(
+            known.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(
+                F.max(F.struct("c", "label")).alias("most"), F.count("*").alias("labels"))
+            .filter("labels > 1").select("shingle", F.col("most.label").alias("major")),
+            "open-lists")
+        if open_.isEmpty():
             return labels
-        last = idle or number == LEADER_ROUNDS or left <= max(FEW_LEFT * size, FEW_PAIRS)
-        known = known.join(open_.select("shingle"), "shingle")
-        if last:
-            other = known.select("shingle", F.col("doc").alias("a"), F.col("n").alias("n_a"),
-                                 F.col("label").alias("label_a"))
-            met = known.join(other, "shingle").filter(F.col("label_a") < F.col("label"))
-        else:
-            head = F.min(F.struct(F.xxhash64("doc", F.lit(number)).alias("draw"),
-                                  F.col("doc").alias("a"), F.col("n").alias("n_a"),
-                                  F.col("label").alias("label_a"))).alias("leader")
-            met = known.join(known.groupBy("shingle").agg(head), "shingle").select(
-                "doc", "n", "label", "leader.*").filter("label_a <> label")
+        last = number == LEADER_ROUNDS
+        known = known.join(open_, "shingle")
+        met = _across(known, _labelled(entries.select("doc", "n").distinct(), labels)) \
+            if last else _with_leaders(known, number)
         pairs = met.filter(_fitting("n_a", "n", similarity_pct)).select(
             "a", F.col("doc").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         new = stored(_verified(pairs, classes, similarity_pct), "links")
-        idle = new.isEmpty()
-        if not idle:
+        if not new.isEmpty():
             edges = edges.union(new)
             labels = components(edges)
-        if last:
-            return labels
         tested = pairs if tested is None else tested.union(pairs)
     return labels
 
 
+def _with_leaders(known: DataFrame, number: int) -> DataFrame:
+    """Each member of a list with the list's leader of this round, unless they are connected."""
+    head = F.min(F.struct(F.xxhash64("doc", F.lit(number)).alias("draw"), F.col("doc").alias("a"),
+                          F.col("n").alias("n_a"), F.col("label").alias("label_a")))
+    leaders = known.groupBy("shingle").agg(head.alias("leader"))
+    return known.join(leaders, "shingle").select("doc", "n", "label", "leader.*").filter(
+        "label_a <> label")
+
+
+def _across(known: DataFrame, members: DataFrame) -> DataFrame:
+    """All pairs of unconnected members of a list, whatever number of lists they share.
+
+    Most of a list is in its largest component by now. The strays meet the members of that
+    component once each, not once per shared list, and the other strays of their list.
+    """
+    strays = known.filter("label <> major")
+    of_major = strays.select("doc", "n", "major").distinct().join(
+        members.select(F.col("doc").alias("a"), F.col("n").alias("n_a"),
+                       F.col("label").alias("major")), "major")
+    other = strays.select("shingle", F.col("doc").alias("a"), F.col("n").alias("n_a"),
+                          F.col("label").alias("label_a"))
+    among = strays.join(other, "shingle").filter("label_a < label")
+    columns = ("doc", "n", "a", "n_a")
+    return of_major.select(*columns).union(among.select(*columns))
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    width: int = WIDTH, similarity_pct: int = SIMILARITY_PCT) -> DataFrame:
     """(id, n_shingles, component_id, row) per row; ``row`` is xxhash64 of (id, text)."""
