@@ -82,7 +82,8 @@ def _piece_anchors(raw: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
     last = np.concatenate([first[1:], [len(anchors)]]) - 1
     found = anchors[first]
-    return found, first, last, hashes[found] >> np.uint64(64 - 8 * HASH_BYTES)
+    # the selected hashes are small ones: mixed again, they spread evenly over the buckets
+    return found, first, last, mixed(hashes[found]) >> np.uint64(64 - 8 * HASH_BYTES)
 
 
 def _anchors(raw: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
