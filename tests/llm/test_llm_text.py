@@ -185,7 +185,7 @@ def test_quality_rules(spark):
 
 
 def test_depleted_documents_go(spark):
-    menu = "\n".join(f"entry {i} of a long menu with words of its own" for i in range(12))
+    menu = "\n".join(" ".join(f"m{i}x{j}" for j in range(8)) for i in range(12))
     texts = [f"{menu}\nshort body number {i}" for i in range(12)] + ["word%d " % i for i in range(9)]
     df = brute.documents(spark, texts)
     found = brute.by_id(quality.judge(df, min_words=1))
