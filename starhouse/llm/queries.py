@@ -85,7 +85,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (op1_ngram_jaccard_join, op2_language_id, op3_url_filters, op4_warc, op5_byte_bpe,
-              op6_decontamination, op7_line_dedup, op8_suffix_array_dedup, op9_token_counts, op10_quality_rules)
+              op6_decontamination, op7_line_dedup, op8_suffix_array_dedup, op9_token_counts,
+              op10_quality_rules)
 }
 
 _FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -18,8 +18,8 @@ id. Documents are UTF-8 bytes; strings never cross documents and are judged on t
 
 Defined cases: a null text is empty; texts shorter than ``length`` keep all bytes; repeated rows and
 rows that repeat an id never remove each other's bytes; a null id is larger than any other. Very
-long documents are cut by blocks of anchors, not read at once into tables. An empty table gives an
-empty result. Other columns are not read.
+long documents are hashed piece by piece. An empty table gives an empty result. Other columns are
+not read.
 
 The text is shuffled once and its blocks are opened three times (the plan reuses the exchange).
 A passage that a third of all rows hold is one context per block, so a hot anchor costs a bucket
@@ -34,7 +34,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starhouse.llm.arrow import pack, unpack
 from starhouse.llm.blocks import HASH_BYTES, cuts, in_order, text_blocks
@@ -110,7 +109,6 @@ class _Block:
     def __init__(self, table: pa.Table, length: int):
         ids, texts = in_order(table)
         self.ids = np.array([_NO_ID if i is None else i for i in ids], np.int64)
-        self.known = ids
         self.raws = [t.encode("utf-8", "surrogatepass") for t in texts]
         docs, parts = [], []
         for d, raw in enumerate(self.raws):
