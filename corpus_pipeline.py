@@ -1,8 +1,8 @@
 """A corpus pipeline of five operators: filter, deduplicate, decontaminate and tokenise documents.
 
 Rows are told apart by their content, so repeated rows and null ids share the verdict on that
-content. A stage that removes rows anti-joins the removed ones, whose written size decides the
-join; texts move only where a stage's contract needs it.
+content. A stage that removes rows writes their hashes and counts them: up to ``BROADCAST_ROWS`` of
+eight bytes each go to the tasks, so that the texts stay where they are; more are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -14,13 +14,18 @@ from starhouse.llm import bpe, decontaminate, line_dedup, ngram_join, quality
 from starhouse.llm.queries import PATTERN, RANKS
 from starhouse.session import stored
 
+BROADCAST_ROWS = 1_000_000
+
 _ROW = "row_of_pipeline"
 
 
 def _without(docs: DataFrame, row: Column, removed: DataFrame) -> DataFrame:
     """``docs`` without the rows whose hash is in ``removed``."""
     marked = docs.withColumn(_ROW, row)
-    return marked.join(stored(removed, "removed-rows"), _ROW, "left_anti").drop(_ROW)
+    removed = stored(removed, "removed-rows")
+    if removed.count() <= BROADCAST_ROWS:
+        removed = F.broadcast(removed)
+    return marked.join(removed, _ROW, "left_anti").drop(_ROW)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
