@@ -261,8 +261,12 @@ def links(classes: DataFrame, similarity_pct: int = SIMILARITY_PCT) -> DataFrame
             return labels
         last = number == LEADER_ROUNDS
         known = known.join(open_, "shingle")
-        met = _across(known, _labelled(entries.select("doc", "n").distinct(), labels)) \
-            if last else _with_leaders(known, number)
+        if last:
+            listed = classes.select("doc", "n", "matches", "prefix").join(
+                entries.select("doc").distinct(), "doc", "left_semi")
+            met = _across(known, _labelled(listed, labels), similarity_pct)
+        else:
+            met = _with_leaders(known, number)
         pairs = met.filter(_fitting("n_a", "n", similarity_pct)).select(
             "a", F.col("doc").alias("b")).distinct()
         if tested is not None:
@@ -285,16 +289,20 @@ def _with_leaders(known: DataFrame, number: int) -> DataFrame:
         "label_a <> label")
 
 
-def _across(known: DataFrame, members: DataFrame) -> DataFrame:
+def _across(known: DataFrame, members: DataFrame, similarity_pct: int) -> DataFrame:
     """All pairs of unconnected members of a list, whatever number of lists they share.
 
     Most of a list is in its largest component by now. The strays meet the members of that
-    component once each, not once per shared list, and the other strays of their list.
+    component once each, not once per shared list, and the join itself asks for enough shared
+    prefix shingles; the strays of a list also meet each other.
     """
     strays = known.filter("label <> major")
-    of_major = strays.select("doc", "n", "major").distinct().join(
-        members.select(F.col("doc").alias("a"), F.col("n").alias("n_a"),
-                       F.col("label").alias("major")), "major")
+    sought = strays.select("doc", "major").distinct().join(members.drop("label"), "doc")
+    held = members.select(F.col("label").alias("label_a"), F.col("doc").alias("a"),
+                          *(F.col(c).alias(f"{c}_a") for c in ("n", "matches", "prefix")))
+    enough = F.size(F.array_intersect("prefix", "prefix_a")) >= F.least("matches", "matches_a")
+    of_major = sought.join(held, (F.col("major") == F.col("label_a"))
+                           & _fitting("n_a", "n", similarity_pct) & enough)
     other = strays.select("shingle", F.col("doc").alias("a"), F.col("n").alias("n_a"),
                           F.col("label").alias("label_a"))
     among = strays.join(other, "shingle").filter("label_a < label")
