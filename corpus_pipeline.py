@@ -1,8 +1,9 @@
 """A corpus pipeline of five operators: filter, deduplicate, decontaminate and tokenise documents.
 
 Rows are told apart by their content, so repeated rows and null ids share the verdict on that
-content. A stage that removes rows writes their hashes and counts them: up to ``BROADCAST_ROWS`` of
-eight bytes each go to the tasks, so that the texts stay where they are; more are joined by a shuffle.
+content. A stage that changes rows writes their hashes, with those of the lines they lose, and counts
+them: up to ``BROADCAST_ROWS`` of eight bytes each go to the tasks, so that the texts stay where they
+are; more are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -17,22 +18,36 @@ from starhouse.session import stored
 BROADCAST_ROWS = 1_000_000
 
 _ROW = "row_of_pipeline"
+_KEPT = "kept_by_pipeline"
+_LINES = "lines_of_pipeline"
+
+
+def _sent(rows: DataFrame, purpose: str, weight: Column) -> DataFrame:
+    """The rows, written; for a broadcast while their weights add up to few."""
+    rows = stored(rows, purpose)
+    few = (rows.agg(F.sum(weight)).first()[0] or 0) <= BROADCAST_ROWS
+    return F.broadcast(rows) if few else rows
 
 
 def _without(docs: DataFrame, row: Column, removed: DataFrame) -> DataFrame:
     """``docs`` without the rows whose hash is in ``removed``."""
     marked = docs.withColumn(_ROW, row)
-    removed = stored(removed, "removed-rows")
-    if removed.count() <= BROADCAST_ROWS:
-        removed = F.broadcast(removed)
-    return marked.join(removed, _ROW, "left_anti").drop(_ROW)
+    return marked.join(_sent(removed, "removed-rows", F.lit(1)), _ROW, "left_anti").drop(_ROW)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    row = F.xxhash64("doc_id", "text", "source")
-    verdicts = quality.judge(docs.withColumn(_ROW, row), id_col=_ROW)
-    return _without(docs, row, verdicts.filter("NOT kept").select(_ROW).distinct())
+    """Documents that the quality rules keep, without the lines that are too frequent in their host."""
+    marked = docs.withColumn(_ROW, F.xxhash64("doc_id", "text", "source"))
+    verdicts = quality.judge(marked, id_col=_ROW).filter("NOT kept OR size(removed_lines) > 0")
+    verdicts = _sent(
+        verdicts.groupBy(_ROW).agg(
+            F.first("kept").alias(_KEPT),
+            F.first(F.when(F.col("kept"), F.col("removed_lines"))).alias(_LINES)),
+        "quality-verdicts", 1 + F.coalesce(F.size(_LINES), F.lit(0)))
+    left = marked.join(verdicts, _ROW, "left").filter(F.coalesce(_KEPT, F.lit(True)))
+    left = quality.without_lines(left, _LINES)
+    n_chars = F.when(F.col(_LINES).isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
+    return left.withColumn("n_chars", n_chars.cast("bigint")).select(docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

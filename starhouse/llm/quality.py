@@ -5,7 +5,8 @@ The corpus rule hashes each normalised line (stripped, lower case, host prefixed
 distinct texts per host that hold it, and removes lines above both limits: at least ``min_docs``
 texts and at least ``max_share_pct`` percent of the host's distinct texts. A document of which fewer
 than ``min_left_pct`` percent of the words are left is depleted and rejected. Exact copies count
-as one text, so a copied clean document does not turn its own lines into boilerplate.
+as one text, so a copied clean document does not turn its own lines into boilerplate. ``judge``
+lists the removed lines of each row by hash, ``without_lines`` takes them out of the texts.
 
 Defined cases: a null text has no words and fails the base rules; a null host is a host of its own;
 repeated rows give one result each; an empty table gives an empty result. Other columns are not read.
@@ -63,17 +64,24 @@ def repeated_words(words: list[bytes], width: int = 3) -> int:
     return int(covered.sum())
 
 
+def _prefix(host: str | None) -> bytes:
+    return b"\x00" if host is None else b"\x01" + host.encode("utf-8", "surrogatepass") + b"\x00"
+
+
+def _line_hash(prefix: bytes, line: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(prefix + line.strip().lower()) - (1 << 63)
+
+
 def _measure(text: str | None, host: str | None) -> tuple:
     if not text:
         return 0, 0, 0, 0, 0, [], []
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()
     lines = [line for line in raw.split(b"\n") if line.strip()]
-    prefix = b"\x00" if host is None else b"\x01" + host.encode("utf-8", "surrogatepass") + b"\x00"
+    prefix = _prefix(host)
     weights: Counter[int] = Counter()
     for line in lines:
-        key = prefix + line.strip().lower()
-        weights[xxhash.xxh3_64_intdigest(key) - (1 << 63)] += len(line.split())
+        weights[_line_hash(prefix, line)] += len(line.split())
     return (
         len(words), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)),
         len(lines) - len(set(lines)), repeated_words(words), list(weights), list(weights.values()),
@@ -101,7 +109,7 @@ def judge(
     max_share_pct: int = MAX_SHARE_PCT,
     min_left_pct: int = MIN_LEFT_PCT,
 ) -> DataFrame:
-    """(id, the five base figures, words_left, base_failed, kept) per row."""
+    """(id, the five base figures, words_left, base_failed, kept, removed_lines) per row."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"),
                        F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text"))
     kinds = ("id long, host string, n_words long, word_chars long, n_symbols long, "
@@ -126,7 +134,8 @@ def judge(
         common.join(texts, F.col("host").eqNullSafe(F.col("its_host")))
         .filter(F.col("n") * 100 >= F.col("texts") * max_share_pct).select("line"),
         "quality-removed")
-    lost = (lines.join(removed, "line").groupBy("b1", "b2").agg(F.sum("w").alias("lost")))
+    lost = (lines.join(removed, "line").groupBy("b1", "b2")
+            .agg(F.sum("w").alias("lost"), F.collect_list("line").alias("its_lines")))
 
     words = F.col("n_words")
     left = words - F.coalesce(F.col("lost"), F.lit(0))
@@ -134,4 +143,33 @@ def judge(
     depleted = left * 100 < words * min_left_pct
     return measured.join(lost, ["b1", "b2"], "left").select(
         F.col("id").alias(id_col), *_MEASURES, left.alias("words_left"),
-        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"))
+        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"),
+        F.coalesce("its_lines", F.array().cast("array<long>")).alias("removed_lines"))
+
+
+def _left(text: str | None, host: str | None, removed: list[int] | None) -> str | None:
+    if not text or not removed:
+        return text
+    prefix, gone = _prefix(host), set(removed)
+    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+    return b"\n".join(
+        line for line in lines if not line.strip() or _line_hash(prefix, line) not in gone
+    ).decode("utf-8", "surrogatepass")
+
+
+def without_lines(
+    docs: DataFrame,
+    lines_col: str = "removed_lines",
+    text_col: str = "text",
+    host_col: str = "source",
+) -> DataFrame:
+    """The rows with the lines that ``lines_col`` lists taken out of their texts."""
+    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, text_col):
+            place = batch.schema.get_field_index(text_col)
+            texts = map(_left, *(batch.column(c).to_pylist()
+                                 for c in (text_col, host_col, lines_col)))
+            yield batch.set_column(place, batch.schema.field(place),
+                                   pa.array(list(texts), batch.schema.field(place).type))
+
+    return docs.mapInArrow(strip, docs.schema)

@@ -116,6 +116,23 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark):
         assert stage(spark, docs.limit(0), FOLDER).count() == 0, name
 
 
+@pytest.mark.parametrize("most", [0, corpus_pipeline.BROADCAST_ROWS])
+def test_quality_stage_takes_common_lines_out(spark, monkeypatch, most):
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_ROWS", most)
+    body = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(14)]
+    rows = [(i, f" Home About \n{b}\n\nhome about", "en", "h") for i, b in enumerate(body[:12])]
+    rows += [rows[0], (20, f"home about\n{body[12]}", "en", None), (21, "home about", "en", "h")]
+    docs = spark.createDataFrame(
+        [(*r, len(r[1])) for r in rows],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.quality_rules(spark, docs, FOLDER)
+    assert left.dtypes == docs.dtypes
+    want = [(i, f"{b}\n") for i, b in enumerate(body[:12])] + [(0, f"{body[0]}\n"), rows[13][:2]]
+    found = [(r["doc_id"], r["text"]) for r in left.collect()]
+    assert sorted(found) == sorted(want)
+    assert all(r["n_chars"] == len(r["text"]) for r in left.collect())
+
+
 def test_the_package_works_without_the_subpackage(monkeypatch):
     import importlib
 
