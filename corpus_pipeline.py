@@ -1,7 +1,7 @@
 """A corpus pipeline of five operators: filter, deduplicate, decontaminate and tokenise documents.
 
 Rows are told apart by their content, so repeated rows and null ids share the verdict on that
-content. A stage that changes rows writes their hashes, with those of the lines they lose, and counts
+content; only the n-gram stage keeps one row of those that repeat a group's first. A stage that changes rows writes their hashes, with those of the lines they lose, and counts
 them: up to ``BROADCAST_ROWS`` of eight bytes each go to the tasks, so that the texts stay where they
 are; more are joined by a shuffle.
 """
@@ -57,11 +57,23 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id."""
-    groups = ngram_join.similar_groups(docs)
-    others = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _without(docs, F.xxhash64(F.col("doc_id").cast("bigint"), "text"),
-                    others.select(F.col("row").alias(_ROW)).distinct())
+    """Of each group of similar documents one row.
+
+    The smallest id stays, unknown ids come last; then the smallest hash of (id, text); of rows equal
+    in both the smallest by their columns in order. Texts without words are in no group and stay.
+    """
+    row = F.xxhash64(F.col("doc_id").cast("bigint"), "text")
+    counted = ngram_join.similar_groups(docs).groupBy("row", "head").agg(F.count("*").alias("n"))
+    gone = stored(counted.filter("row <> head OR (row = head AND n > 1)"), "rows-of-groups")
+    left = _without(docs, row, gone.select(F.col("row").alias(_ROW)))
+    repeated = gone.filter("row = head").select(F.col("row").alias(_ROW))
+    if repeated.isEmpty():
+        return left
+    again = docs.withColumn(_ROW, row).join(
+        _sent(repeated, "repeated-firsts", F.lit(1)), _ROW, "left_semi")
+    # combined before the shuffle: a row that very many rows repeat leaves a task once
+    one = again.groupBy(_ROW).agg(F.min(F.struct(*docs.columns)).alias("one"))
+    return left.union(one.select("one.*"))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

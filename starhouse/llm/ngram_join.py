@@ -312,7 +312,11 @@ def _across(known: DataFrame, members: DataFrame, similarity_pct: int) -> DataFr
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    width: int = WIDTH, similarity_pct: int = SIMILARITY_PCT) -> DataFrame:
-    """(id, n_shingles, component_id, row) per row; ``row`` is xxhash64 of (id, text)."""
+    """(id, n_shingles, component_id, row, head) per row; ``row`` is xxhash64 of (id, text).
+
+    ``head`` is the ``row`` of the component's first: of the smallest id, or where rows share it or
+    no id is known, of the smallest ``row`` among them. It is null for empty sets.
+    """
     found = stored(profiles(docs, id_col, text_col, width, similarity_pct), "profiles")
     members = found.select("id", "row", "n", "digest")
     classes = stored(
@@ -321,11 +325,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "classes")
     labels = links(classes, similarity_pct)
     smallest = members.filter("digest IS NOT NULL").groupBy(F.col("digest").alias("doc")).agg(
-        F.min("id").alias("id"))
+        F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
     grouped = smallest.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    heads = grouped.groupBy("label").agg(F.min("id").alias("component_id"))
-    of_class = grouped.join(heads, "label").select(F.col("doc").alias("digest"), "component_id")
+    heads = grouped.groupBy("label").agg(F.min("first").alias("head"))
+    of_class = grouped.drop("first").join(heads, "label").select(
+        F.col("doc").alias("digest"), F.col("head.id").alias("component_id"),
+        F.col("head.row").alias("head"))
     return members.join(of_class, "digest", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", F.when(F.col("digest").isNull(), F.col("id"))).alias(
-            "component_id"), "row")
+            "component_id"), "row", "head")

@@ -133,6 +133,27 @@ def test_quality_stage_takes_common_lines_out(spark, monkeypatch, most):
     assert all(r["n_chars"] == len(r["text"]) for r in left.collect())
 
 
+@pytest.mark.parametrize("most", [0, corpus_pipeline.BROADCAST_ROWS])
+def test_near_duplicates_keep_one_row_of_a_group(spark, monkeypatch, most):
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_ROWS", most)
+    text = [" ".join(f"w{i}x{j}" for j in range(80)) for i in range(4)]
+    rows = [(1, text[0], "en", "s"), (1, text[0], "en", "r"), (1, text[0], "en", "r"),
+            (1, text[0] + " end", "en", "a"), (2, text[0], "en", "a"), (None, text[0], "en", "a"),
+            (None, text[1], "en", "s"), (None, text[1], "en", "s"), (None, text[1] + " end", None, "s"),
+            (3, text[2], "en", "s"), (3, text[3], "en", "s"), (None, "", "en", "s"),
+            (None, "", "en", "s"), (None, None, "en", "s")]
+    docs = spark.createDataFrame(
+        [(*r, len(r[1] or "")) for r in rows],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert left.dtypes == docs.dtypes
+    found = [tuple(r)[:4] for r in left.collect()]
+    of = {i: [r for r in found if (r[1] or "").startswith(f"w{i}x")] for i in range(4)}
+    assert len(found) == 7 and [len(of[i]) for i in range(4)] == [1, 1, 1, 1]
+    assert of[0][0] in ((1, text[0], "en", "r"), (1, text[0] + " end", "en", "a"))
+    assert of[1][0][0] is None and of[2] == [rows[9]] and of[3] == [rows[10]]
+
+
 def test_the_package_works_without_the_subpackage(monkeypatch):
     import importlib
 
