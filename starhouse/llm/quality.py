@@ -5,9 +5,13 @@ The corpus rule hashes each normalised line (stripped, lower case, host prefixed
 distinct texts per host that hold it, and removes lines above both limits: at least ``min_docs``
 texts and at least ``max_share_pct`` percent of the host's distinct texts. A document of which fewer
 than ``min_left_pct`` percent of the words are left is depleted and rejected. Exact copies count
-as one text, so a copied clean document does not turn its own lines into boilerplate. ``judge``
+as one text, also with their lines in another order, so a copied clean document does not turn its own
+lines into boilerplate. ``judge``
 lists the removed lines of each row by hash, ``without_lines`` takes them out of the texts.
 
+The share is one of the host's own texts: on a host that mixes many sites a line of one site stays
+below it however often it occurs, and is left to line deduplication.
+
 Defined cases: a null text has no words and fails the base rules; a null host is a host of its own;
 repeated rows give one result each; an empty table gives an empty result. Other columns are not read.
 
@@ -82,9 +86,10 @@ def _measure(text: str | None, host: str | None) -> tuple:
     weights: Counter[int] = Counter()
     for line in lines:
         weights[_line_hash(prefix, line)] += len(line.split())
+    hashes, counts = zip(*sorted(weights.items()), strict=True) if weights else ((), ())
     return (
         len(words), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)),
-        len(lines) - len(set(lines)), repeated_words(words), list(weights), list(weights.values()),
+        len(lines) - len(set(lines)), repeated_words(words), list(hashes), list(counts),
     )
 
 

@@ -196,6 +196,13 @@ def test_depleted_documents_go(spark):
     assert all(strict[i]["kept"] for i in range(12))
 
 
+def test_permuted_lines_are_one_text(spark):
+    lines = [" ".join(f"l{i}x{j}" for j in range(12)) for i in range(6)]
+    texts = ["\n".join(random.Random(i).sample(lines, 6)) for i in range(14)]
+    found = quality.judge(brute.documents(spark, texts)).collect()
+    assert all(r["kept"] and r["words_left"] == 72 for r in found)
+
+
 def _tests(seed):
     r = random.Random(seed)
     words = [f"w{i}" for i in range(60)] + ["Äpfel", "naïve", "don't"]
