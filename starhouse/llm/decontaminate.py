@@ -10,7 +10,8 @@ Words are runs of digits, letters and non-ASCII characters, with A-Z in lower ca
 ``width`` consecutive words of an item; an item of fewer words, but not none, is one window.
 
 Defined cases: null and empty texts have no words and match nothing; items without words are
-never found; repeated rows give one result each, repeated item ids count once; empty tables give
+never found; items without an id are searched too and listed as one null id; repeated rows give one
+result each, repeated item ids count once; empty tables give
 no hits or no rows. Other columns are not read.
 
 A shard holds whole documents, so a document's verdict is made where its postings are and nothing
@@ -214,7 +215,8 @@ def _marked(batch, row, windows, by_size, tests, stacked, near) -> pa.RecordBatc
     columns = {c: batch.column(c) for c in batch.schema.names}
     columns["hits"] = pa.array([np.packbits(hits).tobytes()], pa.binary())
     for name, found in (("found", exact), ("near", close)):
-        columns[name] = pa.array([[{"doc": d, "item": x} for d, x in sorted(found)]], pairs)
+        columns[name] = pa.array([[{"doc": d, "item": x} for d, x in sorted(
+            found, key=lambda f: (f[0], f[1] is None, f[1] or ""))]], pairs)
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
@@ -231,7 +233,7 @@ def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for f in row["near"]:
                 close[f["doc"]] += 1
             docs = range(len(starts) - 1)
-            listed = [sorted(items[d]) for d in docs]
+            listed = [sorted(items[d], key=lambda x: (x is None, x or "")) for d in docs]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row["doc_ids"], pa.int64()), pa.array(np.diff(starts), pa.int64()),
                  pa.array(total[starts[1:]] - total[starts[:-1]], pa.int64()),
@@ -249,7 +251,7 @@ def search(index: DataFrame, items: DataFrame, item_id_col: str = "item_id",
     ``n_near_items`` counts items with a proximity match (every phrase is one).
     """
     tests = items.select(F.col(item_id_col).cast("string").alias("item"),
-                         F.col(item_text_col).alias("text")).filter("item IS NOT NULL")
+                         F.col(item_text_col).alias("text"))
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = -(-size // slice_bytes) or 1
     marked = index.select(

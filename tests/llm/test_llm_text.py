@@ -223,6 +223,16 @@ def _tests(seed):
     return docs, items
 
 
+def test_items_without_an_id_are_searched(spark):
+    text = " ".join(f"w{i}" for i in range(10))
+    items = spark.createDataFrame([(None, text), (None, "lone"), (7, "w8 w9")],
+                                  "item_id long, text string")
+    found = brute.by_id(decontaminate.decontaminate(
+        brute.documents(spark, [f"a {text}", "b lone", "c"]), items))
+    assert [found[i]["n_hit"] for i in range(3)] == [10, 1, 0]
+    assert [found[i]["items"] for i in range(3)] == [["7", None], [None], []]
+
+
 @pytest.mark.parametrize("slice_bytes", [1 << 24, 700])
 def test_decontamination_equals_brute_force(spark, slice_bytes):
     texts, items = _tests(3)
