@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from starhouse.functions.ranges import month_starts
 from starhouse.operators import checks, contract, dimensions, fact, geography, history, layout
-from starhouse.operators.calendar import calendar
 from starhouse.plans import marts, warehouse
 from starhouse.plans.warehouse import Gates, Warehouse
 from starhouse.schemas import BOOKING_STATUSES, BOOKINGS, FARE_CLASSES, OPEN_ENDED
@@ -142,7 +141,7 @@ def booking_flight_join(spark, folder):
 
 
 def dim_date(spark, folder):
-    return calendar(spark, *CALENDAR)
+    return loaded(spark, folder)["dim_date"]
 
 
 def dim_airport(spark, folder):

@@ -4,9 +4,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from airline import rows
+from conftest import DATA
 from starhouse.functions.ranges import month_starts, range_right
 from starhouse.operators import keys
 from starhouse.operators.calendar import calendar, calendar_covering
+from starhouse.plans import catalog
 from starhouse.session import scratch_path
 
 # The monthly boundaries of 2025 and 2026.
@@ -34,6 +36,13 @@ def test_calendar_covers_whole_years(spark):
         20230101, 20251231, 365 + 366 + 365)
 
 
+def test_dim_date_reads_the_published_calendar(spark):
+    days = catalog.dim_date(spark, f"{DATA}/sf0.001")
+    assert days.inputFiles()
+    assert days.exceptAll(calendar(spark, *catalog.CALENDAR)).isEmpty()
+    assert days.count() == calendar(spark, *catalog.CALENDAR).count()
+
+
 def test_boundaries_belong_to_the_right(spark):
     assert len(BOUNDARIES) == 23
     cases = {20250131: 1, 20250201: 2, 20241231: 1, 20261130: 23, 20261201: 24, 20300101: 24}
