@@ -39,7 +39,7 @@ def _key(line: Column) -> Column:
 
 
 def _hashes(key: Column) -> list[Column]:
-    return [F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit("second")).alias("h2")]
+    return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2")]
 
 
 def drop_repeated_lines(

@@ -5,8 +5,10 @@ import random
 import brute
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from starhouse.llm import line_dedup, ngram_join, suffix_dedup
 
@@ -172,6 +174,13 @@ def test_line_dedup_of_nulls_repeats_and_nothing(spark):
     assert line_dedup.drop_repeated_lines(df.limit(0)).count() == 0
 
 
+def test_line_hashes_are_seeded_apart(spark):
+    h1, h2 = spark.range(1).select(*line_dedup._hashes(F.lit("some line"))).first()
+    chained = xxhash.xxh64_intdigest(b"second", seed=h1 % 2**64)
+    assert h1 % 2**64 == xxhash.xxh64_intdigest(b"some line", seed=42)
+    assert h2 % 2**64 != chained
+
+
 def test_line_dedup_runs_no_python(spark):
     df = line_dedup.drop_repeated_lines(brute.documents(spark, ["a\nb"]))
     plan = df._jdf.queryExecution().toString()
