@@ -1,9 +1,10 @@
 """A corpus pipeline of five operators: filter, deduplicate, decontaminate and tokenise documents.
 
 Rows are told apart by their content, so repeated rows and null ids share the verdict on that
-content; only the n-gram stage keeps one row of those that repeat a group's first. A stage that changes rows writes their hashes, with those of the lines they lose, and counts
-them: up to ``BROADCAST_ROWS`` of eight bytes each go to the tasks, so that the texts stay where they
-are; more are joined by a shuffle.
+content; only the n-gram stage keeps one row of those that repeat a group's first. A stage that
+changes rows writes their hashes, with the places of the lines they lose, and counts them: up to
+``BROADCAST_ROWS`` of these numbers go to the tasks, so that the texts stay where they are; more are
+joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
             F.first(F.when(F.col("kept"), F.col("removed_lines"))).alias(_LINES)),
         "quality-verdicts", 1 + F.coalesce(F.size(_LINES), F.lit(0)))
     left = marked.join(verdicts, _ROW, "left").filter(F.coalesce(_KEPT, F.lit(True)))
-    left = quality.without_lines(left, _LINES)
-    n_chars = F.when(F.col(_LINES).isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
+    left = left.withColumn("text", quality.without_lines(F.col("text"), F.col(_LINES)))
+    n_chars = F.when(F.size(_LINES) > 0, F.char_length("text")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", n_chars.cast("bigint")).select(docs.columns)
 
 

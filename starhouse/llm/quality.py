@@ -7,7 +7,7 @@ texts and at least ``max_share_pct`` percent of the host's distinct texts. A doc
 than ``min_left_pct`` percent of the words are left is depleted and rejected. Exact copies count
 as one text, also with their lines in another order, so a copied clean document does not turn its own
 lines into boilerplate. ``judge``
-lists the removed lines of each row by hash, ``without_lines`` takes them out of the texts.
+lists the positions of the removed lines of each row, ``without_lines`` takes them out of a text.
 
 The share is one of the host's own texts: on a host that mixes many sites a line of one site stays
 below it however often it occurs, and is left to line deduplication.
@@ -15,7 +15,8 @@ below it however often it occurs, and is left to line deduplication.
 Defined cases: a null text has no words and fails the base rules; a null host is a host of its own;
 repeated rows give one result each; an empty table gives an empty result. Other columns are not read.
 
-The lines of a text leave its task as one 64-bit hash each, with the row's number of words in it.
+The distinct lines of a text leave its task as one 64-bit hash each, with the row's number of words
+in it, and the text's lines as places in that list.
 A host never meets in one task: counts are combined per (host, line) before the shuffle. A host has
 at most 100 / max_share_pct times its mean lines per text above the limit, so the list of removed
 lines stays far below the corpus; it is written once and its real size decides how it is joined.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starhouse.llm.arrow import text_slices
@@ -50,7 +51,7 @@ _SCHEMA = pa.schema([
     ("id", pa.int64()), ("host", pa.string()), ("n_words", pa.int64()),
     ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()),
     ("n_repeat_words", pa.int64()), ("line_hashes", pa.list_(pa.int64())),
-    ("line_words", pa.list_(pa.int32())),
+    ("line_words", pa.list_(pa.int32())), ("line_order", pa.list_(pa.int32())),
 ])
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -68,28 +69,26 @@ def repeated_words(words: list[bytes], width: int = 3) -> int:
     return int(covered.sum())
 
 
-def _prefix(host: str | None) -> bytes:
-    return b"\x00" if host is None else b"\x01" + host.encode("utf-8", "surrogatepass") + b"\x00"
-
-
-def _line_hash(prefix: bytes, line: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(prefix + line.strip().lower()) - (1 << 63)
-
-
 def _measure(text: str | None, host: str | None) -> tuple:
     if not text:
-        return 0, 0, 0, 0, 0, [], []
+        return 0, 0, 0, 0, 0, [], [], []
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()
+    bare = [line.strip() for line in raw.split(b"\n")]
     lines = [line for line in raw.split(b"\n") if line.strip()]
-    prefix = _prefix(host)
+    prefix = b"\x00" if host is None else b"\x01" + host.encode("utf-8", "surrogatepass") + b"\x00"
+    keys = [xxhash.xxh3_64_intdigest(prefix + line.lower()) - (1 << 63) if line else None
+            for line in bare]
     weights: Counter[int] = Counter()
-    for line in lines:
-        weights[_line_hash(prefix, line)] += len(line.split())
+    for key, line in zip(keys, bare, strict=True):
+        if line:
+            weights[key] += len(line.split())
     hashes, counts = zip(*sorted(weights.items()), strict=True) if weights else ((), ())
+    place = {key: i for i, key in enumerate(hashes)}
     return (
         len(words), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)),
         len(lines) - len(set(lines)), repeated_words(words), list(hashes), list(counts),
+        [place.get(key, -1) for key in keys],
     )
 
 
@@ -118,7 +117,8 @@ def judge(
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"),
                        F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text"))
     kinds = ("id long, host string, n_words long, word_chars long, n_symbols long, "
-             "n_dup_lines long, n_repeat_words long, line_hashes array<long>, line_words array<int>")
+             "n_dup_lines long, n_repeat_words long, line_hashes array<long>, line_words array<int>, "
+             "line_order array<int>")
     measured = stored(rows.mapInArrow(_measured, kinds), "quality-measures")
 
     content = ("host", "line_hashes", "line_words")
@@ -146,35 +146,16 @@ def judge(
     left = words - F.coalesce(F.col("lost"), F.lit(0))
     failed = (words < min_words) | (F.col("n_repeat_words") * 100 > words * max_repeat_pct)
     depleted = left * 100 < words * min_left_pct
+    places = F.transform("line_order", lambda at, i: F.when(
+        F.array_contains("its_lines", F.get("line_hashes", at)), i))
+    places = F.when(F.col("its_lines").isNotNull(), F.filter(places, lambda i: i.isNotNull()))
     return measured.join(lost, ["b1", "b2"], "left").select(
         F.col("id").alias(id_col), *_MEASURES, left.alias("words_left"),
         failed.alias("base_failed"), (~failed & ~depleted).alias("kept"),
-        F.coalesce("its_lines", F.array().cast("array<long>")).alias("removed_lines"))
-
+        F.coalesce(places, F.array().cast("array<int>")).alias("removed_lines"))
 
-def _left(text: str | None, host: str | None, removed: list[int] | None) -> str | None:
-    if not text or not removed:
-        return text
-    prefix, gone = _prefix(host), set(removed)
-    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    return b"\n".join(
-        line for line in lines if not line.strip() or _line_hash(prefix, line) not in gone
-    ).decode("utf-8", "surrogatepass")
 
-
-def without_lines(
-    docs: DataFrame,
-    lines_col: str = "removed_lines",
-    text_col: str = "text",
-    host_col: str = "source",
-) -> DataFrame:
-    """The rows with the lines that ``lines_col`` lists taken out of their texts."""
-    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text_col):
-            place = batch.schema.get_field_index(text_col)
-            texts = map(_left, *(batch.column(c).to_pylist()
-                                 for c in (text_col, host_col, lines_col)))
-            yield batch.set_column(place, batch.schema.field(place),
-                                   pa.array(list(texts), batch.schema.field(place).type))
-
-    return docs.mapInArrow(strip, docs.schema)
+def without_lines(text: Column, removed: Column) -> Column:
+    """``text`` without the lines at the positions ``removed``, which may be null."""
+    left = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(removed, i))
+    return F.when(F.size(removed) > 0, F.array_join(left, "\n")).otherwise(text)
