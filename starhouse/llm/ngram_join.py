@@ -1,4 +1,4 @@
-"""N-gram Jaccard self-join and its components, by adaptive multi-match prefixes.
+"""Components of the n-gram Jaccard self-join, by adaptive multi-match prefixes; links are not listed.
 
 A document is the set of its distinct word shingles. All sets are sorted by one global order, rare
 shingles first. If two sets reach the similarity, then for every l they share at least l
