@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starhouse.llm import (
     bpe, decontaminate, language, line_dedup, ngram_join, quality, suffix_dedup, token_counts,
-    url_filter, warc,
+    url_filter, warc, whitening,
 )
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -82,11 +82,16 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                         "n_repeat_words", "base_failed", "kept")
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_ngram_jaccard_join, op2_language_id, op3_url_filters, op4_warc, op5_byte_bpe,
               op6_decontamination, op7_line_dedup, op8_suffix_array_dedup, op9_token_counts,
-              op10_quality_rules)
+              op10_quality_rules, op11_embedding_whitening)
 }
 
 _FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
