@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse.llm import (
-    bpe, decontaminate, language, line_dedup, ngram_join, quality, suffix_dedup, token_counts,
+    bpe, conversation_trie, decontaminate, language, line_dedup, ngram_join, quality, suffix_dedup, token_counts,
     url_filter, warc, whitening,
 )
 
@@ -87,11 +87,16 @@ def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_ngram_jaccard_join, op2_language_id, op3_url_filters, op4_warc, op5_byte_bpe,
               op6_decontamination, op7_line_dedup, op8_suffix_array_dedup, op9_token_counts,
-              op10_quality_rules, op11_embedding_whitening)
+              op10_quality_rules, op11_embedding_whitening,
+              op12_conversation_trie)
 }
 
 _FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -224,4 +229,42 @@ m AS (
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND 100 * n_left >= 25 * n_words AS kept FROM v""",
+    "op12_conversation_trie": rf"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT c, count(*) AS size, c - c % 20 AS base,
+         xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+           lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                 lambda r, _: xor(r >> 1, (r & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM t GROUP BY c),
+r AS (
+  SELECT c.c, t.place AS depth, role, text FROM c JOIN t ON t.c = c.base AND t.place <= c.h
+  UNION ALL
+  SELECT c.c, least(c.h, coalesce(b.size, 0)) + t.place - c.h, role, text
+  FROM c JOIN t ON t.c = c.c LEFT JOIN c AS b ON b.c = c.base WHERE t.place > c.h),
+s AS (
+  SELECT c, depth, string_agg(md5(md5(role) || md5(text)), ',') OVER (PARTITION BY c ORDER BY depth) AS prefix,
+         len(regexp_extract_all(text, '{_NO_BLANK}')) AS words FROM r
+  UNION ALL SELECT c, 0, '', 0 FROM c),
+n AS (
+  SELECT depth, prefix, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words
+  FROM s GROUP BY ALL),
+p AS (
+  SELECT n.*, up.conv_id AS parent, up.prefix AS parent_prefix
+  FROM n LEFT JOIN s ON s.c = n.conv_id AND s.depth = n.depth - 1
+  LEFT JOIN n AS up ON up.depth = s.depth AND up.prefix = s.prefix),
+k AS (SELECT depth - 1 AS depth, parent_prefix AS prefix, count(*) AS n_children FROM p WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT p.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * words AS saved
+      FROM p LEFT JOIN k USING (depth, prefix)),
+a AS (
+  SELECT s.depth, s.prefix, count_if(n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM v JOIN s ON s.c = v.conv_id AND s.depth <= v.depth GROUP BY ALL),
+last AS (SELECT c, max(depth) AS depth FROM s GROUP BY c),
+e AS (SELECT depth, prefix, string_agg(c::VARCHAR, ',' ORDER BY c) AS ends FROM s JOIN last USING (c, depth) GROUP BY ALL)
+SELECT conv_id, depth, parent AS parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM v JOIN a USING (depth, prefix) LEFT JOIN e USING (depth, prefix)""",
 }

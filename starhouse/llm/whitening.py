@@ -47,14 +47,16 @@ _CLUSTER = 1e-3  # relative gap below which vectors are made orthogonal to their
 # Rows ---------------------------------------------------------------------------------------
 
 
-def usable_rows(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """(id, v array<double>) of the rows that count, and their dimension."""
+def usable_rows(vectors: DataFrame, id_col: str, vector_col: str,
+                dimension: int | None = None) -> tuple[DataFrame, int]:
+    """(id, v array<double>) of the rows that count, and their dimension, sought where it is not given."""
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.filter((F.size("v") > 0) & F.coalesce(F.forall(
         "v", lambda c: c.isNotNull() & (F.abs(c) < float(1 << 52))), F.lit(False)))
-    sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"))
-    largest = sizes.agg(F.max(F.struct("n", "d")).alias("m")).first()["m"]
-    dimension = largest["d"] if largest else 0
+    if dimension is None:
+        sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"))
+        largest = sizes.agg(F.max(F.struct("n", "d")).alias("m")).first()["m"]
+        dimension = largest["d"] if largest else 0
     return rows.filter(F.size("v") == dimension), dimension
 
 
@@ -383,8 +385,7 @@ def project(vectors: DataFrame, model: Model, id_col: str = "vec_id",
                 [ids, model.sums.squared(x), pa.array(list(z), pa.list_(pa.float64()))],
                 ["id", "deviation", "whitened"])
 
-    rows, _ = usable_rows(vectors, id_col, vector_col)
-    rows = rows.filter(F.size("v") == model.dimension)
+    rows, _ = usable_rows(vectors, id_col, vector_col, model.dimension)
     return rows.mapInArrow(work, schema).withColumnRenamed("id", id_col)
 
 
