@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse.llm import (
-    bpe, conversation_trie, decontaminate, language, line_dedup, ngram_join, quality, suffix_dedup, token_counts,
+    bpe, chat_format, conversation_trie, decontaminate, language, line_dedup, ngram_join, quality, suffix_dedup, token_counts,
     url_filter, warc, whitening,
 )
 
@@ -18,6 +18,9 @@ PATTERN = public_tokenizers.PATTERN
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
+#: A conversation of control strings that the query formats beside the table's.
+PLANTED_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -91,12 +94,21 @@ def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.prefix_trie(_table(spark, folder, "conversations"))
 
 
+def op13_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    planted = spark.createDataFrame(PLANTED_TURNS, "conv_id long, turn long, role string, text string")
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found = chat_format.format_conversations(turns.union(planted), RANKS, PATTERN)
+    return chat_format.read_back(found).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
+        "n_windows", "n_over_budget")
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_ngram_jaccard_join, op2_language_id, op3_url_filters, op4_warc, op5_byte_bpe,
               op6_decontamination, op7_line_dedup, op8_suffix_array_dedup, op9_token_counts,
               op10_quality_rules, op11_embedding_whitening,
-              op12_conversation_trie)
+              op12_conversation_trie, op13_chat_formatting)
 }
 
 _FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
