@@ -171,6 +171,13 @@ WHERE old.passenger_id IS NULL OR passenger_id IN (SELECT passenger_id FROM chan
 
 _part("versions", "SELECT * FROM after_expiry UNION ALL SELECT * FROM opened")
 
+_part("month_reloaded", """
+SELECT sales.* REPLACE (CASE WHEN travel_month = 199703 THEN v.passenger_key
+                             ELSE sales.passenger_key END AS passenger_key)
+FROM sales JOIN bookings USING (booking_id)
+JOIN versions AS v ON v.passenger_id = bookings.passenger_id
+                  AND booking_date BETWEEN effective_from AND effective_to""")
+
 _part("arrivals", """
 SELECT user_id, ts::DATE AS delivery_date, count(*) AS deliveries, min(ts) AS first_arrival
 FROM events GROUP BY ALL""")
@@ -437,6 +444,47 @@ SELECT row_number() OVER (ORDER BY travel_date_key, booking_id) AS ticket_sales_
 FROM sales JOIN bookings USING (booking_id)
 JOIN versions AS v ON v.passenger_id = bookings.passenger_id
                   AND booking_date BETWEEN effective_from AND effective_to""",
+    "fact_month_reloaded": """
+SELECT row_number() OVER (ORDER BY travel_date_key, booking_id) AS ticket_sales_key, *
+FROM month_reloaded""",
+    "revenue_kept_summary": """
+SELECT o.country_name AS origin_country, d.country_name AS dest_country, travel_month,
+       frequent_flyer_tier, sum(fare_amount)::DECIMAL(38,2) AS revenue, count(*) AS bookings
+FROM month_reloaded
+JOIN versions USING (passenger_key)
+JOIN geo AS o ON o.airport_key = origin_airport_key
+JOIN geo AS d ON d.airport_key = dest_airport_key
+WHERE booking_status = 'Confirmed'
+GROUP BY ALL""",
+    "summary_rows": """
+SELECT origin_airport_key, dest_airport_key, passenger_key, booking_status, travel_month,
+       sum(fare_amount)::DECIMAL(38,2) AS fare_amount, sum(tax_amount)::DECIMAL(38,2) AS tax_amount,
+       sum(miles_earned)::BIGINT AS miles_earned, count(*) AS booking_count
+FROM month_reloaded GROUP BY ALL""",
+    "reference_resolution": "\nUNION ALL\n".join(
+        f"""SELECT '{column} in {parent}' AS rule, count(*) AS fact_rows,
+       count_if({test})::BIGINT AS resolved_rows FROM sales""" for column, parent, test in (
+            ("booking_date_key", "dim_date", "booking_date_key <= 20010630"),
+            ("travel_date_key", "dim_date", "travel_date_key <= 20010630"),
+            ("passenger_key", "dim_passenger", "passenger_key IN (SELECT passenger_key FROM first_versions)"),
+            ("flight_key", "dim_flight", "flight_key IN (SELECT flight_key FROM keyed_flights)"),
+            ("origin_airport_key", "dim_airport", "origin_airport_key IN (SELECT airport_key FROM geo)"),
+            ("dest_airport_key", "dim_airport", "dest_airport_key IN (SELECT airport_key FROM geo)"),
+            ("aircraft_key", "dim_aircraft", "aircraft_key IN (SELECT aircraft_key FROM keyed_aircraft)"))),
+    "scd2_second_feed": f"""
+WITH again AS (SELECT * FROM passengers WHERE passenger_id % 50 = 0)
+SELECT passenger_key, v.passenger_id, v.passenger_name, v.home_airport_code, v.frequent_flyer_tier,
+       v.signup_date, effective_from,
+       CASE WHEN is_current AND a.passenger_id IS NOT NULL THEN DATE '1998-12-31'
+            ELSE effective_to END AS effective_to,
+       is_current AND a.passenger_id IS NULL AS is_current
+FROM versions AS v LEFT JOIN again AS a ON a.passenger_id = v.passenger_id
+UNION ALL
+SELECT ((SELECT max(passenger_key) FROM versions)
+        + row_number() OVER (ORDER BY passenger_id))::INTEGER, passenger_id, passenger_name,
+       home_airport_code, frequent_flyer_tier || '_2', signup_date, DATE '1999-01-01',
+       DATE '9999-12-31', TRUE
+FROM again""",
     "asof_passenger_lookup": """
 SELECT booking_id, bookings.passenger_id, booking_date, passenger_key
 FROM bookings JOIN versions ON versions.passenger_id = bookings.passenger_id

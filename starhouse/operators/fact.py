@@ -134,6 +134,13 @@ def key_ticket_sales(sales: DataFrame) -> DataFrame:
     written, by many tasks. The joined rows are stored first: the range bounds
     are sampled from them, and the joins are not run twice.
     """
-    rows = stored(sales, "ticket-sales")
-    keyed = number_rows(rows, ["travel_date_key", "booking_id"], "ticket_sales_key")
+    return laid_out(number_sales(stored(sales, "ticket-sales")))
+
+
+def number_sales(rows: DataFrame, first: int = 1) -> DataFrame:
+    return number_rows(rows, ["travel_date_key", "booking_id"], "ticket_sales_key", first)
+
+
+def laid_out(keyed: DataFrame) -> DataFrame:
+    """Rows in the order they are filed in: by month, then by key."""
     return keyed.sortWithinPartitions("travel_month", "ticket_sales_key")

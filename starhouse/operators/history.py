@@ -69,13 +69,15 @@ def expire(
 
 
 def new_versions(
-    versions: DataFrame, staged: DataFrame, load_date: str, null_safe: bool = False
+    versions: DataFrame, staged: DataFrame, load_date: str, null_safe: bool = False,
+    highest: int | None = None,
 ) -> DataFrame:
     """Step 2: the rows to insert, given the versions *before* step 1.
 
     Every staged passenger without a current version left after expiry gets one
     from ``load_date`` on. The signup date is carried over from older versions;
-    brand-new passengers have none.
+    brand-new passengers have none. ``highest`` is the highest key handed out so
+    far; with it, ``versions`` need only hold the passengers of the feed.
     """
     surviving = (
         versions.filter("is_current")
@@ -100,7 +102,8 @@ def new_versions(
             F.lit(True).alias("is_current"),
         )
     )
-    highest = versions.agg(F.coalesce(F.max("passenger_key"), F.lit(0)).alias("k")).first()["k"]
+    if highest is None:
+        highest = versions.agg(F.coalesce(F.max("passenger_key"), F.lit(0)).alias("k")).first()["k"]
     return assign_keys(rows, ["passenger_id"], "passenger_key", first=highest + 1,
                        at_most=staged.count())
 

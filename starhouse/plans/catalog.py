@@ -35,6 +35,9 @@ BOUNDARIES = month_starts(199502, 200112)
 CALENDAR = ("1995-01-01", "2001-12-31")
 # Last calendar day and dropped parents used to plant defects the checks must find.
 SHORT_CALENDAR_END = "2001-06-30"
+# The month that is reloaded alone, and the day and buckets of a second change feed.
+RELOADED_MONTH = 199703
+SECOND_LOAD_DATE, FEW_BUCKETS = "1999-01-01", 16
 DROPPED_PARENTS = 50
 
 _built: dict[tuple[str, str, str], object] = {}
@@ -86,13 +89,26 @@ def reloaded(spark: SparkSession, folder: str) -> Warehouse:
     def build() -> Warehouse:
         before = changed(spark, folder)
         root = scratch_path(spark, "reloaded")
-        Store(spark, root).publish({n: before.paths(n) for n in before.names()})
+        Store(spark, root).adopt(before.published)
         return warehouse.reload_fact(spark, root, landed_bookings(spark, folder),
                                      bound.flights(spark, folder))
 
     return _once("reloaded", spark, folder, build)
 
 
+def month_reloaded(spark: SparkSession, folder: str) -> Warehouse:
+    """The warehouse after the change feed, one month of its fact reloaded beside a kept summary."""
+
+    def build() -> Warehouse:
+        root = scratch_path(spark, "month-reloaded")
+        Store(spark, root).adopt(changed(spark, folder).published)
+        warehouse.keep_summary(spark, root)
+        return warehouse.reload_months(spark, root, landed_bookings(spark, folder),
+                                       bound.flights(spark, folder), [RELOADED_MONTH])
+
+    return _once("month reloaded", spark, folder, build)
+
+
 def flight_lookup(spark: SparkSession, folder: str) -> DataFrame:
     def build() -> DataFrame:
         w = loaded(spark, folder)
@@ -213,6 +229,21 @@ def fact_reloaded(spark, folder):
     return reloaded(spark, folder)["fact_ticket_sales"]
 
 
+def fact_month_reloaded(spark, folder):
+    """The fact after one month was reloaded: its keys stay, the other months' files too."""
+    return month_reloaded(spark, folder)["fact_ticket_sales"]
+
+
+def revenue_kept_summary(spark, folder):
+    """The flagship report read from the summary that the reload of a month has kept up to date."""
+    w = month_reloaded(spark, folder)
+    return marts.revenue_by_route_month_tier(w[warehouse.SUMMARY], w["dim_passenger"], w["airport_geo"])
+
+
+def summary_rows(spark, folder):
+    return month_reloaded(spark, folder)[warehouse.SUMMARY]
+
+
 def asof_passenger_lookup(spark, folder):
     w = changed(spark, folder)
     hits = fact.versions_as_of(
@@ -284,6 +315,14 @@ def fact_resolution(spark, folder):
     return checks.resolved_rows(w["fact_ticket_sales"], {n: w[n] for n in w.names()})
 
 
+def reference_resolution(spark, folder):
+    """Planted defect: the calendar ends early; the other references resolve."""
+    w = loaded(spark, folder)
+    dims = {n: w[n] for n in w.names()}
+    early = dims["dim_date"].filter(F.col("full_date") <= F.lit(SHORT_CALENDAR_END).cast("date"))
+    return checks.resolved_by_reference(w["fact_ticket_sales"], {**dims, "dim_date": early})
+
+
 def unloaded_bookings(spark, folder):
     """Planted defect: the calendar ends early, so later travel cannot load."""
     w = loaded(spark, folder)
@@ -354,11 +393,30 @@ def scd2_passenger(spark, folder):
 
 
 def scd2_adopted(spark, folder):
-    """A dimension started at signup, under its first column names, made ready for feeds."""
+    """A dimension stored from signup under its first column names, renamed and made ready for feeds."""
     older = dim_passenger_from_signup(spark, folder).withColumnsRenamed(
         {"effective_from": "effective_date", "effective_to": "expiry_date"}
     )
-    return history.adopt(older)
+    store = Store(spark, scratch_path(spark, "adopted"))
+    store.publish({"dim_passenger": store.write(older, "dim_passenger")})
+    store.rename_columns("dim_passenger", {"effective_date": "effective_from",
+                                           "expiry_date": "effective_to"})
+    return history.adopt(Warehouse(spark, store.root)["dim_passenger"])
+
+
+def scd2_second_feed(spark, folder):
+    """A second feed over few passengers of a dimension in buckets: the other buckets' files stay."""
+
+    def build() -> Warehouse:
+        root = scratch_path(spark, "second-feed")
+        Store(spark, root).adopt(changed(spark, folder).published, ["dim_passenger"])
+        warehouse.rebucket(spark, root, FEW_BUCKETS)
+        staged = bound.passengers(spark, folder).filter("passenger_id % 50 = 0").select(
+            "passenger_id", "passenger_name", "home_airport_code",
+            F.concat("frequent_flyer_tier", F.lit("_2")).alias("frequent_flyer_tier"))
+        return warehouse.apply_changes(spark, root, staged, SECOND_LOAD_DATE)
+
+    return _once("second feed", spark, folder, build)["dim_passenger"]
 
 
 def scd2_expire_step(spark, folder):
@@ -434,7 +492,7 @@ def scd2_streamed(spark, folder):
         change_feed.land(bound.passenger_updates(spark, folder), landing, bound.LOAD_DATE)
         before = loaded(spark, folder)
         root = scratch_path(spark, "streamed")
-        Store(spark, root).publish({"dim_passenger": before.paths("dim_passenger")})
+        Store(spark, root).adopt(before.published, ["dim_passenger"])
         change_feed.run(spark, landing, root, scratch_path(spark, "feed-progress"))
         return Warehouse(spark, root)
 
@@ -587,6 +645,7 @@ QUERIES: dict[str, Query] = {
         scd2_feed_rules, scd2_planted_invariants, months_read, month_totals_by_sql,
         planted_values, csv_feed_report, csv_feed_read,
         fact_ticket_sales, fact_key_range, fact_loaded_as_of, asof_passenger_lookup,
+        fact_month_reloaded, revenue_kept_summary, summary_rows, reference_resolution, scd2_second_feed,
         load_row_counts, fact_resolution, unloaded_bookings, measure_reconciliation,
         key_duplicates, table_rule_violations, orphan_flights, orphan_passengers, fd_violations,
         booking_flight_fan_out, repeat_passenger_flight, bookings_before_signup,

@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starhouse.operators import checks, contract, dimensions, fact, geography, history
 from starhouse.operators.calendar import calendar
+from starhouse.plans import marts
 from starhouse.schemas import TABLES
 from starhouse.session import stored
 from starhouse.sources.feeds import Feeds
-from starhouse.sources.store import Store
+from starhouse.sources.store import Part, Store
 
-# DimPassenger is stored in two slices: expired versions are only ever added
-# to, the current ones are replaced by each feed.
-CURRENT, HISTORY = "slice=current", "slice=history"
-# Folders of expired versions before they are merged into one.
-HISTORY_FOLDERS = 16
+# DimPassenger is stored in two slices of hash buckets. A feed replaces the current bucket of the
+# passengers it changes and adds their expired versions to the bucket's history.
+CURRENT, HISTORY = "slice=current/", "slice=history/"
+# Current versions in a bucket, when a full load chooses the number of buckets.
+ROWS_PER_BUCKET = 1_000_000
+# Parts of a bucket's history before they are merged into one.
+HISTORY_PARTS = 16
+# The table that keep_summary publishes.
+SUMMARY = "sales_summary"
+# Marks of a version: number of buckets, and the highest keys that were ever handed out.
+BUCKETS, PASSENGER_KEY, SALES_KEY = "dim_passenger.buckets", "dim_passenger.key", "fact_ticket_sales.key"
 
 
 @dataclass(frozen=True)
@@ -37,46 +46,89 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, version: int | None = None):
         self.store = Store(spark, root)
-        self.version, self._paths = self.store.version(version)
+        self.published = self.store.version(version)
         self._frames: dict[str, DataFrame] = {}
 
+    @property
+    def version(self) -> int:
+        return self.published.number
+
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._frames:
-            self._frames[table] = self.store.read_paths(self._paths[table])
+            parts = self.published.tables[table]
+            self._frames[table] = self.store.read(parts, None if parts else TABLES[table].schema)
         return self._frames[table]
 
-    def paths(self, table: str) -> list[str]:
-        return list(self._paths[table])
+    def parts(self, table: str) -> list[Part]:
+        return list(self.published.tables[table])
+
+    def passengers(self, slice_: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Versions of a slice, of all or of the given buckets; nothing else is read."""
+        parts = [p for p in self.parts("dim_passenger") if p.name.startswith(slice_)]
+        if buckets is not None:
+            wanted = {f"{slice_}bucket={b}" for b in buckets}
+            parts = [p for p in parts if p.name in wanted]
+        return self.store.read(parts, self["dim_passenger"].schema)
 
     def current_passengers(self) -> DataFrame:
         """Current versions only: reads none of the history files."""
-        paths = self._paths["dim_passenger"]
-        return self.store.read_paths([p for p in paths if p.endswith(CURRENT)])
+        return self.passengers(CURRENT)
 
     def names(self) -> list[str]:
-        return sorted(self._paths)
+        return sorted(self.published.tables)
 
     def register(self, database: str = "dw") -> None:
         """Make the version queryable by SQL under the tables' SQL names.
 
-        A table in one folder becomes an external table, one in several folders
-        a view over them.
+        A whole table becomes an external table, one in months an external table whose partitions
+        are the months' parts. Other parts are partitions of a table of their own, which a view
+        shows without them.
         """
         spark = self.store.spark
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
         for table in self.names():
-            spec, paths = TABLES[table], self.paths(table)
+            spec, parts = TABLES[table], self.parts(table)
             name = f"{database}.{spec.sql_name}"
-            if spark.catalog.tableExists(name):
-                kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
-                spark.sql(f"DROP {kind} {name}")
-            if len(paths) == 1:
-                spark.catalog.createTable(name, path=paths[0], source="parquet")
-                if spec.partitioned_by:
-                    spark.catalog.recoverPartitions(name)
+            for old in (name, f"{name}_parts"):
+                if spark.catalog.tableExists(old):
+                    kind = "VIEW" if spark.catalog.getTable(old).tableType == "VIEW" else "TABLE"
+                    spark.sql(f"DROP {kind} {old}")
+            if not parts:
+                columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.schema)
+                spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet")
+            elif any(p.columns for p in parts):
+                renamed = " UNION ALL ".join(_part_query(p, self[table].columns, spark) for p in parts)
+                spark.sql(f"CREATE VIEW {name} AS {renamed}")
+            elif len(parts) == 1 and not parts[0].name:
+                spark.catalog.createTable(name, path=parts[0].path, source="parquet")
+            elif spec.partitioned_by:
+                _partitioned_table(spark, name, self[table].schema, list(spec.partitioned_by),
+                                   [(p.name.replace("/", ", "), p.path) for p in parts])
             else:
-                parts = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in paths)
-                spark.sql(f"CREATE VIEW {name} AS {parts}")
+                schema = T.StructType([*self[table].schema, T.StructField("part", T.IntegerType())])
+                _partitioned_table(spark, f"{name}_parts", schema, ["part"],
+                                   [(f"part={i}", p.path) for i, p in enumerate(parts)])
+                columns = ", ".join(self[table].columns)
+                spark.sql(f"CREATE VIEW {name} AS SELECT {columns} FROM {name}_parts")
+
+
+def _part_query(part: Part, columns: Sequence[str], spark: SparkSession) -> str:
+    """SQL that reads one part under its present column names; columns it lacks are NULL."""
+    stored = {n: c for c in spark.read.parquet(part.path).columns
+              if (n := dict(part.columns).get(c, c)) is not None}
+    picked = ", ".join(f"{stored.get(c, 'NULL')} AS {c}" for c in columns)
+    return f"SELECT {picked} FROM parquet.`{part.path}`"
+
+
+def _partitioned_table(spark: SparkSession, name: str, schema: T.StructType, by: Sequence[str],
+                       parts: Sequence[tuple[str, str]]) -> None:
+    """An external table with each part as a partition; ``parts`` are (partition, folder)."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    base = parts[0][1].partition("/load=")[0]
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(by)}) "
+              f"LOCATION '{base}'")
+    added = " ".join(f"PARTITION ({spec}) LOCATION '{path}'" for spec, path in parts)
+    spark.sql(f"ALTER TABLE {name} ADD {added}")
 
 
 def load(
@@ -97,12 +149,12 @@ def load(
     tables whose sizes Spark knows, and short ones are broadcast without a hint.
     """
     store = Store(spark, root)
-    paths: dict[str, list[str]] = {}
+    parts: dict[str, list[Part]] = {}
     built: dict[str, DataFrame] = {}
 
     def keep(table: str, df: DataFrame) -> DataFrame:
-        paths[table] = [store.write(df, table, TABLES[table].partitioned_by)]
-        built[table] = store.read_paths(paths[table], df.schema)
+        parts[table] = store.write(df, table, TABLES[table].partitioned_by)
+        built[table] = store.read(parts[table], df.schema)
         return built[table]
 
     if land:
@@ -125,9 +177,11 @@ def load(
 
     def load_passengers() -> None:
         versions = dimensions.passenger_dimension(feeds.passengers)
-        paths["dim_passenger"] = write_passengers(store, versions)
-        built["dim_passenger"] = store.read_paths(paths["dim_passenger"], versions.schema)
+        parts["dim_passenger"] = write_passengers(store, versions, buckets)
+        built["dim_passenger"] = store.read(parts["dim_passenger"], versions.schema)
 
+    passengers = feeds.passengers.count()
+    buckets = -(-passengers // ROWS_PER_BUCKET) or 1
     # Independent short loads share the cluster instead of queueing behind each other.
     _together([
         lambda: keep("dim_date", calendar(spark, *calendar_days)),
@@ -141,7 +195,9 @@ def load(
     keep("fact_ticket_sales", fact.key_ticket_sales(sales))
     if gates.load:
         require_sound(feeds.bookings, built)
-    store.publish(paths)
+    # Keys are dense from 1 on, so the counts are the highest keys.
+    store.publish(parts, {BUCKETS: buckets, PASSENGER_KEY: passengers,
+                          SALES_KEY: built["fact_ticket_sales"].count()})
     return Warehouse(spark, root)
 
 
@@ -164,13 +220,73 @@ def reload_fact(
                               tables["dim_date"], as_of=True)
     sales = fact.key_ticket_sales(sales)
     spec = TABLES["fact_ticket_sales"]
-    path = now.store.write(sales, spec.name, spec.partitioned_by)
-    tables[spec.name] = now.store.read_paths([path], sales.schema)
+    parts = now.store.write(sales, spec.name, spec.partitioned_by)
+    tables[spec.name] = now.store.read(parts, sales.schema)
+    require_sound(bookings, tables)
+    now.store.publish({spec.name: parts}, {SALES_KEY: tables[spec.name].count()})
+    return Warehouse(spark, root)
+
+
+def reload_months(
+    spark: SparkSession,
+    root: str,
+    bookings: DataFrame,
+    flights: DataFrame,
+    months: Sequence[int],
+) -> Warehouse:
+    """Rebuild the fact of some travel months and publish only their parts.
+
+    ``bookings`` holds all bookings of these months; others in it are left alone. A booking keeps the
+    key it has in the months' old parts, new ones are keyed after the highest key ever handed out.
+    A booking that stands in a month that stays is refused: it would be counted twice.
+    """
+    now = Warehouse(spark, root)
+    spec, store = TABLES["fact_ticket_sales"], now.store
+    month = F.date_format(F.col("travel_date").cast("date"), "yyyyMM").cast("int")
+    bookings = bookings.filter(month.isin(list(months)))
+    touched = {f"travel_month={m}" for m in months}
+    old = [p for p in now.parts(spec.name) if p.name in touched]
+    left = [p for p in now.parts(spec.name) if p.name not in touched]
+    tables = {name: now[name] for name in now.names() if TABLES[name].layer != "bronze"}
+    history.require_sound_history(tables["dim_passenger"])
+    sales = fact.ticket_sales(bookings, flight_lookup(flights, tables), tables["dim_passenger"],
+                              tables["dim_date"], as_of=True)
+    schema = now[spec.name].schema
+    known = store.read(old, schema).select("booking_id", "ticket_sales_key")
+    rows = stored(sales.join(known, "booking_id", "left"), "months-sales")
+    elsewhere = store.read(left, schema).select("booking_id").join(
+        rows.select("booking_id"), "booking_id", "left_semi")
+    checks.require_empty(elsewhere, "a reloaded booking stands in a month that is not reloaded")
+    highest = now.published.marks[SALES_KEY]
+    fresh = rows.filter("ticket_sales_key IS NULL").drop("ticket_sales_key")
+    fresh = fact.number_sales(fresh, first=highest + 1)
+    keyed = rows.filter("ticket_sales_key IS NOT NULL").unionByName(fresh).select(schema.names)
+    keyed = fact.laid_out(keyed.repartitionByRange("travel_month", "ticket_sales_key"))
+    written = store.write(keyed, spec.name, spec.partitioned_by)
+    tables[spec.name] = store.read(written, schema)
     require_sound(bookings, tables)
-    now.store.publish({spec.name: [path]})
+    highest = max(highest, tables[spec.name].agg(F.max("ticket_sales_key")).first()[0] or 0)
+    published = {spec.name: left + written}
+    if SUMMARY in now.names():
+        published[SUMMARY] = _summary_parts(store, now.parts(SUMMARY), tables[spec.name], touched)
+    store.publish(published, {SALES_KEY: highest})
+    return Warehouse(spark, root)
+
+
+def keep_summary(spark: SparkSession, root: str) -> Warehouse:
+    """Publish the sales summary of all months; reloads of months then keep it up to date."""
+    now = Warehouse(spark, root)
+    parts = _summary_parts(now.store, [], now["fact_ticket_sales"], set())
+    now.store.publish({SUMMARY: parts})
     return Warehouse(spark, root)
 
 
+def _summary_parts(store: Store, parts: Sequence[Part], sales: DataFrame, months: set[str]) -> list[Part]:
+    """The summary's parts with the months of ``sales`` in place of the named ones."""
+    written = store.write(marts.sales_summary(sales), SUMMARY, TABLES[SUMMARY].partitioned_by)
+    return [p for p in parts if p.name not in months] + written
+
+
 def flight_lookup(flights: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Flight keys, stored so that the fact join is planned on their real size.
 
@@ -188,38 +304,69 @@ def apply_changes(
     staged: DataFrame,
     load_date: str,
     null_safe: bool = False,
-    note: str = "",
+    digest: str | None = None,
 ) -> Warehouse:
     """Apply one change feed to DimPassenger and publish the result.
 
-    The feed is landed and checked first. Only current versions are rewritten;
-    versions that expire are added to the history folders.
+    The feed is landed and checked first. Only buckets that hold passengers of the feed are read, only
+    those with a changed or new passenger are written. ``digest`` registers the feed as applied.
     """
     checks.require_empty(history.feed_rules(staged).filter("violations > 0"),
                          "change feed breaks a column rule")
     before = Warehouse(spark, root)
-    versions, store = before["dim_passenger"], before.store
+    store, marks = before.store, before.published.marks
     landed = store.write(staged, "stg_passenger_updates")
-    staged = store.read_paths([landed], staged.schema)
-    current = before.current_passengers()
+    staged = store.read(landed, staged.schema)
+    bucket = _bucket(marks[BUCKETS])
+    feed = (load_date, digest) if digest else None
+
+    near = _numbers(staged, bucket)
+    current = before.passengers(CURRENT, near)
     problems = history.feed_problems(current, staged, load_date, null_safe)
     checks.require_empty(problems.filter("passengers > 0"), "change feed refused")
-
-    fresh = history.new_versions(versions, staged, load_date, null_safe)
-    updated = history.expire(current, staged, load_date, null_safe).unionByName(fresh)
-    old = [p for p in before.paths("dim_passenger") if p.endswith(HISTORY)]
-    if len(old) >= HISTORY_FOLDERS:  # every feed adds one: merge them now and then
-        old = write_passengers(store, store.read_paths(old, versions.schema))
-    paths = old + write_passengers(store, updated)
+    versions = current.unionByName(before.passengers(HISTORY, near))
+    fresh = stored(history.new_versions(versions, staged, load_date, null_safe,
+                                        highest=marks[PASSENGER_KEY]), "new-versions")
+    written = _numbers(fresh, bucket)  # a changed or new passenger has a new version
+    if not written:
+        store.publish({"stg_passenger_updates": landed}, feed=feed)
+        return Warehouse(spark, root)
+
+    updated = history.expire(before.passengers(CURRENT, written), staged, load_date, null_safe)
+    updated = updated.unionByName(fresh)
+    held = Counter(p.name for p in before.parts("dim_passenger") if p.name.startswith(HISTORY))
+    full = [b for b in written if held[f"{HISTORY}bucket={b}"] >= HISTORY_PARTS]
+    if full:  # every feed adds a part to a bucket's history: merge them now and then
+        updated = updated.unionByName(before.passengers(HISTORY, full))
+    replaced = ({f"{CURRENT}bucket={b}" for b in written} | {f"{HISTORY}bucket={b}" for b in full})
+    parts = write_passengers(store, updated, marks[BUCKETS])
     # Only passengers in the feed can have become unsound.
-    touched = store.read_paths(paths, versions.schema).join(
-        staged.select("passenger_id"), "passenger_id", "left_semi"
-    )
-    history.require_sound_history(touched)
-    store.publish({"dim_passenger": paths, "stg_passenger_updates": [landed]}, note)
+    kept = [p for p in before.parts("dim_passenger") if p.name not in replaced]
+    wanted = {f"{s}bucket={b}" for b in written for s in (CURRENT, HISTORY)}
+    touched = store.read([p for p in kept if p.name in wanted] + parts, versions.schema)
+    history.require_sound_history(touched.join(staged.select("passenger_id"), "passenger_id", "left_semi"))
+    store.publish({"dim_passenger": kept + parts, "stg_passenger_updates": landed},
+                  {PASSENGER_KEY: marks[PASSENGER_KEY] + fresh.count()}, feed)
+    return Warehouse(spark, root)
+
+
+def rebucket(spark: SparkSession, root: str, buckets: int) -> Warehouse:
+    """Publish DimPassenger in another number of buckets, as it has grown."""
+    now = Warehouse(spark, root)
+    now.store.publish({"dim_passenger": write_passengers(now.store, now["dim_passenger"], buckets)},
+                      {BUCKETS: buckets})
     return Warehouse(spark, root)
 
 
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col("passenger_id").cast("bigint")), F.lit(buckets)).cast("int")
+
+
+def _numbers(rows: DataFrame, bucket: Column) -> list[int]:
+    """The buckets of the rows: at most as many numbers as there are buckets."""
+    return sorted(r["b"] for r in rows.select(bucket.alias("b")).distinct().collect())
+
+
 def rule_report(tables: Warehouse) -> DataFrame:
     """(table_name, rule, violations) of all declared column rules, keys and references.
 
@@ -238,12 +385,11 @@ def rule_report(tables: Warehouse) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_passengers(store: Store, versions: DataFrame) -> list[str]:
-    """Write versions split into current and history folders; return those that exist."""
+def write_passengers(store: Store, versions: DataFrame, buckets: int) -> list[Part]:
+    """Write versions as one file per slice and bucket."""
     part = F.when(F.col("is_current"), "current").otherwise("history")
-    path = store.write(versions.withColumn("slice", part), "dim_passenger", ["slice"])
-    slices = {r["slice"] for r in store.read_paths([path]).select("slice").distinct().collect()}
-    return [f"{path}/{s}" for s in (HISTORY, CURRENT) if s.partition("=")[2] in slices]
+    rows = versions.withColumns({"slice": part, "bucket": _bucket(buckets)})
+    return store.write(rows.repartition("bucket"), "dim_passenger", ["slice", "bucket"])
 
 
 def require_geography(airports: DataFrame) -> None:

@@ -41,6 +41,7 @@ class LoadError(Exception):
 _TYPES = {
     "INT": T.IntegerType(), "BIGINT": T.LongType(), "STRING": T.StringType(),
     "DATE": T.DateType(), "BOOLEAN": T.BooleanType(), "DECIMAL(12,2)": T.DecimalType(12, 2),
+    "DECIMAL(38,2)": T.DecimalType(38, 2),
 }
 _COLUMN = re.compile(r"(\w+) (\w+(?:\(\d+,\d+\))?)( NOT NULL)?")
 
@@ -215,10 +216,19 @@ AIRPORT_GEO = Table(
        city_name STRING NOT NULL, country_name STRING NOT NULL, region STRING""",
     key=("airport_key",),
 )
+SALES_SUMMARY = Table(
+    "sales_summary", "SalesSummary", "gold", "additive totals kept per month",
+    """origin_airport_key INT NOT NULL, dest_airport_key INT NOT NULL, passenger_key INT NOT NULL,
+       booking_status STRING NOT NULL, fare_amount DECIMAL(38,2) NOT NULL,
+       tax_amount DECIMAL(38,2) NOT NULL, miles_earned BIGINT NOT NULL,
+       booking_count BIGINT NOT NULL, travel_month INT NOT NULL""",
+    key=("travel_month", "origin_airport_key", "dest_airport_key", "passenger_key", "booking_status"),
+    allowed={"booking_status": BOOKING_STATUSES}, partitioned_by=("travel_month",),
+)
 
 FEEDS = {t.name: t for t in (BOOKINGS, FLIGHTS, PASSENGERS, AIRPORTS, AIRCRAFT, PASSENGER_UPDATES)}
 TABLES = {
     t.name: t
     for t in (*FEEDS.values(), DIM_DATE, DIM_PASSENGER, DIM_COUNTRY, DIM_CITY, DIM_AIRPORT,
-              DIM_AIRCRAFT, DIM_FLIGHT, FACT_TICKET_SALES, AIRPORT_GEO)
+              DIM_AIRCRAFT, DIM_FLIGHT, FACT_TICKET_SALES, AIRPORT_GEO, SALES_SUMMARY)
 }

@@ -34,17 +34,17 @@ def run(spark: SparkSession, landing: str, root: str, progress: str) -> None:
 
 
 def digest(staged: DataFrame) -> str:
-    """Row count and order-free sums of two row hashes."""
-    columns = sorted(staged.columns)
-    hashes = [F.xxhash64(*columns), F.xxhash64(*columns, F.lit("second"))]
-    row = staged.agg(F.count("*"), *(F.sum(h.cast("decimal(38,0)")) for h in hashes)).first()
-    return " ".join(str(v) for v in row)
+    """Row count and order-free sums of two row hashes; NULLs count with the column they stand in."""
+    row = F.to_json(F.struct(*sorted(staged.columns)), {"ignoreNullFields": "false"})
+    hashes = [F.xxhash64(row), F.xxhash64(F.lit("second"), row)]
+    sums = staged.agg(F.count("*"), *(F.sum(h.cast("decimal(38,0)")) for h in hashes)).first()
+    return " ".join(str(v) for v in sums)
 
 
 def apply_batch(batch: DataFrame, number: int, root: str) -> None:
     """Apply the feeds of a micro-batch in load-date order (one row per date is collected).
 
-    Each published version names its date and a digest of the feed's rows. A
+    Each applied feed is registered under its date with a digest of its rows. A
     batch replayed after a failure skips the feeds it had already published, by
     whichever stream they come and whatever its checkpoint remembers; a feed
     with other rows on the same date is applied, or refused by the feed checks.
@@ -53,6 +53,6 @@ def apply_batch(batch: DataFrame, number: int, root: str) -> None:
     store = Store(spark, root)
     for (day,) in batch.select("load_date").distinct().orderBy("load_date").collect():
         staged = batch.filter(F.col("load_date") == F.lit(day)).drop("load_date")
-        note = f"feed {day} with {digest(staged)}"
-        if not store.noted(note):
-            warehouse.apply_changes(spark, root, staged, day.isoformat(), note=note)
+        key = digest(staged)
+        if not store.applied(day.isoformat(), key):
+            warehouse.apply_changes(spark, root, staged, day.isoformat(), digest=key)

@@ -43,7 +43,7 @@ def small(spark, tmp_path_factory):
 @pytest.fixture()
 def small_root(small, spark, root):
     """A root of its own that starts from the small airline's tables."""
-    Store(spark, root).publish({t: small.paths(t) for t in small.names()})
+    Store(spark, root).adopt(small.published)
     return root
 
 

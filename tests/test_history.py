@@ -93,7 +93,7 @@ def test_history_folders_are_kept(spark, small_root):
     for day, tier in (("2025-03-01", "A"), ("2025-04-01", "B"), ("2025-05-01", "C")):
         staged = airline.updates(spark, [(1, "Ana", "BOM", tier)])
         w = warehouse.apply_changes(spark, small_root, staged, day)
-        history_paths = [p for p in w.paths("dim_passenger") if p.endswith(warehouse.HISTORY)]
+        history_paths = [p for p in w.parts("dim_passenger") if p.name.startswith(warehouse.HISTORY)]
         assert set(paths) <= set(history_paths)
         paths = history_paths
     assert len(paths) == 3
@@ -188,7 +188,7 @@ def test_unsound_history_is_refused_before_a_reload(spark, small_root):
     twice = w["dim_passenger"].unionByName(
         w["dim_passenger"].withColumns({"passenger_key": F.col("passenger_key") + 10,
                                         "effective_from": F.lit("2025-01-01").cast("date")}))
-    w.store.publish({"dim_passenger": warehouse.write_passengers(w.store, twice)})
+    w.store.publish({"dim_passenger": warehouse.write_passengers(w.store, twice, 1)})
     with pytest.raises(LoadError, match="not sound"):
         warehouse.reload_fact(spark, small_root, feeds.bookings, feeds.flights)
 
@@ -215,12 +215,12 @@ def test_two_streams_lose_no_feed(spark, small_root, tmp_path):
         (1, "Blue"), (2, "Blue"), (3, None)]
 
 
-def test_history_folders_are_merged(spark, small_root, monkeypatch):
-    monkeypatch.setattr(warehouse, "HISTORY_FOLDERS", 2)
+def test_history_parts_are_merged(spark, small_root, monkeypatch):
+    monkeypatch.setattr(warehouse, "HISTORY_PARTS", 2)
     for number in range(5):
         staged = airline.updates(spark, [(1, "Ana", "BOM", f"tier {number}")])
         w = warehouse.apply_changes(spark, small_root, staged, f"2025-03-0{number + 1}")
-        assert sum(p.endswith(warehouse.HISTORY) for p in w.paths("dim_passenger")) <= 3
+        assert sum(p.name.startswith(warehouse.HISTORY) for p in w.parts("dim_passenger")) <= 2
     assert w["dim_passenger"].count() == 8
     assert rows(history.history_violations(w["dim_passenger"]).filter("violations > 0")) == []
 
