@@ -389,6 +389,7 @@ FROM (
   UNION ALL SELECT 'resolution', 'sound', NULL, count(*) <> (SELECT count(*) FROM bookings) FROM sales
   UNION ALL SELECT 'resolution', 'planted', 50002,
                    count_if(greatest(booking_date, travel_date) > DATE '2001-06-30') > 0 FROM bookings
+  UNION ALL SELECT 'contract', 'sound', NULL, count_if(fare_amount <= 0 OR tax_amount < 0) > 0 FROM bookings
   UNION ALL SELECT 'contract', 'planted', NULL, count_if(booking_date > travel_date) > 0 FROM bookings
   UNION ALL SELECT 'feed_rules', 'sound', NULL, count_if(passenger_name IS NULL) > 0 FROM staged
   UNION ALL SELECT 'feed_rules', 'planted', NULL, count(*) > 0 FROM staged)""",
@@ -420,15 +421,36 @@ WITH planted AS (
 SELECT 'booking_status' AS column_name, value, kind, count(*) AS row_count
 FROM planted WHERE kind IS NOT NULL GROUP BY value, kind""",
     "csv_feed_report": """
-SELECT 'missing' AS finding, 'tax_amount' AS column_name, 1::BIGINT AS n
-UNION ALL SELECT 'added', 'source_system', 1::BIGINT
-UNION ALL SELECT 'not parsed', 'miles_earned', count_if(booking_id % 40 = 0)::BIGINT FROM bookings
-UNION ALL SELECT 'finer than a cent', 'fare_amount', count_if(booking_id % 50 = 0)::BIGINT
+SELECT 'missing' AS finding, 'tax_amount' AS column_name, 1::BIGINT AS n, TRUE AS breaking
+UNION ALL SELECT 'added', 'source_system', 1::BIGINT, FALSE
+UNION ALL SELECT 'renamed', 'booking_status -> state', 1::BIGINT, TRUE
+UNION ALL SELECT 'retyped', 'flight_id', count(*), TRUE FROM bookings
+UNION ALL SELECT 'not parsed', 'miles_earned', count_if(booking_id % 40 = 0)::BIGINT, TRUE FROM bookings
+UNION ALL SELECT 'finer than a cent', 'fare_amount', count_if(booking_id % 50 = 0)::BIGINT, TRUE
 FROM bookings""",
+    "contract_measured_landing": "\nUNION ALL\n".join(_CONTRACT_RULES),
+    "column_types": "\nUNION ALL\n".join(
+        f"SELECT '{feed}' AS feed, '{column}' AS column_name, count({column}) AS n_values, "
+        f"'{kind}' AS narrowest FROM {feed}"
+        for feed, kinds in (
+            ("bookings", {"booking_id": "int", "passenger_id": "int", "flight_id": "int",
+                          "booking_date": "date", "travel_date": "date", "fare_class": "string",
+                          "fare_amount": "decimal(38,10)", "tax_amount": "decimal(38,10)",
+                          "booking_status": "string", "miles_earned": "int"}),
+            ("events", {"event_id": "int", "ts": "timestamp_ntz", "user_id": "int",
+                        "event_type": "string", "value": "decimal(38,10)", "props": "string"}))
+        for column, kind in kinds.items()),
     "csv_feed_read": """
 SELECT booking_id::BIGINT AS booking_id, passenger_id::INTEGER AS passenger_id,
        flight_id::INTEGER AS flight_id, booking_date, travel_date, fare_class, fare_amount,
        tax_amount, booking_status, miles_earned FROM bookings""",
+    "fact_gated_load": """
+SELECT row_number() OVER (ORDER BY travel_date_key, booking_id) AS ticket_sales_key,
+       sales.* REPLACE (
+           dense_rank() OVER (ORDER BY flight_id * 100000 + (travel_date - DATE '1990-01-01'))::INTEGER
+               AS flight_key,
+           least(booking_date_key, travel_date_key) AS booking_date_key)
+FROM sales JOIN bookings USING (booking_id)""",
     "fact_key_range": """
 SELECT count(*) AS row_count, least(1, count(*)) AS first_key, count(*) AS last_key,
        count(DISTINCT booking_id) AS distinct_keys

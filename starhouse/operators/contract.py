@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,15 +41,31 @@ def field_rules(schema: T.StructType) -> dict[str, Column]:
     return rules
 
 
-def violations(bookings: DataFrame, flights: DataFrame, passengers: DataFrame) -> DataFrame:
+def measured(bookings: DataFrame) -> tuple[DataFrame, Observation]:
+    """The bookings, and an observation that counts field violations while they are written.
+
+    The counts are those of the tasks that succeed, so ``bookings`` should be written directly.
+    """
+    found = Observation("bookings contract")
+    rules = field_rules(bookings.schema)
+    return bookings.observe(found, *[F.count_if(p).alias(n) for n, p in rules.items()]), found
+
+
+def violations(bookings: DataFrame, flights: DataFrame, passengers: DataFrame,
+               fields_found: Mapping[str, int] | None = None) -> DataFrame:
     """(rule, violations) for every rule of the contract.
 
-    All field rules share one pass. Reference rules work on bookings already
+    All field rules share one pass, or none where a landing has measured them
+    (``fields_found``, see :func:`measured`). Reference rules work on bookings already
     counted per (flight, travel date) and per passenger, so hot flights or
     passengers travel as single rows.
     """
-    rules = field_rules(bookings.schema)
-    fields = bookings.agg(*[F.count_if(p).alias(name) for name, p in rules.items()])
+    if fields_found is None:
+        rules = field_rules(bookings.schema)
+        fields = bookings.agg(*[F.count_if(p).alias(name) for name, p in rules.items()])
+    else:
+        fields = bookings.sparkSession.range(1).select(
+            *[F.lit(n).cast("bigint").alias(name) for name, n in fields_found.items()])
 
     flown = (
         bookings.filter(F.col("flight_id").isNotNull())
@@ -104,6 +120,159 @@ def unexpected_values(df: DataFrame, column: str, allowed: Sequence[str]) -> Dat
     )
 
 
+# Drift of delivered text ------------------------------------------------------------------
+
+# The types that a text column may turn out to have, narrow ones first, and how a
+# value of the type is written. A column has the first type that all its values have.
+_WRITTEN_AS = {
+    "int": r"^[+-]?\d+$", "bigint": r"^[+-]?\d+$", "decimal(38,10)": r"^[+-]?\d+(\.\d+)?$",
+    "double": r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$", "date": r"^\d{4}-\d{2}-\d{2}$",
+    "timestamp_ntz": r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$", "boolean": r"(?i)^(true|false)$",
+}
+# A column is retyped, and not just dirty, when at least this share of its values does not parse.
+RETYPED_PCT = 50
+# A renamed column shares at least this part of the smaller column's distinct values.
+RENAMED_SHARE = 0.5
+
+
+def _is_written_as(value: Column, kind: str) -> Column:
+    return F.coalesce(value.rlike(_WRITTEN_AS[kind]) & value.try_cast(kind).isNotNull(), F.lit(False))
+
+
+def _written_kind(declared: T.DataType) -> str | None:
+    """The type in the lattice whose text form values of the declared type have."""
+    if isinstance(declared, T.DecimalType):
+        return "decimal(38,10)"
+    name = declared.simpleString()
+    return name if name in _WRITTEN_AS else None
+
+
+def column_types(raw: DataFrame, declared: T.StructType | None = None) -> DataFrame:
+    """(column_name, n_values, narrowest, parsed) of every text column, in one pass.
+
+    ``narrowest`` is the first type of the lattice that all values have, else string; NULL for a
+    column without values. ``parsed`` counts the values that have the declared type.
+    """
+    wanted = {f.name: f.dataType for f in declared} if declared else {}
+    metrics = []
+    for i, name in enumerate(raw.columns):
+        value = F.col(f"`{name}`").cast("string")
+        metrics.append(F.count(value).alias(f"n{i}"))
+        metrics += [F.count_if(_is_written_as(value, kind)).alias(f"t{i}_{k}")
+                    for k, kind in enumerate(_WRITTEN_AS)]
+        kind = _written_kind(wanted[name]) if name in wanted else None
+        good = _is_written_as(value, kind) & value.try_cast(wanted[name]).isNotNull() if kind else value.isNotNull()
+        metrics.append(F.count_if(good).alias(f"p{i}"))
+
+    def narrowest(i: int) -> Column:
+        found = F.coalesce(*[F.when(F.col(f"t{i}_{k}") == F.col(f"n{i}"), kind)
+                             for k, kind in enumerate(_WRITTEN_AS)], F.lit("string"))
+        return F.when(F.col(f"n{i}") > 0, found)
+
+    return raw.agg(*metrics).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("column_name"), F.col(f"n{i}").alias("n_values"),
+                 narrowest(i).alias("narrowest"), F.col(f"p{i}").alias("parsed"))
+        for i, name in enumerate(raw.columns)])))
+
+
+def retyped_columns(raw: DataFrame, declared: T.StructType) -> DataFrame:
+    """(column_name, declared, narrowest, n_values, parsed) of delivered columns of another type.
+
+    A column is retyped when at least ``RETYPED_PCT`` percent of its values are not written as the
+    declared type; fewer bad values are a dirty column (see :func:`type_violations`). Text is
+    never retyped, and neither is a column without values.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in declared if f.name in raw.columns}
+    present = raw.select([F.col(f"`{c}`") for c in kinds])
+    named = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    bad = F.col("n_values") - F.col("parsed")
+    return column_types(present, declared).filter(
+        (bad > 0) & (bad * 100 >= F.col("n_values") * RETYPED_PCT)
+    ).select("column_name", named[F.col("column_name")].alias("declared"), "narrowest", "n_values", "parsed")
+
+
+def column_sketches(df: DataFrame, columns: Sequence[str]) -> list[dict]:
+    """A sketch of each column's values, in one pass: HyperLogLog, counts, lengths, smallest and largest."""
+    def texts(name: str) -> Column:
+        return F.col(f"`{name}`").cast("string")
+
+    metrics = [m for i, c in enumerate(columns) for m in (
+        F.hll_sketch_agg(F.coalesce(texts(c), F.lit("")), F.lit(14)).alias(f"s{i}"),
+        F.count(texts(c)).alias(f"n{i}"), F.min(F.length(texts(c))).alias(f"a{i}"),
+        F.max(F.length(texts(c))).alias(f"b{i}"), F.min(texts(c)).alias(f"x{i}"), F.max(texts(c)).alias(f"y{i}"))]
+    if not columns:
+        return []
+    row = df.agg(*metrics).first()  # a few kB per column
+    names = {"sketch": "s", "values": "n", "shortest": "a", "longest": "b", "smallest": "x", "largest": "y"}
+    return [{"column": c, **{n: row[f"{k}{i}"] for n, k in names.items()}} for i, c in enumerate(columns)]
+
+
+def _alike(a: Mapping, b: Mapping) -> bool:
+    """Lengths and values in overlapping ranges: what a column of new values keeps."""
+    if not a["values"] or not b["values"]:
+        return False
+    return (a["shortest"] <= b["longest"] and b["shortest"] <= a["longest"]
+            and a["smallest"] <= b["largest"] and b["smallest"] <= a["largest"])
+
+
+def renamed_columns(known: DataFrame, delivered: DataFrame) -> DataFrame:
+    """(column_name, renamed_to, shared) of columns that came under another name.
+
+    ``known`` is an earlier delivery, or the published table, under the declared names. A column that
+    is missing now and one that was added are paired when their sketches share ``RENAMED_SHARE`` of
+    the smaller's distinct values and their lengths and ranges overlap; the pair that shares most
+    comes first, and a column is in one pair only. The pairs are as many as missing times added
+    columns, whatever the rows.
+    """
+    spark = known.sparkSession
+    missing = [c for c in known.columns if c not in delivered.columns]
+    added = [c for c in delivered.columns if c not in known.columns]
+    pairs = [(a["column"], b["column"], bytes(a["sketch"]), bytes(b["sketch"]))
+             for a in (column_sketches(known, missing) if added else [])
+             for b in column_sketches(delivered, added) if _alike(a, b)] if missing and added else []
+    if not pairs:
+        return spark.createDataFrame([], "column_name string, renamed_to string, shared double")
+    sketched = spark.createDataFrame(pairs, "column_name string, renamed_to string, a binary, b binary")
+    one, two = (F.hll_sketch_estimate(c) for c in ("a", "b"))
+    both = one + two - F.hll_sketch_estimate(F.hll_union("a", "b"))
+    shared = F.greatest(F.lit(0.0), both / F.least(one, two))
+    rows = sketched.select("column_name", "renamed_to", shared.alias("shared")).filter(
+        F.col("shared") >= RENAMED_SHARE).collect()
+    chosen, used = [], set()
+    for old, new, share in sorted(rows, key=lambda r: (-r[2], r[0], r[1])):
+        if old not in used and new not in used:
+            chosen.append((old, new, share))
+            used |= {old, new}
+    return spark.createDataFrame(chosen, "column_name string, renamed_to string, shared double")
+
+
+def delivery_drift(raw: DataFrame, declared: T.StructType, known: DataFrame | None = None) -> DataFrame:
+    """(finding, column_name, n, breaking) of a delivered text file against the declared feed.
+
+    ``renamed`` stands for a pair of a missing and an added column (``old -> new``) and needs an
+    earlier delivery to compare with; ``retyped`` and ``not parsed`` count the values that do not parse.
+    """
+    renames = {}
+    if known is not None:
+        renames = {r["column_name"]: r["renamed_to"] for r in renamed_columns(known, raw).collect()}
+    named = raw.withColumnsRenamed({new: old for old, new in renames.items()})
+    header = T.StructType([
+        next((f for f in declared if f.name == c), T.StructField(c, T.StringType())) for c in named.columns])
+    found = [(f"{old} -> {new}", "renamed", True) for old, new in renames.items()]
+    found += [d for d in schema_drift(declared, header) if d[1] in ("missing", "added")]
+    rows = [(change, column, 1, breaking) for column, change, breaking in found]
+    kinds = "finding string, column_name string, n long, breaking boolean"
+    present = T.StructType([f for f in declared if f.name in named.columns])
+    retyped = retyped_columns(named, present).select(
+        F.lit("retyped").alias("finding"), "column_name", (F.col("n_values") - F.col("parsed")).alias("n"),
+        F.lit(True).alias("breaking"))
+    dirty = type_violations(named, present).filter("bad_rows > 0").select(
+        F.lit("not parsed").alias("finding"), "column_name", F.col("bad_rows").alias("n"),
+        F.lit(True).alias("breaking"))
+    dirty = dirty.join(retyped.select("column_name"), "column_name", "left_anti").select(*retyped.columns)
+    return raw.sparkSession.createDataFrame(rows, kinds).unionByName(retyped).unionByName(dirty)
+
+
 def type_violations(raw: DataFrame, declared: T.StructType) -> DataFrame:
     """(column_name, bad_rows) of text values that do not parse as declared."""
     counts = raw.agg(*[
@@ -130,13 +299,28 @@ def schema_drift(declared: T.StructType, incoming: T.StructType) -> list[tuple[s
             drift.append((f.name, "retyped", True))
         elif found[f.name][0] != i:
             drift.append((f.name, "moved", True))
+    last = max((i for name, (i, _) in found.items() if name in declared.names), default=-1)
     for name, (i, f) in found.items():
         if name not in declared.names:
-            trailing = i >= len(declared)
+            trailing = i > last
             drift.append((name, "added", not (trailing and f.nullable)))
     return drift
 
 
+def file_arrivals(spark: SparkSession, landing: str) -> DataFrame:
+    """(feed, file, arrived) of the files under ``<landing>/<feed>/``; ``arrived`` is UTC.
+
+    The times are those of the file system; no file is opened.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("at"))
+    folder = landing.rstrip("/").rpartition("/")[2]
+    feed = F.element_at(F.split(F.substring_index("file", f"/{folder}/", -1), "/"), 1)
+    utc = F.convert_timezone(None, F.lit("UTC"), F.col("at").cast("timestamp_ntz"))
+    return files.select(feed.alias("feed"), "file", utc.alias("arrived"))
+
+
 def delivery_status(log: DataFrame, feed: str, arrived: str) -> DataFrame:
     """Per feed and UTC day: deliveries, first arrival and whether it was on time.
 

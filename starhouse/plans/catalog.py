@@ -21,9 +21,9 @@ from starhouse.operators import checks, contract, dimensions, fact, geography, h
 from starhouse.plans import marts, warehouse
 from starhouse.plans.warehouse import Gates, Warehouse
 from starhouse.schemas import BOOKING_STATUSES, BOOKINGS, FARE_CLASSES, OPEN_ENDED
-from starhouse.session import scratch_path
+from starhouse.session import scratch_path, stored
 from starhouse.sources import tpch_feeds as bound
-from starhouse.sources.feeds import delivered_schema, read_csv_feed, read_raw_csv
+from starhouse.sources.feeds import read_csv_feed, read_raw_csv
 from starhouse.sources.store import Store
 from starhouse.streaming import change_feed
 
@@ -61,7 +61,7 @@ def loaded(spark: SparkSession, folder: str) -> Warehouse:
 
     The feeds are landed and all load gates are on. Only the contract gate is
     off: the bound dates break the booking rules by design (see the contract
-    queries and ``load_gates``).
+    queries and ``load_gates``); ``gated`` is a load with that gate on, too.
     """
 
     def build() -> Warehouse:
@@ -72,6 +72,16 @@ def loaded(spark: SparkSession, folder: str) -> Warehouse:
     return _once("loaded", spark, folder, build)
 
 
+def gated(spark: SparkSession, folder: str) -> Warehouse:
+    """A full load under every gate, the contract's included, of feeds that keep the contract."""
+
+    def build() -> Warehouse:
+        feeds = bound.sound_feeds(spark, folder, landed_bookings(spark, folder))
+        return warehouse.load(spark, feeds, scratch_path(spark, "gated"), CALENDAR)
+
+    return _once("gated", spark, folder, build)
+
+
 def changed(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse after the change feed of ``bound.LOAD_DATE``."""
 
@@ -209,6 +219,11 @@ def fact_ticket_sales(spark, folder):
     return loaded(spark, folder)["fact_ticket_sales"]
 
 
+def fact_gated_load(spark, folder):
+    """The fact of a load that passed every gate."""
+    return gated(spark, folder)["fact_ticket_sales"]
+
+
 def fact_key_range(spark, folder):
     key = F.col("ticket_sales_key")
     return loaded(spark, folder)["fact_ticket_sales"].agg(
@@ -290,6 +305,8 @@ def load_gates(spark, folder):
     early = dims["dim_date"].filter(F.col("full_date") <= F.lit(SHORT_CALENDAR_END).cast("date"))
     broken = contract.violations(bookings, bound.flights(spark, folder),
                                  bound.passengers(spark, folder)).filter("violations > 0")
+    sound = bound.sound_feeds(spark, folder, bookings)
+    kept = contract.violations(sound.bookings, sound.flights, sound.passengers).filter("violations > 0")
     staged = bound.passenger_updates(spark, folder)
     nameless = staged.withColumn("passenger_name", F.lit(None).cast("string"))
     steps = [
@@ -298,6 +315,7 @@ def load_gates(spark, folder):
         ("resolution", "sound", partial(checks.require_resolved, sales, dims)),
         ("resolution", "planted",
          partial(checks.require_resolved, sales, {**dims, "dim_date": early})),
+        ("contract", "sound", partial(checks.require_empty, kept, "bookings")),
         ("contract", "planted", partial(checks.require_empty, broken, "bookings")),
         ("feed_rules", "sound", partial(_require_feed_rules, staged)),
         ("feed_rules", "planted", partial(_require_feed_rules, nameless)),
@@ -552,6 +570,14 @@ def contract_violations(spark, folder):
                                bound.passengers(spark, folder))
 
 
+def contract_measured_landing(spark, folder):
+    """The contract's violations, those of single rows counted while the bookings are written."""
+    bookings = landed_bookings(spark, folder)
+    watched, found = contract.measured(bookings)
+    landed = stored(watched, "measured-bookings")
+    return contract.violations(landed, bound.flights(spark, folder), bound.passengers(spark, folder), found.get)
+
+
 def amounts_finer_than_cents(spark, folder):
     """Prices as delivered (doubles), and the tax before it is rounded to cents."""
     price = F.col("l_extendedprice").cast("decimal(12,2)")
@@ -579,34 +605,38 @@ def planted_values(spark, folder):
 
 
 def csv_feed_report(spark, folder):
-    """(finding, column_name, n) of a bookings feed delivered as CSV with planted defects.
+    """(finding, column_name, n, breaking) of a bookings feed delivered as CSV with planted defects.
 
-    The file lacks the tax, has a column more, and holds amounts finer than a cent and miles
-    that are no numbers.
+    The file lacks the tax, has a column more, calls the status by another name, writes flights as
+    text, and holds amounts finer than a cent and miles that are no numbers.
     """
     bid = F.col("booking_id")
     fare, miles = F.col("fare_amount").cast("string"), F.col("miles_earned").cast("string")
-    delivered = landed_bookings(spark, folder).drop("tax_amount").withColumns({
+    bookings = landed_bookings(spark, folder)
+    delivered = bookings.drop("tax_amount").withColumns({
         "fare_amount": F.when(bid % 50 == 0, F.concat(fare, F.lit("000000000001"))).otherwise(fare),
         "miles_earned": F.when(bid % 40 == 0, "many").otherwise(miles),
+        "flight_id": F.concat(F.lit("x"), "flight_id"),
         "source_system": F.lit("web"),
-    })
+    }).withColumnRenamed("booking_status", "state")
     path = scratch_path(spark, "csv-feed")
     delivered.write.option("header", True).csv(path)
     raw = read_raw_csv(spark, path)
-    drift = contract.schema_drift(BOOKINGS.schema, delivered_schema(spark, path, BOOKINGS))
-    changes = [(change, column, int(breaking)) for column, change, breaking in drift
-               if change != "moved"]
-    present = T.StructType([f for f in BOOKINGS.schema if f.name in raw.columns])
-    bad = contract.type_violations(raw, present).filter("bad_rows > 0")
     finer = raw.agg(F.count_if(contract.more_than_two_decimals(F.col("fare_amount"))).alias("n"))
-    return (
-        spark.createDataFrame(changes, "finding string, column_name string, n long")
-        .unionByName(bad.select(F.lit("not parsed").alias("finding"), "column_name",
-                                F.col("bad_rows").alias("n")))
-        .unionByName(finer.select(F.lit("finer than a cent").alias("finding"),
-                                  F.lit("fare_amount").alias("column_name"), "n"))
-    )
+    return contract.delivery_drift(raw, BOOKINGS.schema, bookings).unionByName(
+        finer.select(F.lit("finer than a cent").alias("finding"),
+                     F.lit("fare_amount").alias("column_name"), "n", F.lit(True).alias("breaking")))
+
+
+def column_types(spark, folder):
+    """Narrowest types of the bookings feed and of the events, both as delivered text."""
+    parts = []
+    for name, df in (("bookings", landed_bookings(spark, folder)), ("events", _arrivals(spark, folder))):
+        path = scratch_path(spark, "csv-types")
+        df.write.option("header", True).csv(path)
+        parts.append(contract.column_types(read_raw_csv(spark, path)).select(
+            F.lit(name).alias("feed"), "column_name", "n_values", "narrowest"))
+    return parts[0].unionByName(parts[1])
 
 
 def csv_feed_read(spark, folder):
@@ -645,7 +675,7 @@ QUERIES: dict[str, Query] = {
         scd2_feed_rules, scd2_planted_invariants, months_read, month_totals_by_sql,
         planted_values, csv_feed_report, csv_feed_read,
         fact_ticket_sales, fact_key_range, fact_loaded_as_of, asof_passenger_lookup,
-        fact_month_reloaded, revenue_kept_summary, summary_rows, reference_resolution, scd2_second_feed,
+        fact_gated_load, fact_month_reloaded, revenue_kept_summary, summary_rows, reference_resolution, scd2_second_feed,
         load_row_counts, fact_resolution, unloaded_bookings, measure_reconciliation,
         key_duplicates, table_rule_violations, orphan_flights, orphan_passengers, fd_violations,
         booking_flight_fan_out, repeat_passenger_flight, bookings_before_signup,
@@ -654,7 +684,7 @@ QUERIES: dict[str, Query] = {
         scd2_streamed,
         partition_row_counts, partition_row_counts_with_empty, partition_key_filter,
         nonpartition_filter, quarter_by_calendar,
-        contract_violations, amounts_finer_than_cents, unexpected_values, late_deliveries,
+        contract_violations, contract_measured_landing, column_types, amounts_finer_than_cents, unexpected_values, late_deliveries,
         delivery_summary, missed_delivery_days,
     )
 }

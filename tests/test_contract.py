@@ -1,4 +1,5 @@
-from datetime import date, datetime
+import os
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
@@ -10,8 +11,9 @@ from pyspark.sql import types as T
 import airline
 from airline import rows
 from starhouse.operators import checks, contract
-from starhouse.schemas import BOOKING_STATUSES, BOOKINGS, FARE_CLASSES, TABLES, LoadError
+from starhouse.schemas import BOOKING_STATUSES, BOOKINGS, FARE_CLASSES, FEEDS, TABLES, LoadError
 from starhouse.sources import feeds as sources
+from starhouse.sources.feeds import read_raw_csv
 
 COLUMNS = BOOKINGS.schema.names
 
@@ -190,5 +192,101 @@ def test_layers():
     for t in TABLES.values():
         layers.setdefault(t.layer, []).append(t.name)
         assert t.placed_because
-    assert {k: len(v) for k, v in layers.items()} == {"bronze": 6, "silver": 7, "gold": 2}
+    assert {k: len(v) for k, v in layers.items()} == {"bronze": 6, "silver": 7, "gold": 3}
     assert len(BOOKING_STATUSES) == 3
+
+
+# Drift of delivered files ---------------------------------------------------------------------
+
+
+def _csv(spark, df, tmp_path, name="feed"):
+    path = str(tmp_path / name)
+    df.write.option("header", True).csv(path)
+    return read_raw_csv(spark, path)
+
+
+def test_narrowest_types(spark, tmp_path):
+    text = [("1", "3000000000", "1.50", "1e3", "2025-01-31", "2025-01-31 10:00:00", "true", "x", None, "2025-02-30"),
+            ("-7", "5", "2", ".5", "2025-02-01", "2025-01-31T11:00:00.5", "FALSE", "1", None, "2025-01-01"),
+            (None, "6", "3", "1", "1999-12-31", "2025-01-31 12:00", "false", "2", None, "2025-01-01")]
+    raw = spark.createDataFrame(text, ", ".join(f"c{i} string" for i in range(10)))
+    assert [r[1] for r in rows(contract.column_types(raw), "column_name", "narrowest")] == [
+        "int", "bigint", "decimal(38,10)", "double", "date", "timestamp_ntz", "boolean", "string", None, "string"]
+    assert rows(contract.column_types(raw).filter("column_name IN ('c0', 'c8')"), "column_name", "n_values") == [
+        ("c0", 2), ("c8", 0)]
+    assert {r[1] for r in rows(contract.column_types(raw.limit(0)), "column_name", "narrowest")} == {None}
+
+
+def test_retyped_columns_are_found(spark, tmp_path):
+    flights = airline.feeds(spark).flights.withColumns(
+        {"flight_id": F.concat(F.lit("x"), "flight_id"), "flight_date": F.lit("nodate")})
+    raw = _csv(spark, flights, tmp_path)
+    found = contract.retyped_columns(raw, FEEDS["bronze_flights"].schema)
+    assert rows(found) == [("flight_date", "date", "string", 3, 0), ("flight_id", "int", "string", 3, 0)]
+    drift = contract.delivery_drift(raw, FEEDS["bronze_flights"].schema)
+    assert rows(drift) == [("retyped", "flight_date", 3, True), ("retyped", "flight_id", 3, True)]
+
+
+def test_few_bad_values_are_no_other_type(spark):
+    raw = spark.range(10).select(F.when(F.col("id") < 4, "bad").otherwise(F.col("id").cast("string")).alias("miles_earned"))
+    assert rows(contract.delivery_drift(raw, BOOKINGS.schema).filter("finding <> 'missing'")) == [
+        ("not parsed", "miles_earned", 4, True)]
+    half = raw.withColumn("miles_earned", F.when(F.col("miles_earned") < "7", "2.5").otherwise(F.col("miles_earned")))
+    assert [r[0] for r in rows(contract.delivery_drift(half, BOOKINGS.schema).filter("finding <> 'missing'"))] == ["retyped"]
+
+
+def test_a_renamed_column_is_one_finding(spark, tmp_path):
+    known = spark.range(5000).select(
+        F.col("id").alias("booking_id"), (F.col("id") % 90).alias("passenger_id"),
+        F.concat(F.lit("F"), F.col("id") % 300).alias("flight_number"), F.lit("web").alias("channel"))
+    # the next delivery: other bookings, much the same flights; the numbers look like nothing known
+    fresh = known.withColumns({"booking_id": F.col("booking_id") + 5000}).withColumnsRenamed(
+        {"flight_number": "flight_no", "channel": "via"}).withColumn("note", F.concat(F.lit("n"), "booking_id"))
+    raw = _csv(spark, fresh, tmp_path)
+    found = {r["column_name"]: r["renamed_to"] for r in contract.renamed_columns(known, raw).collect()}
+    assert found == {"flight_number": "flight_no", "channel": "via"}
+    assert contract.renamed_columns(known, known).count() == 0
+    assert contract.renamed_columns(known, raw.limit(0)).count() == 0
+    declared = known.schema
+    drift = contract.delivery_drift(raw, declared, known)
+    assert rows(drift, "finding", "column_name", "breaking") == [
+        ("added", "note", False), ("renamed", "channel -> via", True),
+        ("renamed", "flight_number -> flight_no", True)]
+    without = contract.delivery_drift(raw, declared)
+    assert {r[0] for r in rows(without, "finding")} == {"missing", "added"}
+
+
+def test_a_column_is_renamed_once(spark):
+    known = spark.range(100).select(F.col("id").alias("a"), F.col("id").alias("b"))
+    delivered = spark.range(100).select(F.col("id").alias("c"))
+    assert rows(contract.renamed_columns(known, delivered), "column_name", "renamed_to") == [("a", "c")]
+
+
+def test_rules_measured_while_landing(spark, root):
+    broken = airline.bookings(spark, [*airline.BOOKINGS, (104, 1, 10, date(2025, 2, 2), date(2025, 1, 31),
+                                                          "Basic", "-1.00", "1.00", "Confirmed", -5)])
+    watched, found = contract.measured(broken)
+    watched.write.parquet(root)
+    feeds = airline.feeds(spark)
+    landed = spark.read.parquet(root)
+    one = rows(contract.violations(landed, feeds.flights, feeds.passengers, found.get))
+    assert one == rows(contract.violations(landed, feeds.flights, feeds.passengers))
+    assert dict(one)["fare_not_positive"] == 1 and dict(one)["booked_after_travel"] == 1
+    plain, measured = (
+        contract.violations(landed, feeds.flights, feeds.passengers, f)._jdf.queryExecution().toString().count("FileScan parquet")
+        for f in (None, found.get))
+    assert measured < plain
+
+
+def test_arrivals_of_landed_files(spark, tmp_path):
+    for feed, hour in (("bookings", 5), ("flights", 7), ("airports", 9)):
+        folder = tmp_path / "landing" / feed
+        folder.mkdir(parents=True)
+        (folder / "part.csv").write_text("a\n1\n")
+        at = datetime(2026, 1, 10, hour, tzinfo=timezone.utc).timestamp()
+        os.utime(folder / "part.csv", (at, at))
+    log = contract.file_arrivals(spark, str(tmp_path / "landing"))
+    assert rows(log, "feed", "arrived") == [
+        (f, datetime(2026, 1, 10, h)) for f, h in (("airports", 9), ("bookings", 5), ("flights", 7))]
+    assert rows(contract.delivery_status(log, "feed", "arrived"), "feed", "status") == [
+        ("airports", "late"), ("bookings", "on_time"), ("flights", "past_due")]
