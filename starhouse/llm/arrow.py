@@ -10,13 +10,14 @@ import pyarrow as pa
 _SLICE_BYTES = 8 << 20
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], column: str,
+                slice_bytes: int = _SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about 8 MB of text, so that a task's memory is bounded."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = np.diff(_offsets(batch.column(column)))
-        ends = np.cumsum(sizes) // _SLICE_BYTES
+        ends = np.cumsum(sizes) // slice_bytes
         cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
         for start, stop in zip(cuts, cuts[1:], strict=False):
             if stop > start:

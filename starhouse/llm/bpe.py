@@ -97,7 +97,7 @@ class ByteBpe:
     REMEMBERED = 400_000  # pre-tokens in each of two generations
     LONGEST_REMEMBERED = 64
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = REMEMBERED):
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
         keys = list(ranks)
@@ -114,13 +114,18 @@ class ByteBpe:
             if k[:i] in ranks and k[i:] in ranks
         }
         self.token = dict(zip(ranks.values(), ranks.keys(), strict=True))
-        self.ids = _Recent(self._fresh_ids, self.REMEMBERED, self.LONGEST_REMEMBERED)
+        self.ids = _Recent(self._fresh_ids, remembered, self.LONGEST_REMEMBERED)
 
     @classmethod
-    def load(cls, path: str, pattern: str) -> ByteBpe:
+    def load(cls, path: str, pattern: str, remembered: int = REMEMBERED) -> ByteBpe:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
-        return cls(ranks, pattern)
+        return cls(ranks, pattern, remembered)
+
+    def forget(self) -> None:
+        """Empty the memory of pre-tokens."""
+        self.ids.clear()
+        self.ids.old = {}
 
     def encode_pre_token(self, raw: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -166,14 +171,15 @@ class ByteBpe:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_loaded: dict[tuple[str, str], ByteBpe] = {}
+_loaded: dict[tuple[str, str, int], ByteBpe] = {}
 
 
-def encoder(path: str, pattern: str) -> ByteBpe:
+def encoder(path: str, pattern: str, remembered: int = ByteBpe.REMEMBERED) -> ByteBpe:
     """The worker's encoder; its tables are built once per process."""
-    if (path, pattern) not in _loaded:
-        _loaded[path, pattern] = ByteBpe.load(path, pattern)
-    return _loaded[path, pattern]
+    key = (path, pattern, remembered)
+    if key not in _loaded:
+        _loaded[key] = ByteBpe.load(path, pattern, remembered)
+    return _loaded[key]
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
@@ -209,14 +215,16 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text", with_ids: bool = False) -> DataFrame:
+               text_col: str = "text", with_ids: bool = False,
+               remembered: int | None = None) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of what they decode to.
 
-    ``with_ids`` adds the ids themselves.
+    ``with_ids`` adds the ids themselves. ``remembered`` bounds the pre-tokens a task remembers, which
+    are then forgotten at its end: for workers that go on to other stages.
     """
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path, pattern)
+        bpe = encoder(path, pattern, remembered or ByteBpe.REMEMBERED)
         for batch in text_slices(batches, "text"):
             counts, of_ids, of_text, all_ids = [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -231,6 +239,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                  pa.array(of_text, pa.string()),
                  *([pa.array(all_ids, pa.list_(pa.int32()))] if with_ids else [])],
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
+        if remembered:
+            bpe.forget()
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(

@@ -82,7 +82,8 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.judge(_table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                        "n_repeat_words", "base_failed", "kept")
+                        "n_repeat_words", "base_failed", "kept", "words_left",
+                        F.size("removed_lines").cast("bigint").alias("n_removed_lines"))
 
 
 def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
@@ -223,24 +224,27 @@ content AS (
   FROM (SELECT doc_id, source, key, sum(n) AS total FROM lines GROUP BY ALL) GROUP BY ALL),
 body AS (SELECT w.doc_id, w.source, coalesce(c.body, CAST([] AS VARCHAR[])) AS body
          FROM w LEFT JOIN content c USING (doc_id)),
-hosts AS (SELECT source, count(DISTINCT body) AS texts FROM body GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS docs FROM body GROUP BY source),
 common AS (
   SELECT lines.source, key FROM lines JOIN body USING (doc_id)
   JOIN hosts ON hosts.source IS NOT DISTINCT FROM lines.source GROUP BY lines.source, key
-  HAVING count(DISTINCT body) >= 10 AND count(DISTINCT body) * 100 >= max(texts) * 10),
+  HAVING count(DISTINCT doc_id) >= 10 AND count(DISTINCT body) >= 3
+     AND count(DISTINCT doc_id) * 100 >= max(docs) * 10),
 lost AS (
-  SELECT doc_id, sum(n) AS n_lost FROM lines JOIN common
+  SELECT doc_id, sum(n) AS n_lost, count(*) AS n_removed FROM lines JOIN common
   ON common.key = lines.key AND common.source IS NOT DISTINCT FROM lines.source GROUP BY doc_id),
 m AS (
   SELECT w.doc_id, len(words)::BIGINT AS n_words,
          coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_rep, 0)::BIGINT AS n_repeat_words,
-         len(words) - coalesce(n_lost, 0) AS n_left
+         (len(words) - coalesce(n_lost, 0))::BIGINT AS words_left,
+         coalesce(n_removed, 0)::BIGINT AS n_removed_lines
   FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)),
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND 100 * n_left >= 25 * n_words AS kept FROM v""",
+       NOT base_failed AND 100 * words_left >= 25 * n_words AS kept, words_left, n_removed_lines
+FROM v""",
     "op12_conversation_trie": rf"""
 WITH t AS (
   SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,

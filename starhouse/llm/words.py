@@ -24,6 +24,11 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
+def forget_words() -> None:
+    """Empty the memory of hashes, at the end of a task whose worker goes on to other work."""
+    _hashes.clear()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
