@@ -17,6 +17,7 @@ from starhouse.llm.queries import PATTERN, RANKS
 from starhouse.session import stored
 
 BROADCAST_ROWS = 1_000_000
+REMEMBERED = 50_000  # pre-tokens in each of two generations, of a worker that runs other stages too
 
 _ROW = "row_of_pipeline"
 _KEPT = "kept_by_pipeline"
@@ -87,7 +88,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of what they decode to."""
-    return bpe.round_trip(docs, RANKS, PATTERN, with_ids=True)
+    return bpe.round_trip(docs, RANKS, PATTERN, with_ids=True, remembered=REMEMBERED)
 
 
 STAGES = [
