@@ -11,7 +11,9 @@ but are never sent.
 Documents with the same set are one class. Inside a list of up to ``SHORT_LIST`` documents all pairs
 of classes are candidates, so candidates grow in proportion to postings. In longer lists, rounds of
 leaders come first: each list compares its members with one of them, and members found connected
-need no pair of their own. After them, whoever is not in its list's largest component is compared
+need no pair of their own. The first leader is the member with the smallest share of shingles of its
+own: an original has hardly any, its edited copies have those of their edits, so that one leader
+reaches most of a group whose copies are less alike among each other. After them, whoever is not in its list's largest component is compared
 with all of that component and with the other strays, so no link between components is lost.
 
 Words are runs of non-blanks with A-Z in lower case. Two documents link when
@@ -192,26 +194,36 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, similarity_pct: int) -> DataFrame:
-    """The pairs (a, b) that share enough prefix shingles and then reach the similarity.
+def _met(pairs: DataFrame, classes: DataFrame, kept: tuple[str, ...]) -> DataFrame:
+    """The pairs (a, b) with the columns ``kept`` of both classes, as ``_a`` and ``_b``.
 
     ``a`` may stand in very many pairs: its row is then replicated over salts.
     """
     busy = pairs.groupBy("a").agg(
         F.ceil(F.count("*") / PAIRS_PER_SALT).cast("int").alias("salts"))
-    kept = ("doc", "n", "matches", "shingles", "prefix")
-    left = (classes.select(*kept).join(busy, F.col("doc") == F.col("a"))
+    left = (classes.select("doc", *kept).join(busy, F.col("doc") == F.col("a"))
             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-            .select("a", "salt", *(F.col(c).alias(f"{c}_a") for c in kept[1:])))
-    right = classes.select(F.col("doc").alias("b"), *(F.col(c).alias(f"{c}_b") for c in kept[1:]))
+            .select("a", "salt", *(F.col(c).alias(f"{c}_a") for c in kept)))
+    right = classes.select(F.col("doc").alias("b"), *(F.col(c).alias(f"{c}_b") for c in kept))
     salted = pairs.join(busy, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
-    met = salted.join(right, "b").join(left, ["a", "salt"])
-    met = met.filter(F.size(F.array_intersect("prefix_a", "prefix_b"))
-                     >= F.least("matches_a", "matches_b"))
+    return salted.join(right, "b").join(left, ["a", "salt"])
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, similarity_pct: int,
+              prefixes_met: bool = False) -> DataFrame:
+    """The pairs (a, b) that share enough prefix shingles and then reach the similarity.
+
+    Whole sets travel only for pairs whose prefixes have met (``prefixes_met``: all of them).
+    """
+    if not prefixes_met:
+        enough = (F.size(F.array_intersect("prefix_a", "prefix_b"))
+                  >= F.least("matches_a", "matches_b"))
+        pairs = stored(_met(pairs, classes, ("matches", "prefix")).filter(enough).select("a", "b"),
+                       "met")
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    return met.filter(shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * similarity_pct
-                      ).select("a", "b")
+    return _met(pairs, classes, ("n", "shingles")).filter(
+        shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * similarity_pct).select("a", "b")
 
 
 def _fitting(left: str, right: str, similarity_pct: int):
@@ -221,10 +233,10 @@ def _fitting(left: str, right: str, similarity_pct: int):
 
 def _short_pairs(postings: DataFrame, similarity_pct: int) -> DataFrame:
     """Pairs that meet in short lists often enough, counting what long lists could add."""
-    own = postings.filter(F.col("class") <= _SHORT_CLASS).select(
+    short = postings.filter(F.col("class") <= _SHORT_CLASS).select(
         "shingle", "doc", "n", "matches", "long")
-    a = own.select("shingle", *(F.col(c).alias(f"{c}_a") for c in own.columns[1:]))
-    b = own.select("shingle", *(F.col(c).alias(f"{c}_b") for c in own.columns[1:]))
+    a = short.select("shingle", *(F.col(c).alias(f"{c}_a") for c in short.columns[1:]))
+    b = short.select("shingle", *(F.col(c).alias(f"{c}_b") for c in short.columns[1:]))
     met = a.join(b, "shingle").filter(
         (F.col("doc_a") < F.col("doc_b")) & _fitting("n_a", "n_b", similarity_pct))
     once = [c for c in met.columns if c != "shingle" and not c.startswith("n_")]
@@ -240,15 +252,16 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
 def links(classes: DataFrame, similarity_pct: int = SIMILARITY_PCT) -> DataFrame:
     """(doc, label) of the classes that have links: the components of the exact join."""
     long = F.size(F.filter("classes", lambda c: c > _SHORT_CLASS))
-    postings = classes.select("doc", "n", "matches", long.alias("long"), F.explode(
+    own = (F.col("n") - F.size("shingles")) / F.col("n")
+    postings = classes.select("doc", "n", "matches", long.alias("long"), own.alias("own"), F.explode(
         F.arrays_zip("prefix", "classes")).alias("p")).select(
         F.col("p.prefix").alias("shingle"), F.col("p.classes").alias("class"),
-        "doc", "n", "matches", "long")
+        "doc", "n", "matches", "long", "own")
     edges = stored(_verified(_short_pairs(postings, similarity_pct), classes, similarity_pct),
                    "links")
     labels = components(edges)
     entries = stored(postings.filter(F.col("class") > _SHORT_CLASS)
-                     .select("shingle", "doc", "n"), "long-lists")
+                     .select("shingle", "doc", "n", "own"), "long-lists")
     tested: DataFrame | None = None
     for number in range(LEADER_ROUNDS + 1):
         known = _labelled(entries, labels)
@@ -281,8 +294,12 @@ def links(classes: DataFrame, similarity_pct: int = SIMILARITY_PCT) -> DataFrame
 
 
 def _with_leaders(known: DataFrame, number: int) -> DataFrame:
-    """Each member of a list with the list's leader of this round, unless they are connected."""
-    head = F.min(F.struct(F.xxhash64("doc", F.lit(number)).alias("draw"), F.col("doc").alias("a"),
+    """Each member of a list with the list's leader of this round, unless they are connected.
+
+    The first leader has the smallest share of shingles of its own, later ones are drawn.
+    """
+    own = F.col("own") if number == 0 else F.lit(0.0)
+    head = F.min(F.struct(own.alias("own_a"), F.xxhash64("doc", F.lit(number)).alias("draw"), F.col("doc").alias("a"),
                           F.col("n").alias("n_a"), F.col("label").alias("label_a")))
     leaders = known.groupBy("shingle").agg(head.alias("leader"))
     return known.join(leaders, "shingle").select("doc", "n", "label", "leader.*").filter(
