@@ -275,7 +275,9 @@ def links(classes: DataFrame, similarity_pct: int = SIMILARITY_PCT) -> DataFrame
         last = number == LEADER_ROUNDS
         known = known.join(open_, "shingle")
         if last:
-            listed = classes.select("doc", "n", "matches", "prefix").join(
+            far = F.filter(F.arrays_zip("prefix", "classes"), lambda p: p["classes"] > _SHORT_CLASS)
+            listed = classes.select("doc", "n", "matches", "prefix", F.transform(
+                far, lambda p: p["prefix"]).alias("far")).join(
                 entries.select("doc").distinct(), "doc", "left_semi")
             met = _across(known, _labelled(listed, labels), similarity_pct)
         else:
@@ -310,19 +312,24 @@ def _across(known: DataFrame, members: DataFrame, similarity_pct: int) -> DataFr
     """All pairs of unconnected members of a list, whatever number of lists they share.
 
     Most of a list is in its largest component by now. The strays meet the members of that
-    component once each, not once per shared list, and the join itself asks for enough shared
-    prefix shingles; the strays of a list also meet each other.
+    component once each, not once per shared list; the strays of a list meet each other in the
+    smallest long list of both only (there one may be in the largest component: the first case).
+    Both joins ask for enough shared prefix shingles themselves.
     """
     strays = known.filter("label <> major")
     sought = strays.select("doc", "major").distinct().join(members.drop("label"), "doc")
+    kept = ("n", "matches", "prefix", "far")
     held = members.select(F.col("label").alias("label_a"), F.col("doc").alias("a"),
-                          *(F.col(c).alias(f"{c}_a") for c in ("n", "matches", "prefix")))
-    enough = F.size(F.array_intersect("prefix", "prefix_a")) >= F.least("matches", "matches_a")
-    of_major = sought.join(held, (F.col("major") == F.col("label_a"))
-                           & _fitting("n_a", "n", similarity_pct) & enough)
-    other = strays.select("shingle", F.col("doc").alias("a"), F.col("n").alias("n_a"),
-                          F.col("label").alias("label_a"))
-    among = strays.join(other, "shingle").filter("label_a < label")
+                          *(F.col(c).alias(f"{c}_a") for c in kept))
+    fits = _fitting("n_a", "n", similarity_pct) & (
+        F.size(F.array_intersect("prefix", "prefix_a")) >= F.least("matches", "matches_a"))
+    of_major = sought.join(held, (F.col("major") == F.col("label_a")) & fits)
+    one = strays.select("shingle", "doc").join(members, "doc")
+    other = one.select("shingle", F.col("label").alias("label_a"), F.col("doc").alias("a"),
+                       *(F.col(c).alias(f"{c}_a") for c in kept)).withColumnRenamed("shingle", "list")
+    here = F.array_min(F.array_intersect("far", "far_a")) == F.col("shingle")
+    among = one.join(other, (F.col("shingle") == F.col("list"))
+                     & (F.col("label_a") < F.col("label")) & here & fits)
     columns = ("doc", "n", "a", "n_a")
     return of_major.select(*columns).union(among.select(*columns))
 
