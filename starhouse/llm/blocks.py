@@ -15,18 +15,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starhouse.session import stored
+
 SMALLEST_BLOCK = 2 << 20
 LARGEST_BLOCK = 256 << 20
 MOST_SMALL_BLOCKS = 4096
 BUCKET_BYTES = 8 << 20  # of text per bucket while blocks are small
 
+MOST_REPEATS = 64
+_RUN = 10_000
+
 HASH_BYTES = 7  # hashes are cut to 56 bits: they stay positive and pack tighter
 
 
-def text_blocks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
-    """(block, row, id, text) rows, the number of blocks and a number of buckets, from the text's size.
+def text_blocks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool, int]:
+    """(block, row, times, id, text) rows, whether any ``times`` is over 1, and a number of buckets.
+
+    Rows that repeat an id and text more than ``MOST_REPEATS`` times become one row with their number
+    as ``times``, combined before the shuffle, since equal rows are dealt to one block.
 
-    Blocks grow once there are ``MOST_SMALL_BLOCKS`` of them, and buckets with them, so that the
+    Blocks follow from the text's size. They grow once there are ``MOST_SMALL_BLOCKS`` of them, and buckets with them, so that the
     number of packed rows stays in proportion to the text.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
@@ -35,8 +43,25 @@ def text_blocks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     blocks = total // size + 1
     buckets = total // max(BUCKET_BYTES, size) + 1
     rows = rows.select(F.xxhash64("id", "text").alias("row"), "id", "text")
+    often = stored(rows.groupBy("row").agg(F.count("*").alias("n")).filter(
+        F.col("n") > MOST_REPEATS).select("row"), "repeated-rows")
+    once = rows.withColumn("times", F.lit(1).cast("bigint"))
+    collapsed = not often.isEmpty()
+    if collapsed:
+        many = rows.join(often, "row", "left_semi").groupBy("row", "id", "text").agg(
+            F.count("*").alias("times"))
+        once = once.join(often, "row", "left_anti").unionByName(many)
     block = F.pmod("row", F.lit(blocks)).cast("int").alias("block")
-    return rows.select(block, "row", "id", "text"), blocks, buckets
+    return once.select(block, "row", "times", "id", "text"), collapsed, buckets
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    """Each row of a stored frame ``times`` times: long runs are cut into parts that many tasks write."""
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / _RUN))).alias("part")
+    many = rows.filter("times > 1").select("*", part).repartition("part", "row")
+    of_part = F.least(F.lit(_RUN), F.col("times") - F.col("part") * _RUN).cast("bigint")
+    many = many.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), of_part)).alias("one"))
+    return rows.filter("times = 1").union(many.drop("part", "one"))
 
 
 def in_order(table: pa.Table) -> tuple[list[int | None], list[str]]:

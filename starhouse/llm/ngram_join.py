@@ -25,8 +25,8 @@ than a shingle is one shingle, its whole sequence. Repeated rows give one result
 with different texts are compared as different documents. A null id is never the smallest; where no
 id is known the component is null. An empty table gives an empty result. Other columns are not read.
 
-The text is shuffled once, in blocks; frequencies are exact and travel as packed rows (see
-``blocks``). Joins on shingles, classes or components are plain equi-joins, whose hot keys adaptive
+The text is shuffled once, in blocks; frequencies travel as packed rows (see ``blocks``). Whole sets
+are stored once and shuffled only for documents in a pair whose prefixes met. Joins on shingles, classes or components are plain equi-joins, whose hot keys adaptive
 execution splits; the sets of a leader that meets many others are replicated over salts. Labels
 of components stay in tables of the shared folder.
 """
@@ -42,8 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starhouse.llm.arrow import pack, unpack
-from starhouse.llm.blocks import HASH_BYTES, cuts, text_blocks
-from starhouse.llm.words import shingle_set
+from starhouse.llm.blocks import HASH_BYTES, cuts, repeated, text_blocks
+from starhouse.llm.words import window_hashes, word_hashes
 from starhouse.session import stored
 
 WIDTH = 5
@@ -53,6 +53,8 @@ SHORT_LIST = 32
 LEADER_ROUNDS = 2
 PAIRS_PER_SALT = 256
 
+_SENT_BYTES = 4
+_MOST_BUCKETS = 1 << 8 * (HASH_BYTES - _SENT_BYTES)
 _STEPS = 8  # frequency classes per doubling; a shingle of one document is in class 0
 
 
@@ -61,12 +63,16 @@ def _frequency_class(documents: np.ndarray) -> np.ndarray:
     return np.where(documents < 2, 0, np.clip(steps, 1, 255)).astype(np.uint8)
 
 
+_POSTINGS = 2.0 ** (np.arange(256) / _STEPS)
 _SHORT_CLASS = int(_frequency_class(np.array([SHORT_LIST]))[0])
 
 
 def _shingles(text: str | None, width: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.unique(shingle_set(words, width) >> np.uint64(64 - 8 * HASH_BYTES))
+    found = window_hashes(word_hashes(words), max(1, min(width, len(words))))
+    found >>= np.uint64(64 - 8 * HASH_BYTES)
+    found.sort()
+    return found[np.append(True, found[1:] != found[:-1])] if len(found) else found
 
 
 def _sets(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -78,11 +84,18 @@ def _sets(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def _spreader(width: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
+    """Packed rows of the shingles of a block, without the leading bits that the bucket stands for.
+
+    Four bytes of the rest are sent. Shingles that agree in them count as one: each gets a class too
+    high, which costs time but loses nothing, since all documents order it by the same class.
+    """
+    cut = np.uint64(8 * HASH_BYTES - 8 * _SENT_BYTES - (buckets - 1).bit_length())
+
     def spread(table: pa.Table) -> pa.Table:
         shingles, counts = np.unique(_sets(table, width)[1], return_counts=True)
         block = table.column("block")[0].as_py()
         counts = np.minimum(counts, 0xFFFF).astype(np.uint16)
-        rows = [(bucket, block, pack(shingles[i:j], HASH_BYTES), pack(counts[i:j], 2))
+        rows = [(bucket, block, pack(shingles[i:j] >> cut, _SENT_BYTES), pack(counts[i:j], 2))
                 for bucket, i, j in cuts(shingles, buckets)]
         columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -95,7 +108,7 @@ def _spreader(width: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
 
 def _classes(table: pa.Table) -> pa.Table:
     """The frequency class of every shingle that the blocks sent to a bucket."""
-    lists = [unpack(p, HASH_BYTES) for p in table.column("shingles").to_pylist()]
+    lists = [unpack(p, _SENT_BYTES, np.uint32) for p in table.column("shingles").to_pylist()]
     counts = [unpack(p, 2, np.uint16) for p in table.column("counts").to_pylist()]
     distinct, place = np.unique(np.concatenate(lists), return_inverse=True)
     documents = np.bincount(place, np.concatenate(counts), len(distinct))
@@ -119,13 +132,23 @@ def choose_prefix(size: int, classes: np.ndarray, similarity_pct: int) -> tuple[
     required = -(-similarity_pct * size // 100)
     matches = np.arange(1, max(1, min(MOST_MATCHES, required)) + 1)
     taken = np.clip(size - required + matches - (size - len(classes)), 0, len(classes))
-    postings = np.concatenate([[0.0], np.cumsum(2.0 ** (classes / _STEPS))])[taken]
+    postings = np.concatenate([[0.0], np.cumsum(_POSTINGS[classes[:taken[-1]]])])[taken]
     best = int(np.argmin(postings + size * postings / matches))
     return int(matches[best]), int(taken[best])
 
 
-_PROFILE = ("id long, row long, n long, digest binary, matches int, shingles array<long>, "
-            "prefix array<long>, classes array<int>")
+_PROFILE = ("id long, row long, times long, n long, digest binary, matches int, shared int, "
+            "shingles array<long>, prefix array<long>, classes array<int>")
+_PREFIX_BITS = np.uint64((1 << 8 * HASH_BYTES) - 1)
+
+
+def _lists(parts: list[np.ndarray | None], kind: type) -> pa.Array:
+    """A list per part, null where there is none."""
+    offsets = np.cumsum([0, *(0 if p is None else len(p) for p in parts)], dtype=np.int32)
+    values = [p for p in parts if p is not None]
+    return pa.ListArray.from_arrays(
+        pa.array(offsets), pa.array(np.concatenate(values).astype(kind) if values else [], pa.from_numpy_dtype(kind)),
+        mask=pa.array([p is None for p in parts], pa.bool_()))
 
 
 def _profiler(width: int, similarity_pct: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -137,24 +160,25 @@ def _profiler(width: int, similarity_pct: int) -> Callable[[pa.Table, pa.Table],
         classes = np.frombuffer(b"".join(parts[i] for i in order.tolist()), np.uint8)
         rows = []
         for own in sets:
-            digest = xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None
+            digest = xxhash.xxh3_128_digest(own) if len(own) else None
             of = classes[np.searchsorted(distinct, own)]
-            shared = of > 0
-            rank = np.sort((of[shared].astype(np.uint64) << np.uint64(56)) | own[shared])
-            place = (rank >> np.uint64(56)).astype(np.int32)
+            held = own[of > 0]
+            rank = (of[of > 0].astype(np.uint64) << np.uint64(8 * HASH_BYTES)) | held
+            rank.sort()
+            place = (rank >> np.uint64(8 * HASH_BYTES)).astype(np.uint8)
             matches, taken = choose_prefix(len(own), place, similarity_pct)
             if taken:
-                first = (rank[:taken] & np.uint64((1 << 56) - 1)).astype(np.int64)
-                rows.append((len(own), digest, matches, own[shared].astype(np.int64), first,
-                             place[:taken]))
+                rows.append((len(own), digest, matches, len(held), held,
+                             rank[:taken] & _PREFIX_BITS, place[:taken]))
             else:
-                rows.append((len(own), digest, None, None, None, None))
-        long, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-        columns = list(zip(*rows, strict=True))
-        kinds = [pa.int64(), pa.binary(), pa.int32(), long, long, ints]
+                rows.append((len(own), digest, None, None, None, None, None))
+        *plain, shingles, prefix, places = zip(*rows, strict=True)
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
         return pa.Table.from_arrays(
-            [docs.column("id"), docs.column("row"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-            ["id", "row", "n", "digest", "matches", "shingles", "prefix", "classes"])
+            [*(docs.column(c) for c in ("id", "row", "times")),
+             *(pa.array(c, k) for c, k in zip(plain, kinds, strict=True)),
+             _lists(shingles, np.int64), _lists(prefix, np.int64), _lists(places, np.int32)],
+            ["id", "row", "times", "n", "digest", "matches", "shared", "shingles", "prefix", "classes"])
 
     return profile
 
@@ -163,6 +187,7 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, width: int,
              similarity_pct: int) -> DataFrame:
     """One row per document: set size and digest; prefix and shared shingles of possible partners."""
     rows, _, buckets = text_blocks(docs, id_col, text_col)
+    buckets = min(1 << (buckets - 1).bit_length(), _MOST_BUCKETS)
     sent = rows.groupBy("block").applyInArrow(
         _spreader(width, buckets), "bucket int, block int, shingles binary, counts binary")
     frequencies = sent.groupBy("bucket").applyInArrow(
@@ -210,7 +235,7 @@ def _met(pairs: DataFrame, classes: DataFrame, kept: tuple[str, ...]) -> DataFra
     return salted.join(right, "b").join(left, ["a", "salt"])
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, similarity_pct: int,
+def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity_pct: int,
               prefixes_met: bool = False) -> DataFrame:
     """The pairs (a, b) that share enough prefix shingles and then reach the similarity.
 
@@ -221,8 +246,11 @@ def _verified(pairs: DataFrame, classes: DataFrame, similarity_pct: int,
                   >= F.least("matches_a", "matches_b"))
         pairs = stored(_met(pairs, classes, ("matches", "prefix")).filter(enough).select("a", "b"),
                        "met")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    whole = sets.join(ends, "doc", "left_semi").groupBy("doc").agg(
+        F.first("n").alias("n"), F.first("shingles").alias("shingles"))
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    return _met(pairs, classes, ("n", "shingles")).filter(
+    return _met(pairs, whole, ("n", "shingles")).filter(
         shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * similarity_pct).select("a", "b")
 
 
@@ -249,15 +277,18 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
 
 
-def links(classes: DataFrame, similarity_pct: int = SIMILARITY_PCT) -> DataFrame:
-    """(doc, label) of the classes that have links: the components of the exact join."""
+def links(classes: DataFrame, sets: DataFrame, similarity_pct: int = SIMILARITY_PCT) -> DataFrame:
+    """(doc, label) of the classes that have links: the components of the exact join.
+
+    ``classes`` hold prefixes; ``sets`` the shared shingles, in one row or several of each class.
+    """
     long = F.size(F.filter("classes", lambda c: c > _SHORT_CLASS))
-    own = (F.col("n") - F.size("shingles")) / F.col("n")
+    own = (F.col("n") - F.col("shared")) / F.col("n")
     postings = classes.select("doc", "n", "matches", long.alias("long"), own.alias("own"), F.explode(
         F.arrays_zip("prefix", "classes")).alias("p")).select(
         F.col("p.prefix").alias("shingle"), F.col("p.classes").alias("class"),
         "doc", "n", "matches", "long", "own")
-    edges = stored(_verified(_short_pairs(postings, similarity_pct), classes, similarity_pct),
+    edges = stored(_verified(_short_pairs(postings, similarity_pct), classes, sets, similarity_pct),
                    "links")
     labels = components(edges)
     entries = stored(postings.filter(F.col("class") > _SHORT_CLASS)
@@ -287,7 +318,7 @@ def links(classes: DataFrame, similarity_pct: int = SIMILARITY_PCT) -> DataFrame
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        new = stored(_verified(pairs, classes, similarity_pct), "links")
+        new = stored(_verified(pairs, classes, sets, similarity_pct, prefixes_met=last), "links")
         if not new.isEmpty():
             edges = edges.union(new)
             labels = components(edges)
@@ -342,12 +373,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     no id is known, of the smallest ``row`` among them. It is null for empty sets.
     """
     found = stored(profiles(docs, id_col, text_col, width, similarity_pct), "profiles")
-    members = found.select("id", "row", "n", "digest")
-    classes = stored(
-        found.filter("matches IS NOT NULL").groupBy(F.col("digest").alias("doc")).agg(
-            *(F.first(c).alias(c) for c in ("n", "matches", "shingles", "prefix", "classes"))),
-        "classes")
-    labels = links(classes, similarity_pct)
+    members = found.select("id", "row", "times", "n", "digest")
+    able = found.filter("matches IS NOT NULL").withColumnRenamed("digest", "doc")
+    classes = stored(able.groupBy("doc").agg(
+        *(F.first(c).alias(c) for c in ("n", "matches", "shared", "prefix", "classes"))), "classes")
+    labels = links(classes, able.select("doc", "n", "shingles"), similarity_pct)
     smallest = members.filter("digest IS NOT NULL").groupBy(F.col("digest").alias("doc")).agg(
         F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
     grouped = smallest.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
@@ -355,7 +385,10 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of_class = grouped.drop("first").join(heads, "label").select(
         F.col("doc").alias("digest"), F.col("head.id").alias("component_id"),
         F.col("head.row").alias("head"))
-    return members.join(of_class, "digest", "left").select(
+    rows = members.join(of_class, "digest", "left")
+    if not members.filter("times > 1").isEmpty():
+        rows = repeated(rows)
+    return rows.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", F.when(F.col("digest").isNull(), F.col("id"))).alias(
             "component_id"), "row", "head")

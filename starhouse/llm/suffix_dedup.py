@@ -36,8 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from starhouse.llm.arrow import pack, unpack
-from starhouse.llm.blocks import HASH_BYTES, cuts, in_order, text_blocks
+from starhouse.llm.blocks import HASH_BYTES, cuts, in_order, repeated, text_blocks
 from starhouse.llm.words import mixed
+from starhouse.session import stored
 
 LENGTH = 50
 GRAM = 20
@@ -404,7 +405,7 @@ def _answerer(length: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
 
 # Removal ----------------------------------------------------------------------------------
 
-_RESULT = "id long, row long, n_bytes long, n_removed long, n_spans long, kept binary"
+_RESULT = "id long, row long, times long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def _remover(length: int, buckets: int, digest: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -467,11 +468,11 @@ def _remover(length: int, buckets: int, digest: bool) -> Callable[[pa.Table, pa.
                 left = np.frombuffer(raw, np.uint8)[~covered].tobytes()
             rows.append((len(raw), removed, spans,
                          hashlib.sha256(left).digest() if digest else left))
-        in_table = docs.column("row").to_pylist()
+        in_table = list(zip(docs.column("row").to_pylist(), docs.column("times").to_pylist(), strict=True))
         back = sorted(range(len(ids)), key=_sort_key(docs))
-        return _rows([(ids[k], in_table[i], *rows[k]) for k, i in enumerate(back)],
+        return _rows([(ids[k], *in_table[i], *rows[k]) for k, i in enumerate(back)],
                      [c.split()[0] for c in _RESULT.split(", ")],
-                     [pa.int64()] * 5 + [pa.binary()])
+                     [pa.int64()] * 6 + [pa.binary()])
 
     return remove
 
@@ -489,7 +490,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if length < GRAM + 1 or length - GRAM >= 1 << 15:
         raise ValueError(f"the length must be more than {GRAM} bytes and below 32 kB")
-    rows, _, buckets = text_blocks(docs, id_col, text_col)
+    rows, collapsed, buckets = text_blocks(docs, id_col, text_col)
     by_block = rows.groupBy("block")
     sent = by_block.applyInArrow(
         _sender(length, buckets), "bucket int, block int, anchors binary, many binary")
@@ -500,4 +501,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     answers = contexts.groupBy("bucket").applyInArrow(_answerer(length, buckets), _ANSWER)
     found = by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _remover(length, buckets, digest), _RESULT)
-    return found.withColumnRenamed("id", id_col)
+    if collapsed:
+        found = repeated(stored(found, "rows-without-repeats"))
+    return found.drop("times").withColumnRenamed("id", id_col)

@@ -1,6 +1,7 @@
 """N-gram join, suffix deduplication and line deduplication against brute force."""
 
 import random
+from collections import Counter
 
 import brute
 import numpy as np
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starhouse.llm import line_dedup, ngram_join, suffix_dedup
+from starhouse.llm import blocks, line_dedup, ngram_join, suffix_dedup
 
 VOCABULARY = [f"w{i}" for i in range(300)]
 
@@ -73,6 +74,20 @@ def test_ngram_join_of_nulls_repeats_and_nothing(spark):
     assert ngram_join.similar_groups(df.limit(0)).count() == 0
 
 
+def test_rows_that_repeat_often_travel_once(spark, monkeypatch):
+    """They are one row of a block, and as many rows of the result as of the input."""
+    monkeypatch.setattr("starhouse.llm.blocks.MOST_REPEATS", 2)
+    monkeypatch.setattr("starhouse.llm.blocks._RUN", 4)
+    text = "a b c d e f g h" + " long passage" * 5
+    df = brute.documents(spark, [text] * 13 + [None] * 3 + [text, "x y", text], ids=[7] * 13 + [None] * 3 + [9, 1, None])
+    rows, collapsed, _ = blocks.text_blocks(df, "doc_id", "text")
+    assert collapsed and sorted(r["times"] for r in rows.collect()) == [1, 1, 1, 3, 13]
+    found = Counter((r["doc_id"], r["component_id"]) for r in ngram_join.similar_groups(df).collect())
+    assert found == {(7, 7): 13, (None, None): 3, (9, 7): 1, (1, 1): 1, (None, 7): 1}
+    found = Counter((r["doc_id"], r["n_removed"]) for r in suffix_dedup.remove_repeats(df).collect())
+    assert found == {(7, 0): 13, (None, 0): 3, (9, len(text)): 1, (1, 0): 1, (None, len(text)): 1}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 400), st.lists(st.integers(1, 255), max_size=60).map(sorted))
 def test_prefixes_hold_enough_matches(size, classes):
