@@ -5,7 +5,8 @@ shingles first. If two sets reach the similarity, then for every l they share at
 shingles within the first ``n - ceil(t n) + l`` of each. A document picks the l of least estimated
 cost, (postings to read) + (size of the set) * (candidates, at most postings / l): a longer prefix
 for documents of frequent shingles, which in turn requires that many shared prefix shingles (the
-smaller l of a pair) before the pair is verified. Shingles of one document only take up prefix places
+smaller l of a pair), and as many as make the similarity possible if all of the longer remainder
+were shared, before the pair is verified. Shingles of one document only take up prefix places
 but are never sent.
 
 Documents with the same set are one class. Inside a list of up to ``SHORT_LIST`` documents all pairs
@@ -235,6 +236,22 @@ def _met(pairs: DataFrame, classes: DataFrame, kept: tuple[str, ...]) -> DataFra
     return salted.join(right, "b").join(left, ["a", "salt"])
 
 
+_ABOUT = ("n", "matches", "shared", "prefix")  # what _promising reads
+
+
+def _promising(one: str, other: str, similarity_pct: int):
+    """Whether the prefixes of a pair (columns with suffixes) share enough for it to be verified.
+
+    All that two sets share and that is not in both prefixes comes after the prefix that ends first,
+    so it is at most the longer of the two remainders.
+    """
+    met = F.size(F.array_intersect(f"prefix{one}", f"prefix{other}"))
+    rest = F.greatest(*(F.col(f"shared{c}") - F.size(f"prefix{c}") for c in (one, other)))
+    united = F.col(f"n{one}") + F.col(f"n{other}") - met - rest
+    return ((met >= F.least(f"matches{one}", f"matches{other}"))
+            & ((met + rest) * 100 >= united * similarity_pct))
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity_pct: int,
               prefixes_met: bool = False) -> DataFrame:
     """The pairs (a, b) that share enough prefix shingles and then reach the similarity.
@@ -242,11 +259,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity_
     Whole sets travel only for pairs whose prefixes have met (``prefixes_met``: all of them).
     """
     if not prefixes_met:
-        enough = (F.size(F.array_intersect("prefix_a", "prefix_b"))
-                  >= F.least("matches_a", "matches_b"))
-        pairs = stored(_met(pairs, classes, ("matches", "prefix")).filter(enough).select("a", "b"),
-                       "met")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+        pairs = stored(_met(pairs, classes, _ABOUT).filter(
+            _promising("_a", "_b", similarity_pct)).select("a", "b"), "met")
+    ends = pairs.select(F.col("a").alias("doc")).distinct().union(
+        pairs.select(F.col("b").alias("doc")).distinct()).distinct()
     whole = sets.join(ends, "doc", "left_semi").groupBy("doc").agg(
         F.first("n").alias("n"), F.first("shingles").alias("shingles"))
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
@@ -307,7 +323,7 @@ def links(classes: DataFrame, sets: DataFrame, similarity_pct: int = SIMILARITY_
         known = known.join(open_, "shingle")
         if last:
             far = F.filter(F.arrays_zip("prefix", "classes"), lambda p: p["classes"] > _SHORT_CLASS)
-            listed = classes.select("doc", "n", "matches", "prefix", F.transform(
+            listed = classes.select("doc", *_ABOUT, F.transform(
                 far, lambda p: p["prefix"]).alias("far")).join(
                 entries.select("doc").distinct(), "doc", "left_semi")
             met = _across(known, _labelled(listed, labels), similarity_pct)
@@ -349,11 +365,10 @@ def _across(known: DataFrame, members: DataFrame, similarity_pct: int) -> DataFr
     """
     strays = known.filter("label <> major")
     sought = strays.select("doc", "major").distinct().join(members.drop("label"), "doc")
-    kept = ("n", "matches", "prefix", "far")
+    kept = (*_ABOUT, "far")
     held = members.select(F.col("label").alias("label_a"), F.col("doc").alias("a"),
                           *(F.col(c).alias(f"{c}_a") for c in kept))
-    fits = _fitting("n_a", "n", similarity_pct) & (
-        F.size(F.array_intersect("prefix", "prefix_a")) >= F.least("matches", "matches_a"))
+    fits = _fitting("n_a", "n", similarity_pct) & _promising("", "_a", similarity_pct)
     of_major = sought.join(held, (F.col("major") == F.col("label_a")) & fits)
     one = strays.select("shingle", "doc").join(members, "doc")
     other = one.select("shingle", F.col("label").alias("label_a"), F.col("doc").alias("a"),
