@@ -11,7 +11,8 @@ lengths of the tokens; an interval join of the tokens' spans with the spans of f
 A line's span ends after its ``\\n``; the separator between fields belongs to the field before it.
 
 Defined cases: a null field is empty; empty parts get no tokens; a row without text has one empty
-section and no tokens; repeated rows give one result each; an empty table gives an empty result.
+section and no tokens if there is one field, while of several fields the separators between them are
+encoded and end a section each; repeated rows give one result each; an empty table gives an empty result.
 Other columns are not read. The work is per row: no shuffle, and both span lists of a row are
 sorted, so the join is one binary search per token.
 """
