@@ -7,9 +7,9 @@ divided by the root of the product of both counts. Landmark texts give the Nystr
 in that space. A batch of texts is scored by two matrix products: presence of the landmarks'
 n-grams times the landmarks' presence, and features times class weights.
 
-The model is fitted on a bounded sample: per language the ``per_language`` training rows of at most
-``longest`` bytes with the smallest hash of (id, text); the first ``landmarks`` of them, short ones
-before long ones, are the landmarks.
+The model is fitted on a bounded sample: per language the ``per_language`` distinct training texts of
+at most ``longest`` bytes with the smallest hash; the first ``landmarks`` of them, short ones before
+long ones, are the landmarks. Copies of a text, under whatever ids, count as one text.
 
 Defined cases: null and empty texts and texts without a letter are ``und`` with score 0; if nothing
 can be learned, so is everything. Equal scores: the first language in sort order. Repeated rows give
@@ -120,27 +120,30 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
     return model
 
 
-def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", per_language: int = PER_LANGUAGE,
+def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang",
+          per_language: int = PER_LANGUAGE,
           landmarks: int = LANDMARKS, longest: int = LONGEST_SAMPLED) -> Model | None:
     """Fit on a bounded sample of the rows that fulfil ``learn`` and have a language."""
     rows = docs.filter(learn).select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     ).filter((F.octet_length("text") <= longest) & F.col("lang").isNotNull())
-    rows = rows.select("*", F.xxhash64("id", "text").alias("place"))
-    # places are spread evenly, so few rows lie below a bound that follows a language's row count
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.select("*", F.xxhash64("text").alias("place"))
+    # places are spread evenly, so few lie below a bound that follows a language's distinct texts
+    counts = {r["lang"]: max(1, r["n"]) for r in rows.groupBy("lang").agg(
+        F.approx_count_distinct("place").alias("n")).collect()}
     below = F.lit(False)
     for lang, n in sorted(counts.items()):
         bound = (1 << 64) * min(1.0, 4 * per_language / n) - (1 << 63)
         below |= (F.col("lang") == lang) & (F.col("place") <= F.lit(bound))
-    number = F.row_number().over(Window.partitionBy("lang").orderBy("place", "id"))
-    first = (rows.filter(below).select("id", "lang", "place").withColumn("n", number)
+    number = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    first = (rows.filter(below).select("lang", "place").distinct().withColumn("n", number)
              .filter(F.col("n") <= per_language))
     wanted = {(r["lang"], r["place"]) for r in first.collect()}
-    places = [p for _, p in wanted]
-    sample = rows.filter(F.col("place").isin(places)).collect() if places else []
-    found = {(r["place"], r["lang"], r["text"]) for r in sample}
+    places = sorted({p for _, p in wanted})
+    # one text per place, combined before it leaves a task
+    sample = rows.filter(F.col("place").isin(places)).groupBy("lang", "place").agg(
+        F.min("text").alias("text")).collect() if places else []
+    found = {(r["place"], r["lang"], r["text"]) for r in sample if (r["lang"], r["place"]) in wanted}
     return fit([(t, y) for _, y, t in sorted(found)], landmarks)
 
 

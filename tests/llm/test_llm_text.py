@@ -138,6 +138,49 @@ def test_language_model_does_not_depend_on_partitions(spark):
     assert np.array_equal(models[0].weights, models[1].weights)
 
 
+def test_repeated_texts_do_not_starve_the_sample(spark):
+    words = {"en": "the cat and a dog went home with us", "de": "der Hund und die Katze gehen nach Haus"}
+    rows = [(lang, " ".join(random.Random(f"{lang}{i}").choices(w.split(), k=9)))
+            for lang, w in words.items() for i in range(300)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    hot = spark.range(5_000).selectExpr("'en' AS lang", "'the cat' AS text")
+    model = language.train(docs.union(hot).repartition(5), F.lit(True), per_language=50)
+    assert len(model.presence[0]) == 2 * language.LANDMARKS
+    alone = language.train(docs.union(hot.limit(1)), F.lit(True), per_language=50)
+    assert np.array_equal(model.weights, alone.weights)
+
+
+def _spectrum(text, n):
+    raw = text.lower().encode()
+    return {raw[i:i + n] for i in range(len(raw) - n + 1)}
+
+
+def _kernel(a, b):
+    parts = [(_spectrum(a, n), _spectrum(b, n)) for n in language.ORDERS]
+    return sum(len(x & y) / max(1, len(x) * len(y)) ** 0.5 for x, y in parts) / len(parts)
+
+
+def test_ridge_regression_equals_a_plain_one():
+    """Scores of one-versus-rest kernel ridge regression over all landmarks, by its normal equations."""
+    r = random.Random(6)
+    words = {"de": "der die und nicht mit auf eine", "en": "the and not with upon one of", "fr": "le la et pas avec sur une"}
+    text = lambda y: " ".join(r.choices(words[y].split(), k=12))
+    train = [(text(y), y) for y in sorted(words) for _ in range(12)]
+    asked = [text(y) for y in sorted(words) for _ in range(5)] + ["the la und", "Ä", "zz"]
+    marks, ridge = 5, 1e-3
+    model = language.fit(train, marks, ridge)
+    points = [t for y in sorted(words) for t, z in [x for x in train if x[1] == y][:marks]]
+    between = lambda xs, ys: np.array([[_kernel(x, y) for y in ys] for x in xs])
+    k_nm, k_mm = between([t for t, _ in train], points), between(points, points)
+    targets = np.array([[float(y == z) for z in sorted(words)] for _, y in train])
+    weights = np.linalg.lstsq(k_nm.T @ k_nm + ridge * len(train) * k_mm, k_nm.T @ targets, rcond=None)[0]
+    want = np.clip(between(asked, points) @ weights, 0, 1)
+    found = model.scores([language.grams(t) for t in asked])
+    assert model.languages == sorted(words)
+    assert np.abs(found - want).max() < 1e-3
+    assert (found.argmax(axis=1) == want.argmax(axis=1))[:-2].all()
+
+
 def test_blended_kernel_is_the_matrix_product():
     texts = ["abcab", "bcd", "zz", "abcd"]
     grams = [language.grams(t) for t in texts]
@@ -256,6 +299,14 @@ def test_decontamination_of_nothing(spark):
     assert sum(r["n_hit"] for r in decontaminate.decontaminate(df, some).collect()) == 1
 
 
+def test_a_benchmark_beyond_the_stated_size_is_refused(spark):
+    df = brute.documents(spark, ["a b"])
+    tests = spark.createDataFrame([(1, "a b c"), (2, "d e")], "item_id long, text string")
+    with pytest.raises(ValueError, match="8 bytes of test items"):
+        decontaminate.decontaminate(df, tests, most_bytes=7)
+    assert decontaminate.decontaminate(df, tests, most_bytes=8).count() == 1
+
+
 def test_a_phrase_in_a_very_long_text(spark):
     phrase = "ten words that stand in one very long text only"
     long = "filler and more " * 200_000 + phrase + " and filler" * 10
