@@ -1,7 +1,7 @@
 """URL filter lists by hash prefixes.
 
-Every URL becomes the expressions of all its host suffixes with all its path prefixes of a length
-that some rule has. Expressions meet the rules in an equi-join on the first bytes of their SHA-256,
+Every URL becomes the expressions of its host suffixes of a number of labels that some rule has with
+its path prefixes of a length that some rule has. Expressions meet the rules in an equi-join on the first bytes of their SHA-256,
 the full digest confirms the match, and among a URL's matches the longest rule wins.
 
 The host lies between the first ``://`` and the next ``/``, ``?``, ``#`` or the end, with A-Z in lower
@@ -13,7 +13,8 @@ has an empty host; two rules of one host and path: block wins; repeated rows giv
 an empty table gives an empty result, no rules give only defaults. Other columns are carried along.
 
 Distinct URLs are matched, so a URL that a third of all rows hold is expanded once. Expansions are as
-many as host labels times distinct rule path lengths; only their digests meet the rules.
+many as distinct label counts times distinct path lengths of the rules, however long a URL is; only
+their digests meet the rules.
 """
 
 from __future__ import annotations
@@ -53,15 +54,16 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
     listed = listed.groupBy("rule_host", "rule_path").agg(F.max("action").alias("action"))
     digest = _digest(F.col("rule_host"), F.col("rule_path"))
     listed = listed.select("*", digest.alias("digest"))
-    # one small list: no more numbers than a rule path has characters
-    lengths = listed.agg(F.collect_set(F.char_length("rule_path"))).first()[0]
+    # two small lists: no more numbers than a rule path has characters and a rule host labels
+    lengths, depths = listed.agg(F.collect_set(F.char_length("rule_path")),
+                                 F.collect_set(F.size(F.split("rule_host", r"\.")))).first()
 
     url = F.col("url")
     urls = pages.select(F.col(url_col).alias("url")).filter("url IS NOT NULL").distinct()
     labels = F.split("host", r"\.")
+    held = F.filter(F.array(*map(F.lit, sorted(depths))).cast("array<int>"), lambda k: k <= F.size(labels))
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
+        held, lambda k: F.concat_ws(".", F.slice(labels, F.size(labels) - k + 1, k)))
     parts = urls.select("url", host_of(url).alias("host"), path_of(url).alias("path")).filter(
         "host <> ''")
     known = F.array(*map(F.lit, sorted(lengths))).cast("array<int>")

@@ -31,7 +31,7 @@ URLS = [None, "", "no scheme", "http://", "http:///net/", "http://net", "http://
         "http://example.net/en/1?q=/de/#x", "http://www.example.net/en", "http://notexample.net/en/",
         "http://x.example.com/de/1", "http://example.com/en/", "a://b.org/fr/x://net/", "http://org/fr/",
         "http://a..net/", "http://.net/", "http://net./", "HTTP://ÉCOLE.ORG/fr/é", "http://x.net?/en/",
-        "http://x.net#/", "http://x.net\n/", "http://" + "a." * 300 + "net/" + "p/" * 300, "http://x.net/"]
+        "http://x.net#/", "http://x.net\n/", "http://" + "a." * 300 + "net/" + "p/" * 300, "http://" + "b." * 200_000 + "Example.com/de/" + "q" * 200_000, "http://x.net/"]
 
 
 def test_url_rules(spark):
