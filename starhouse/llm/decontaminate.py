@@ -16,7 +16,8 @@ no hits or no rows. Other columns are not read.
 
 A shard holds whole documents, so a document's verdict is made where its postings are and nothing
 is shuffled. Test items travel to the tasks in slices of a checked size; every slice searches the
-same stored index.
+same stored index. The driver holds all items meanwhile, so a benchmark of more than ``MOST_BYTES`` is
+refused before anything is read.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from starhouse.session import stored
 WIDTH = 10
 NEAR = 15
 SLICE_BYTES = 16 << 20  # of item text sent to the tasks at once
+MOST_BYTES = 256 << 20  # of item text that a search takes
 
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -244,7 +246,7 @@ def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def search(index: DataFrame, items: DataFrame, item_id_col: str = "item_id",
            item_text_col: str = "text", width: int = WIDTH, near: int | None = NEAR,
-           slice_bytes: int = SLICE_BYTES) -> DataFrame:
+           slice_bytes: int = SLICE_BYTES, most_bytes: int = MOST_BYTES) -> DataFrame:
     """(id, n_words, n_hit, items, n_near_items) per indexed row.
 
     ``n_hit`` counts words inside an exact phrase, ``items`` are the ids of items with one,
@@ -253,6 +255,8 @@ def search(index: DataFrame, items: DataFrame, item_id_col: str = "item_id",
     tests = items.select(F.col(item_id_col).cast("string").alias("item"),
                          F.col(item_text_col).alias("text"))
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"{size} bytes of test items; a search takes {most_bytes}")
     slices = -(-size // slice_bytes) or 1
     marked = index.select(
         "*", *(F.lit(None).cast(k).alias(c) if c == "hits" else F.array().cast(k).alias(c)

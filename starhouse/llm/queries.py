@@ -60,7 +60,7 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"))
+        (F.col("n_hit") > 0).alias("contaminated"), "n_near_items")
 
 
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,11 +182,28 @@ covered AS (
   FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hit) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
-  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id),
+p AS (
+  SELECT doc_id, words, words[i] AS term, i
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM d)),
+f AS (SELECT term, count(*) AS n FROM p GROUP BY term),
+bag AS (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, chr(1)) AS item, list_sort(list_distinct(string_split(piece, ' '))) AS terms
+  FROM bw),
+rare AS (
+  SELECT item, terms, arg_min(term, (coalesce(f.n, 0), term)) AS term
+  FROM (SELECT item, terms, unnest(terms) AS term FROM bag) LEFT JOIN f USING (term) GROUP BY ALL),
+around AS (
+  SELECT DISTINCT doc_id, item, terms, i, words FROM rare JOIN p USING (term)
+  WHERE list_has_all(words[greatest(1, i - 14):i + 14], terms)),
+near AS (
+  SELECT doc_id, count(DISTINCT item) AS n_near
+  FROM (SELECT *, unnest(range(greatest(1, i - 14), i + 1)) AS s FROM around)
+  WHERE list_has_all(words[s:s + 14], terms) GROUP BY doc_id)
 SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near_items
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)""",
     "op7_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, i, lines[i] AS line,
