@@ -133,6 +133,15 @@ def test_quality_stage_takes_common_lines_out(spark, monkeypatch, most):
     assert all(r["n_chars"] == len(r["text"]) for r in left.collect())
 
 
+def test_a_null_elsewhere_makes_another_row(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, good, None), (1, None, good)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr(
+        "doc_id", "text", "'en' AS lang", "source", "60L AS n_chars")
+    left = corpus_pipeline.quality_rules(spark, docs, FOLDER).collect()
+    assert [(r["text"], r["source"]) for r in left] == [(good, None)]
+
+
 @pytest.mark.parametrize("most", [0, corpus_pipeline.BROADCAST_ROWS])
 def test_near_duplicates_keep_one_row_of_a_group(spark, monkeypatch, most):
     monkeypatch.setattr(corpus_pipeline, "BROADCAST_ROWS", most)
