@@ -39,7 +39,9 @@ def _without(docs: DataFrame, row: Column, removed: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, without the lines that are too frequent in their host."""
-    marked = docs.withColumn(_ROW, F.xxhash64("doc_id", "text", "source"))
+    # the marks tell in which column a NULL stands, which a hash skips
+    marked = docs.withColumn(_ROW, F.xxhash64(
+        "doc_id", F.col("text").isNull(), "text", F.col("source").isNull(), "source"))
     verdicts = quality.judge(marked, id_col=_ROW).filter("NOT kept OR size(removed_lines) > 0")
     verdicts = _sent(
         verdicts.groupBy(_ROW).agg(
