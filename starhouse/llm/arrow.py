@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 _SLICE_BYTES = 8 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str,
@@ -30,6 +32,17 @@ def _offsets(column: pa.Array) -> np.ndarray:
     return raw[column.offset:column.offset + len(column) + 1]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, at the end of a task or group.
+
+    A Python worker waits for its next task with all that its allocators have kept, beside the workers
+    of other stages and the JVM.
+    """
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def pack(values: np.ndarray, width: int) -> bytes:
     """The low ``width`` bytes of integers, byte plane by byte plane: sorted values compress well."""
     raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)

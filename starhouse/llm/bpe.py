@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.arrow import text_slices
+from starhouse.llm.arrow import give_back, text_slices
 
 _MASK = (1 << 64) - 1
 
@@ -220,7 +220,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """(id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of what they decode to.
 
     ``with_ids`` adds the ids themselves. ``remembered`` bounds the pre-tokens a task remembers, which
-    are then forgotten at its end: for workers that go on to other stages.
+    are then forgotten at its end with the tables: for workers that go on to other stages.
     """
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,6 +241,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
         if remembered:
             bpe.forget()
+            _loaded.clear()
+            del bpe
+            give_back()
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(

@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.arrow import pack, text_slices, unpack
-from starhouse.llm.words import word_hashes
+from starhouse.llm.arrow import give_back, pack, text_slices, unpack
+from starhouse.llm.words import forget_words, word_hashes
 from starhouse.session import stored
 
 WIDTH = 10
@@ -73,6 +73,8 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([pack(counts.astype(np.uint32), width)], pa.binary()),
              pa.array([pack(order, width)], pa.binary())],
             ["shard", "doc_ids", "starts", "terms", "counts", "positions"])
+    forget_words()
+    give_back()
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,6 +181,8 @@ def _marker(items: list[tuple[str, str | None]], width: int, near: int | None) -
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 yield _marked(row, row.to_pylist()[0], windows, by_size, tests, stacked, near)
+        forget_words()
+        give_back()
 
     return mark
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.arrow import text_slices
+from starhouse.llm.arrow import give_back, text_slices
 from starhouse.llm.words import forget_words, window_hashes, word_hashes
 from starhouse.session import stored
 
@@ -110,6 +110,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(c, f.type) for c, f in zip([*columns, *found], _SCHEMA, strict=True)],
             schema=_SCHEMA)
     forget_words()
+    give_back()
 
 
 def judge(
