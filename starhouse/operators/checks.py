@@ -7,12 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starhouse.schemas import LENGTHS, TABLES, LoadError, Table
+from starhouse.schemas import LENGTHS, TABLES, LoadError, Reference, Table
 
 # The error codes of the two load gates.
 COUNT_MISMATCH = 50001
 UNRESOLVED_ROWS = 50002
+# Rows of a table, on average, whose keys one task compares.
+KEYS_PER_TASK = 1_000_000
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -56,19 +59,14 @@ def resolved_by_reference(
     parent key that repeats as more.
     """
     refs = table.references
-    parents = reduce(DataFrame.unionByName, [
-        dims[r.table].select(F.lit(i).alias("number"),
-                             F.array(F.col(r.key).cast("string")).alias("value"))
-        for i, r in enumerate(refs)
-    ])
-    used = _numbered(fact, [F.array(F.col(r.column).cast("string")) for r in refs])
-    found = used.join(parents, ["number", "value"]).groupBy("number").agg(
-        F.sum("row_count").alias("resolved_rows"))
-    all_rows = used.groupBy("number").agg(F.sum("row_count").alias("fact_rows"))
+    used = _values(fact, refs)
+    listed = _parents(fact, refs, dims).groupBy("number", "value").agg(F.count("*").alias("times"))
     named = [f"{r.column} in {r.table}" for r in refs]
-    return all_rows.join(found, "number", "left").select(
-        F.element_at(F.array(*map(F.lit, named)), F.col("number") + 1).alias("rule"), "fact_rows",
-        F.coalesce("resolved_rows", F.lit(0)).alias("resolved_rows"))
+    resolved = F.sum(F.col("row_count") * F.coalesce("times", F.lit(0)))
+    return used.join(listed, ["number", "value"], "left").groupBy("number").agg(
+        F.sum("row_count").alias("fact_rows"), resolved.alias("resolved_rows"),
+    ).select(F.element_at(F.array(*map(F.lit, named)), F.col("number") + 1).alias("rule"),
+             "fact_rows", "resolved_rows")
 
 
 def not_loaded(bookings: DataFrame, fact: DataFrame) -> DataFrame:
@@ -136,10 +134,22 @@ def column_violations(table: Table, df: DataFrame) -> DataFrame:
 
 
 def key_violations(table: Table, df: DataFrame) -> DataFrame:
-    """(rule, violations) of the table's keys: rows that share a key, all keys in one pass."""
+    """(rule, violations) of the table's keys: rows that share a key, all keys in one pass.
+
+    Keys travel in their own columns and types, and uncounted, as nearly every one occurs once: a
+    task would hold all its keys and combine none. ``KEYS_PER_TASK`` of them meet in a task.
+    """
     keys = [k for k in (table.key, *table.unique) if k]
-    values = [F.array(*(F.col(c).cast("string") for c in key)) for key in keys]
-    twice = _numbered(df, values).filter("row_count > 1")
+    columns = list(dict.fromkeys(c for key in keys for c in key))
+    kinds = {c: df.schema[c].dataType for c in columns}
+    pairs = F.array(*(
+        F.struct(F.lit(i).alias("number"),
+                 *[(F.col(c) if c in key else F.lit(None).cast(kinds[c])).alias(c) for c in columns])
+        for i, key in enumerate(keys)))
+    tasks = -(-df.count() * len(keys) // KEYS_PER_TASK) or 1
+    rows = df.select(F.explode(pairs).alias("p")).select("p.*")
+    twice = (rows.repartition(tasks, "number", *columns).groupBy("number", *columns)
+             .agg(F.count("*").alias("row_count")).filter("row_count > 1"))
     return _by_rule(df, [f"unique {', '.join(key)}" for key in keys], twice)
 
 
@@ -152,25 +162,34 @@ def reference_violations(
     one row; one anti join against the union of the parents finds the lost ones.
     """
     refs = table.references
-    values = [F.array(F.col(r.column).cast("string")) for r in refs]
-    parents = reduce(DataFrame.unionByName, [
-        tables[r.table].select(F.lit(i).alias("number"),
-                               F.array(F.col(r.key).cast("string")).alias("value"))
-        for i, r in enumerate(refs)
-    ])
-    used = _numbered(df, values).filter(F.col("value")[0].isNotNull())
-    lost = used.join(parents, ["number", "value"], "left_anti")
+    used = _values(df, refs).filter(F.col("value").isNotNull())
+    lost = used.join(_parents(df, refs, tables), ["number", "value"], "left_anti")
     return _by_rule(df, [f"{r.column} in {r.table}" for r in refs], lost)
 
 
-def _numbered(df: DataFrame, values: Sequence[Column]) -> DataFrame:
-    """(number, value, row_count): how often each of the numbered expressions has each value."""
-    pairs = F.array(*(F.struct(F.lit(i).alias("number"), v.alias("value"))
-                      for i, v in enumerate(values)))
+def _values(df: DataFrame, refs: Sequence[Reference]) -> DataFrame:
+    """(number, value, row_count): how often each of the numbered references has each value."""
+    kind = _kind(df, refs)
+    pairs = F.array(*(F.struct(F.lit(i).alias("number"), F.col(r.column).cast(kind).alias("value"))
+                      for i, r in enumerate(refs)))
     return (df.select(F.explode(pairs).alias("p")).select("p.*")
             .groupBy("number", "value").agg(F.count("*").alias("row_count")))
 
 
+def _parents(df: DataFrame, refs: Sequence[Reference], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(number, value) of all rows that the numbered references may lead to."""
+    return reduce(DataFrame.unionByName, [
+        tables[r.table].select(F.lit(i).alias("number"), F.col(r.key).cast(_kind(df, refs)).alias("value"))
+        for i, r in enumerate(refs)
+    ])
+
+
+def _kind(df: DataFrame, refs: Sequence[Reference]) -> str:
+    """The one type in which the references' values are compared: whole numbers stay numbers."""
+    whole = all(isinstance(df.schema[r.column].dataType, T.IntegralType) for r in refs)
+    return "bigint" if whole else "string"
+
+
 def _by_rule(df: DataFrame, rules: Sequence[str], broken: DataFrame) -> DataFrame:
     named = df.sparkSession.range(len(rules)).select(
         F.col("id").cast("int").alias("number"),

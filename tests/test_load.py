@@ -193,3 +193,21 @@ def test_profile_joins(spark):
     assert rows(checks.repeated_pairs(feeds.bookings)) == [(1, 10, 2)]
     assert checks.booked_before_signup(feeds.bookings, feeds.passengers).first()[:] == (5, 1)
     assert rows(checks.orphans(feeds.bookings, "flight_id", feeds.flights, "flight_id")) == [(77, 1)]
+
+
+def test_keys_meet_a_bounded_number_to_a_task(spark, monkeypatch):
+    monkeypatch.setattr(checks, "KEYS_PER_TASK", 100)
+    spec = TABLES["dim_city"]
+    cities = spark.range(1, 1001).select(
+        F.when(F.col("id") > 3, F.col("id")).cast("int").alias("city_key"),
+        F.when(F.col("id") > 10, F.concat(F.lit("c"), "id")).alias("city_name"),
+        (F.col("id") % 2).cast("int").alias("country_key"))
+    found = checks.key_violations(spec, cities)
+    assert rows(found) == [("unique city_key", 3), ("unique city_name, country_key", 10)]
+    plan = found._jdf.queryExecution().toString()
+    assert ", 20), REPARTITION_BY_NUM" in plan
+    lost = checks.reference_violations(spec, cities, {"dim_country": spark.sql("SELECT 1 AS country_key")})
+    assert rows(lost) == [("country_key in dim_country", 500)]
+    twice = spark.sql("SELECT * FROM VALUES (1), (1), (NULL) AS t(country_key)")
+    assert rows(checks.resolved_by_reference(cities, {"dim_country": twice}, spec)) == [
+        ("country_key in dim_country", 1000, 1000)]
