@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starhouse.operators.keys import number_rows
+from starhouse.operators.keys import number_cells, number_rows
 from starhouse.session import stored
 
 
@@ -129,12 +129,13 @@ def ticket_sales(
 def key_ticket_sales(sales: DataFrame) -> DataFrame:
     """Add dense ``ticket_sales_key`` values in the order of travel date and booking.
 
-    The keys depend on the rows only. Rows are range-partitioned on the whole
-    order, so a month or day that holds a third of the data is keyed, and then
-    written, by many tasks. The joined rows are stored first: the range bounds
-    are sampled from them, and the joins are not run twice.
+    The keys depend on the rows only. Rows are range-partitioned on the travel date
+    and a slice of the bookings, so a month or day that holds a third of the data is
+    keyed, and in the same tasks written, by many. The joined rows are stored first:
+    they are counted before they are shuffled, and the joins are not run twice.
     """
-    return laid_out(number_sales(stored(sales, "ticket-sales")))
+    return laid_out(number_cells(stored(sales, "ticket-sales"), "travel_date_key", "booking_id",
+                                 "ticket_sales_key"))
 
 
 def number_sales(rows: DataFrame, first: int = 1) -> DataFrame:

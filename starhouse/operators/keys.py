@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starhouse.session import scratch_path
+from starhouse.session import COMPRESSION, scratch_path, stored
 
 # A caller's bound up to which one sort is cheaper than a distributed one; the keys are the same.
 SINGLE_TASK_ROWS = 100_000
 
+# Slices of the last key column in :func:`number_cells`: a hot day is keyed by as many tasks at most.
+SLICES = 64
+
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low bits
 
 
@@ -59,7 +62,7 @@ def number_rows(
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .select(*columns, F.monotonically_increasing_id().alias("_slot"))
-        .write.parquet(path)
+        .write.parquet(path, compression=COMPRESSION)
     )
     rows = spark.read.parquet(path)
     part = F.shiftright("_slot", _POSITION_BITS).cast("int")
@@ -75,3 +78,36 @@ def number_rows(
     # A foldable text literal becomes one constant array with O(1) lookup.
     start = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
     return rows.select((start[part] + position + first).cast(key_type).alias(key), *columns)
+
+
+def number_cells(df: DataFrame, day: str, number: str, key: str, first: int = 1) -> DataFrame:
+    """Dense row numbers in the order of ``day`` and the numeric ``number``, in one shuffle.
+
+    For rows that can be read again (``session.stored``) and have few values of ``day``. Rows are
+    counted per cell, a day and a slice of ``number``; the cells in order give where each begins, and
+    rows are ranked inside their cell only. A cell is never split by the range partitions, so neither
+    their sampled bounds nor the slices' approximate ones can change a key. The cells, days times
+    ``SLICES`` at most, meet in one task.
+    """
+    shares = [i / SLICES for i in range(1, SLICES)]
+    bounds = df.agg(F.percentile_approx(number, shares).alias("b")).first()["b"] or []
+    cut = F.when(F.col(number).isNull(), 0).otherwise(_slice(F.col(number), sorted(set(bounds)), 0))
+    cells = df.groupBy(F.col(day).alias("_day"), cut.alias("_cut")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_day", "_cut").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stored(cells.select("_day", "_cut", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")),
+                    f"cells-{key}")
+    rows = df.withColumn("_cut", cut).join(
+        starts.withColumnRenamed("_cut", "_slice"),
+        F.col(day).eqNullSafe(F.col("_day")) & (F.col("_cut") == F.col("_slice"))).select("_start", *df.columns)
+    place = F.row_number().over(Window.partitionBy("_start").orderBy(day, number))
+    return rows.repartitionByRange("_start").select(
+        (F.col("_start") + place + (first - 1)).cast("bigint").alias(key), *df.columns)
+
+
+def _slice(value: Column, bounds: Sequence[int], first: int) -> Column:
+    """Number of the slice between sorted bounds, by halving; a bound belongs to the slice on its right."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    return F.when(value < bounds[middle], _slice(value, bounds[:middle], first)).otherwise(
+        _slice(value, bounds[middle + 1:], first + middle + 1))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starhouse.schemas import TABLES
+from starhouse.session import COMPRESSION
 
 _MANIFEST = ("kind string, table_name string, name string, value string, columns string, "
              "publication string")
@@ -70,9 +71,9 @@ class Store:
         """Write new parts of the table, one for each value of the columns ``by``."""
         path = f"{self.root}/{TABLES[table].layer}/{table}/load=v{uuid.uuid4().hex}"
         if not by:
-            df.write.parquet(path)
+            df.write.parquet(path, compression=COMPRESSION)
             return [Part(path)]
-        df.write.partitionBy(*by).parquet(path)
+        df.write.partitionBy(*by).parquet(path, compression=COMPRESSION)
         # one row per part reaches the driver; no rows make no part
         values = self.spark.read.schema(df.schema).parquet(path).select(*by).distinct().collect()
         names = sorted("/".join(f"{c}={v}" for c, v in zip(by, row, strict=True)) for row in values)

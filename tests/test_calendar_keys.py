@@ -1,3 +1,5 @@
+import glob
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -6,10 +8,10 @@ from pyspark.sql import functions as F
 from airline import rows
 from conftest import DATA
 from starhouse.functions.ranges import month_starts, range_right
-from starhouse.operators import keys
+from starhouse.operators import fact, keys
 from starhouse.operators.calendar import calendar, calendar_covering
 from starhouse.plans import catalog
-from starhouse.session import scratch_path
+from starhouse.session import scratch_path, stored
 
 # The monthly boundaries of 2025 and 2026.
 BOUNDARIES = month_starts(202502, 202612)
@@ -86,3 +88,29 @@ def test_scratch_folder_comes_from_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     paths = {scratch_path(spark, "x") for _ in range(3)}
     assert len(paths) == 3 and all(p.startswith(shared) for p in paths)
+
+
+def test_cells_give_the_keys_of_the_sort(spark, fixed_partitions):
+    df = stored(spark.range(0, 20000, numPartitions=8).select(
+        F.when(F.col("id") % 3 > 0, 7).otherwise((F.col("id") % 50).cast("int")).alias("day"),
+        F.when(F.col("id") != 4, F.col("id") * 7919 % 20011 - 10**4).alias("n")), "days")
+    cells = keys.number_cells(df, "day", "n", "k", first=5)
+    assert cells.dtypes[0] == ("k", "bigint")
+    assert rows(cells) == rows(keys.number_rows(df, ["day", "n"], "k", first=5))
+    hot = cells.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert hot < 10000
+    one = stored(spark.range(0, 3).select(F.lit(1).alias("day"), F.col("id").alias("n")), "one-day")
+    assert rows(keys.number_cells(one, "day", "n", "k"), "k", "n") == [(1, 0), (2, 1), (3, 2)]
+    assert keys.number_cells(one.filter("n < 0"), "day", "n", "k").count() == 0
+
+
+def test_the_fact_is_keyed_without_another_copy(spark, small):
+    def copies():
+        return glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/starhouse/*/numbered-ticket_sales_key-*")
+
+    before = copies()
+    sales = small["fact_ticket_sales"]
+    again = fact.key_ticket_sales(sales.drop("ticket_sales_key"))
+    assert rows(again, *sales.columns) == rows(sales)
+    assert copies() == before
+    assert all(f.endswith(".zstd.parquet") for f in sales.inputFiles())
