@@ -19,4 +19,5 @@ def finer_than(amount: Column, scale: int) -> Column:
     whole, part = F.regexp_extract(text, number, 1), F.regexp_extract(text, number, 2)
     place = F.greatest(F.char_length(whole) + shift + scale, F.lit(0))
     beyond = F.substring(F.concat(whole, part), place + 1, F.lit(2**31 - 1))
-    return text.rlike(number) & beyond.rlike("[1-9]")
+    plain = rf"^[+-]?\d*\.?\d{{0,{scale}}}\z"  # nearly every amount: no digit beyond, none to look for
+    return F.when(text.rlike(plain), F.lit(False)).otherwise(text.rlike(number) & beyond.rlike("[1-9]"))

@@ -290,3 +290,15 @@ def test_arrivals_of_landed_files(spark, tmp_path):
         (f, datetime(2026, 1, 10, h)) for f, h in (("airports", 9), ("bookings", 5), ("flights", 7))]
     assert rows(contract.delivery_status(log, "feed", "arrived"), "feed", "status") == [
         ("airports", "late"), ("bookings", "on_time"), ("flights", "past_due")]
+
+
+def test_amounts_are_judged_by_their_digits(spark):
+    cases = {"1.23": False, "1.230": False, "1.231": True, "123e-2": False, "123e-3": True, "1.2345e2": False,
+             "-0.001": True, "12": False, "": False, "x": False, "1.23\n": False, None: None}
+    df = spark.createDataFrame([(v,) for v in cases], "v string")
+    assert {v: f for v, f in df.select("v", contract.more_than_two_decimals(F.col("v"))).collect()} == cases
+
+
+def test_a_plain_amount_is_not_taken_apart(spark):
+    plan = spark.sql("SELECT '1' AS v").select(contract.more_than_two_decimals(F.col("v")))._jdf.queryExecution()
+    assert "{0,2}" in plan.analyzed().toString()
