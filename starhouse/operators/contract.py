@@ -139,6 +139,37 @@ def _is_written_as(value: Column, kind: str) -> Column:
     return F.coalesce(value.rlike(_WRITTEN_AS[kind]) & value.try_cast(kind).isNotNull(), F.lit(False))
 
 
+def _kinds_written(value: Column) -> Column:
+    """The types of the lattice in which a value is written, as bits; NULL for NULL.
+
+    Plain numbers, dates and words are told by one short pattern each, so only odd values are tried
+    as every type.
+    """
+    bit = {kind: 1 << i for i, kind in enumerate(_WRITTEN_AS)}
+    fraction = bit["decimal(38,10)"] | bit["double"]
+    anything = reduce(Column.__add__, [F.when(_is_written_as(value, kind), b).otherwise(0)
+                                       for kind, b in bit.items()])
+    return (
+        F.when(value.isNull(), F.lit(None).cast("int"))
+        .when(value.rlike(r"^[+-]?\d{1,9}\z"), fraction | bit["int"] | bit["bigint"])
+        .when(value.rlike(r"^[+-]?\d{1,25}\.\d{1,10}\z"), fraction)
+        .when(value.rlike(r"^[^0-9+.tTfF-]"), 0)  # no type is written with such a first character
+        .when(value.rlike(r"^\d{4}-\d{2}-\d{2}\z"),
+              F.when(value.try_cast("date").isNotNull(), bit["date"]).otherwise(0))
+        .when(value.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\z"),
+              F.when(value.try_cast("timestamp_ntz").isNotNull(), bit["timestamp_ntz"]).otherwise(0))
+        .otherwise(anything)
+    )
+
+
+def _readable(value: Column, kind: T.DataType) -> Column:
+    """Whether a cast reads the text; a word is told before it, for a failed cast costs an exception."""
+    read = value.try_cast(kind).isNotNull()
+    if isinstance(kind, (T.IntegralType, T.DecimalType, T.DateType)):
+        return F.when(value.rlike("^[A-Za-z]"), F.lit(False)).otherwise(read)
+    return read
+
+
 def _written_kind(declared: T.DataType) -> str | None:
     """The type in the lattice whose text form values of the declared type have."""
     if isinstance(declared, T.DecimalType):
@@ -153,25 +184,46 @@ def column_types(raw: DataFrame, declared: T.StructType | None = None) -> DataFr
     ``narrowest`` is the first type of the lattice that all values have, else string; NULL for a
     column without values. ``parsed`` counts the values that have the declared type.
     """
+    return _column_measures(raw, declared).drop("unreadable")
+
+
+def _column_measures(raw: DataFrame, declared: T.StructType | None = None) -> DataFrame:
+    """:func:`column_types`, and ``unreadable``: the values that no cast makes the declared type."""
     wanted = {f.name: f.dataType for f in declared} if declared else {}
-    metrics = []
-    for i, name in enumerate(raw.columns):
-        value = F.col(f"`{name}`").cast("string")
-        metrics.append(F.count(value).alias(f"n{i}"))
-        metrics += [F.count_if(_is_written_as(value, kind)).alias(f"t{i}_{k}")
-                    for k, kind in enumerate(_WRITTEN_AS)]
-        kind = _written_kind(wanted[name]) if name in wanted else None
-        good = _is_written_as(value, kind) & value.try_cast(wanted[name]).isNotNull() if kind else value.isNotNull()
-        metrics.append(F.count_if(good).alias(f"p{i}"))
+    places = {kind: k for k, kind in enumerate(_WRITTEN_AS)}
+    kinds = [_written_kind(wanted[c]) if c in wanted else None for c in raw.columns]
+    # Values go one by one through one copy of the tests: a copy for each column makes a method that
+    # the JVM never compiles.
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("value"))
+                                for i, c in enumerate(raw.columns)]))
+    i, value, written = F.col("i"), F.col("value"), F.col("written")
+    readable = value.isNotNull()
+    for kind in dict.fromkeys(wanted.values()):
+        places_of = [n for n, c in enumerate(raw.columns) if wanted.get(c) == kind]
+        if places_of:
+            readable = F.when(i.isin(places_of), _readable(value, kind)).otherwise(readable)
+    bit = F.element_at(F.array(*[F.lit(1 << places[k] if k else 0) for k in kinds]), i + 1)
+    good = F.when(bit == 0, value.isNotNull()).otherwise(F.col("readable") & (written.bitwiseAND(bit) > 0))
+    counted = (
+        raw.select(cells.alias("cell")).select("cell.*")
+        .select("i", "value", _kinds_written(value).alias("written"), readable.alias("readable"))
+        .groupBy("i").agg(F.count("value").alias("n"), F.bit_and("written").alias("t"),
+                          F.count_if(good).alias("p"),
+                          F.count_if(value.isNotNull() & ~F.col("readable")).alias("u"))
+    )
+    by_column = counted.agg(F.map_from_entries(F.collect_list(F.struct("i", F.struct("n", "t", "p", "u")))).alias("m"))
+
+    def of(i: int, metric: str) -> Column:
+        return F.coalesce(F.col("m")[i][metric], F.lit(0))
 
     def narrowest(i: int) -> Column:
-        found = F.coalesce(*[F.when(F.col(f"t{i}_{k}") == F.col(f"n{i}"), kind)
-                             for k, kind in enumerate(_WRITTEN_AS)], F.lit("string"))
-        return F.when(F.col(f"n{i}") > 0, found)
+        found = F.coalesce(*[F.when(of(i, "t").bitwiseAND(1 << k) > 0, kind)
+                             for kind, k in places.items()], F.lit("string"))
+        return F.when(of(i, "n") > 0, found)
 
-    return raw.agg(*metrics).select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("column_name"), F.col(f"n{i}").alias("n_values"),
-                 narrowest(i).alias("narrowest"), F.col(f"p{i}").alias("parsed"))
+    return by_column.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("column_name"), of(i, "n").alias("n_values"),
+                 narrowest(i).alias("narrowest"), of(i, "p").alias("parsed"), of(i, "u").alias("unreadable"))
         for i, name in enumerate(raw.columns)])))
 
 
@@ -185,10 +237,13 @@ def retyped_columns(raw: DataFrame, declared: T.StructType) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in declared if f.name in raw.columns}
     present = raw.select([F.col(f"`{c}`") for c in kinds])
     named = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    return column_types(present, declared).filter(_retyped()).select(
+        "column_name", named[F.col("column_name")].alias("declared"), "narrowest", "n_values", "parsed")
+
+
+def _retyped() -> Column:
     bad = F.col("n_values") - F.col("parsed")
-    return column_types(present, declared).filter(
-        (bad > 0) & (bad * 100 >= F.col("n_values") * RETYPED_PCT)
-    ).select("column_name", named[F.col("column_name")].alias("declared"), "narrowest", "n_values", "parsed")
+    return (bad > 0) & (bad * 100 >= F.col("n_values") * RETYPED_PCT)
 
 
 def column_sketches(df: DataFrame, columns: Sequence[str]) -> list[dict]:
@@ -263,14 +318,15 @@ def delivery_drift(raw: DataFrame, declared: T.StructType, known: DataFrame | No
     rows = [(change, column, 1, breaking) for column, change, breaking in found]
     kinds = "finding string, column_name string, n long, breaking boolean"
     present = T.StructType([f for f in declared if f.name in named.columns])
-    retyped = retyped_columns(named, present).select(
-        F.lit("retyped").alias("finding"), "column_name", (F.col("n_values") - F.col("parsed")).alias("n"),
-        F.lit(True).alias("breaking"))
-    dirty = type_violations(named, present).filter("bad_rows > 0").select(
-        F.lit("not parsed").alias("finding"), "column_name", F.col("bad_rows").alias("n"),
-        F.lit(True).alias("breaking"))
-    dirty = dirty.join(retyped.select("column_name"), "column_name", "left_anti").select(*retyped.columns)
-    return raw.sparkSession.createDataFrame(rows, kinds).unionByName(retyped).unionByName(dirty)
+    # retyped and dirty columns are told apart by the counts of one pass over the file
+    measures = _column_measures(named.select([F.col(f"`{c}`") for c in present.names]), present)
+    bad = F.when(_retyped(), F.struct(F.lit("retyped").alias("finding"),
+                                      (F.col("n_values") - F.col("parsed")).alias("n")))
+    bad = F.coalesce(bad, F.when(F.col("unreadable") > 0, F.struct(
+        F.lit("not parsed").alias("finding"), F.col("unreadable").alias("n"))))
+    broken = measures.withColumn("bad", bad).filter("bad IS NOT NULL").select(
+        "bad.finding", "column_name", "bad.n", F.lit(True).alias("breaking"))
+    return raw.sparkSession.createDataFrame(rows, kinds).unionByName(broken)
 
 
 def type_violations(raw: DataFrame, declared: T.StructType) -> DataFrame:

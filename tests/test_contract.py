@@ -292,6 +292,34 @@ def test_arrivals_of_landed_files(spark, tmp_path):
         ("airports", "late"), ("bookings", "on_time"), ("flights", "past_due")]
 
 
+ODD = ["7", "+123456789", "1234567890", "9" * 19, "9" * 28, "9" * 29, "1.5", "0.12345678901", "9" * 26 + ".5", "-.5", ".5",
+       "5.", "1e3", "1e999", "12\n", "12 ", "1.5\n", " 7", "2024-02-30", "2024-02-29", "2024-02-29\n", "0000-00-00",
+       "2024-02-29 10:00", "2024-02-29T25:00", "2024-02-29T10:00:01.5", "2024-02-29 10:00:01.1234567890", "TRUE", "false",
+       "tru", "text", "", "-", "+", "٣", "x7", "Infinity", "NaN"]
+
+
+def test_kinds_of_odd_values_are_those_of_every_pattern(spark):
+    df = spark.createDataFrame([(v,) for v in [*ODD, None]], "v string")
+    value = F.col("v")
+    each = F.array(*[contract._is_written_as(value, k) for k in contract._WRITTEN_AS])
+    bits = F.transform(F.sequence(F.lit(0), F.lit(len(contract._WRITTEN_AS) - 1)),
+                       lambda i: F.getbit(contract._kinds_written(value).cast("bigint"), i) == 1)
+    for text, wanted, found in df.select("v", each, bits).collect():
+        assert wanted == (found if text is not None else [False] * len(wanted)), text
+
+
+def test_a_delivered_file_is_judged_in_one_pass(spark):
+    raw = spark.createDataFrame([("1", "2024-01-01", "x"), ("a", "b", "y"), (None, "c", None)],
+                                "miles_earned string, travel_date string, fare_class string")
+    found = contract.delivery_drift(raw, T.StructType([
+        T.StructField("miles_earned", T.IntegerType()), T.StructField("travel_date", T.DateType()),
+        T.StructField("fare_class", T.StringType())]))
+    assert sorted(map(tuple, found.collect())) == [
+        ("retyped", "miles_earned", 1, True), ("retyped", "travel_date", 2, True)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("miles_earned#") and "Join" not in plan
+
+
 def test_amounts_are_judged_by_their_digits(spark):
     cases = {"1.23": False, "1.230": False, "1.231": True, "123e-2": False, "123e-3": True, "1.2345e2": False,
              "-0.001": True, "12": False, "": False, "x": False, "1.23\n": False, None: None}
@@ -302,3 +330,11 @@ def test_amounts_are_judged_by_their_digits(spark):
 def test_a_plain_amount_is_not_taken_apart(spark):
     plan = spark.sql("SELECT '1' AS v").select(contract.more_than_two_decimals(F.col("v")))._jdf.queryExecution()
     assert "{0,2}" in plan.analyzed().toString()
+
+
+def test_words_are_told_before_a_cast(spark):
+    df = spark.createDataFrame([(v,) for v in ODD], "v string")
+    for kind in (T.IntegerType(), T.LongType(), T.DecimalType(12, 2), T.DateType(), T.DoubleType(), T.BooleanType()):
+        value = F.col("v")
+        wrong = df.filter(contract._readable(value, kind) != value.try_cast(kind).isNotNull())
+        assert rows(wrong) == [], kind
