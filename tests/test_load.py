@@ -7,7 +7,7 @@ import airline
 from airline import rows
 from starhouse.operators import checks, fact, layout
 from conftest import DATA
-from starhouse.plans import catalog, warehouse
+from starhouse.plans import catalog, marts, warehouse
 from starhouse.plans.warehouse import Gates, Warehouse
 from starhouse.schemas import TABLES, LoadError
 
@@ -211,3 +211,8 @@ def test_keys_meet_a_bounded_number_to_a_task(spark, monkeypatch):
     twice = spark.sql("SELECT * FROM VALUES (1), (1), (NULL) AS t(country_key)")
     assert rows(checks.resolved_by_reference(cities, {"dim_country": twice}, spec)) == [
         ("country_key in dim_country", 1000, 1000)]
+
+
+def test_the_summary_travels_once(small):
+    plan = marts.sales_summary(small["fact_ticket_sales"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "rangepartitioning(travel_month" in plan
