@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 _SLICE_BYTES = 8 << 20
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
@@ -32,6 +34,22 @@ def _offsets(column: pa.Array) -> np.ndarray:
     return raw[column.offset:column.offset + len(column) + 1]
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python gets at most ``rows`` rows at once from what is executed meanwhile.
+
+    By default a task's texts travel as one batch, which the JVM and the worker both hold.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def give_back() -> None:
     """Return freed memory to the system, at the end of a task or group.
 

@@ -42,9 +42,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.arrow import pack, unpack
+from starhouse.llm.arrow import give_back, pack, unpack
 from starhouse.llm.blocks import HASH_BYTES, cuts, repeated, text_blocks
-from starhouse.llm.words import window_hashes, word_hashes
+from starhouse.llm.words import forget_words, window_hashes, word_hashes
 from starhouse.session import stored
 
 WIDTH = 5
@@ -78,6 +78,7 @@ def _shingles(text: str | None, width: int) -> np.ndarray:
 
 def _sets(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray]:
     sets = [_shingles(t, width) for t in table.column("text").to_pylist()]
+    forget_words()  # blocks are many, and their worker goes on to other work
     return sets, np.concatenate(sets) if sets else np.empty(0, np.uint64)
 
 
@@ -100,6 +101,8 @@ def _spreader(width: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
                 for bucket, i, j in cuts(shingles, buckets)]
         columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        del shingles, counts, rows
+        give_back()
         return pa.Table.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
             ["bucket", "block", "shingles", "counts"])
@@ -116,6 +119,8 @@ def _classes(table: pa.Table) -> pa.Table:
     found = _frequency_class(documents)[place]
     at = np.cumsum([0, *map(len, lists)])
     parts = [found[i:j].tobytes() for i, j in zip(at, at[1:], strict=False)]
+    del lists, counts, distinct, place, documents, found
+    give_back()
     return pa.Table.from_arrays(
         [table.column("block"), table.column("bucket"), pa.array(parts, pa.binary())],
         ["block", "bucket", "classes"])
@@ -175,11 +180,15 @@ def _profiler(width: int, similarity_pct: int) -> Callable[[pa.Table, pa.Table],
                 rows.append((len(own), digest, None, None, None, None, None))
         *plain, shingles, prefix, places = zip(*rows, strict=True)
         kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
-        return pa.Table.from_arrays(
+        found = pa.Table.from_arrays(
             [*(docs.column(c) for c in ("id", "row", "times")),
              *(pa.array(c, k) for c, k in zip(plain, kinds, strict=True)),
              _lists(shingles, np.int64), _lists(prefix, np.int64), _lists(places, np.int32)],
             ["id", "row", "times", "n", "digest", "matches", "shared", "shingles", "prefix", "classes"])
+        del sets, together, distinct, parts, classes, rows, plain, shingles, prefix, places
+        del own, of, held, rank, place
+        give_back()
+        return found
 
     return profile
 

@@ -5,13 +5,15 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starhouse.llm import blocks, line_dedup, ngram_join, suffix_dedup
+from starhouse.llm import blocks, line_dedup, ngram_join, suffix_dedup, words
+from starhouse.llm.arrow import short_batches
 
 VOCABULARY = [f"w{i}" for i in range(300)]
 
@@ -74,6 +76,28 @@ def test_ngram_join_of_nulls_repeats_and_nothing(spark):
     assert ngram_join.similar_groups(df.limit(0)).count() == 0
 
 
+def test_a_block_leaves_no_words_behind():
+    texts = ["one two three four five six", "seven eight", None]
+    docs = pa.table({"block": [0] * 3, "id": [1, 2, 3], "row": [4, 5, 6], "times": [1] * 3, "text": texts})
+    sent = ngram_join._spreader(5, 1)(docs)
+    assert not words._hashes
+    found = ngram_join._profiler(5, 75)(docs, ngram_join._classes(sent))
+    assert not words._hashes and found.column("n").to_pylist() == [2, 1, 0]
+
+
+def test_short_batches_last_as_long_as_their_block(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    before = spark.conf.get(name)
+    with short_batches(spark, 7):
+        longest = spark.range(100).mapInArrow(sizes, "n long").agg(F.max("n"), F.sum("n")).first()
+    assert tuple(longest) == (7, 100) and spark.conf.get(name) == before
+
+
 def test_rows_that_repeat_often_travel_once(spark, monkeypatch):
     """They are one row of a block, and as many rows of the result as of the input."""
     monkeypatch.setattr("starhouse.llm.blocks.MOST_REPEATS", 2)
