@@ -14,6 +14,8 @@ SINGLE_TASK_ROWS = 100_000
 
 # Slices of the last key column in :func:`number_cells`: a hot day is keyed by as many tasks at most.
 SLICES = 64
+# Rows of a range of cells, which one task ranks and files, and the number of ranges of a short table.
+ROWS_PER_RANGE, LEAST_RANGES = 250_000, 8
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low bits
 
@@ -85,22 +87,26 @@ def number_cells(df: DataFrame, day: str, number: str, key: str, first: int = 1)
 
     For rows that can be read again (``session.stored``) and have few values of ``day``. Rows are
     counted per cell, a day and a slice of ``number``; the cells in order give where each begins, and
-    rows are ranked inside their cell only. A cell is never split by the range partitions, so neither
-    their sampled bounds nor the slices' approximate ones can change a key. The cells, days times
-    ``SLICES`` at most, meet in one task.
+    rows are ranked inside their cell only. Where a cell begins also gives the range it travels to, so
+    no rows are sampled. A cell is never split by the ranges, so neither they nor the slices' approximate
+    bounds can change a key. The cells, days times ``SLICES`` at most, meet in one task.
     """
     shares = [i / SLICES for i in range(1, SLICES)]
     bounds = df.agg(F.percentile_approx(number, shares).alias("b")).first()["b"] or []
     cut = F.when(F.col(number).isNull(), 0).otherwise(_slice(F.col(number), sorted(set(bounds)), 0))
     cells = df.groupBy(F.col(day).alias("_day"), cut.alias("_cut")).agg(F.count("*").alias("_n"))
     before = Window.orderBy("_day", "_cut").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stored(cells.select("_day", "_cut", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")),
+    starts = stored(cells.select("_day", "_cut", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")),
                     f"cells-{key}")
+    total = starts.agg(F.sum("_n").alias("n")).first()["n"] or 1
+    ranges = max(-(-total // ROWS_PER_RANGE), LEAST_RANGES)
+    size = -(-total // ranges)
+    starts = starts.select("_day", "_cut", "_start", F.floor(F.col("_start") / size).cast("int").alias("_range"))
     rows = df.withColumn("_cut", cut).join(
         starts.withColumnRenamed("_cut", "_slice"),
-        F.col(day).eqNullSafe(F.col("_day")) & (F.col("_cut") == F.col("_slice"))).select("_start", *df.columns)
-    place = F.row_number().over(Window.partitionBy("_start").orderBy(day, number))
-    return rows.repartitionByRange("_start").select(
+        F.col(day).eqNullSafe(F.col("_day")) & (F.col("_cut") == F.col("_slice"))).select("_range", "_start", *df.columns)
+    place = F.row_number().over(Window.partitionBy("_range", "_start").orderBy(day, number))
+    return rows.repartitionById(ranges, F.col("_range")).select(
         (F.col("_start") + place + (first - 1)).cast("bigint").alias(key), *df.columns)
 
 

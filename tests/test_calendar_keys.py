@@ -114,3 +114,15 @@ def test_the_fact_is_keyed_without_another_copy(spark, small):
     assert rows(again, *sales.columns) == rows(sales)
     assert copies() == before
     assert all(f.endswith(".zstd.parquet") for f in sales.inputFiles())
+
+
+def test_cells_say_where_their_rows_travel(spark, fixed_partitions, monkeypatch):
+    """No rows are sampled for the ranges, and one range after the other is filled."""
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 100)
+    df = spark.range(2_000).select((F.col("id") % 40).alias("day"), F.col("id").alias("n"))
+    found = keys.number_cells(df, "day", "n", "k")
+    assert "rangepartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    ranges = found.groupBy(F.spark_partition_id().alias("p")).agg(F.min("k"), F.max("k"), F.count("*"))
+    held = sorted(tuple(r)[1:] for r in ranges.collect())
+    assert len(held) > 10 and max(n for *_, n in held) <= 200
+    assert all(a[1] + 1 == b[0] for a, b in zip(held, held[1:]))
